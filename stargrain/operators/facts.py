@@ -128,6 +128,7 @@ def merge_fact(
     key: Sequence[str],
     update_cols: Sequence[str],
     surrogates: Sequence[str] = (),
+    method: str | None = None,
 ) -> DataFrame:
     """Insert staged rows with a new key; on a known key overwrite `update_cols` only.
 
@@ -136,6 +137,7 @@ def merge_fact(
 
     A stage measured as small is broadcast, and the target is streamed once without a shuffle;
     only keys found in it come back to decide the inserts. Otherwise one full outer join.
+    `method` ("broadcast" or "shuffle") overrides the measurement.
     """
     _no_surrogates(key, surrogates)
     key = list(key)
@@ -144,7 +146,8 @@ def merge_fact(
     on = [F.col(c) == F.col("_s_" + c) for c in key]
     hit = F.col("_s_" + key[0]).isNotNull()
 
-    if at_most(stage, BROADCAST_ROWS):
+    method = method or ("broadcast" if at_most(stage, BROADCAST_ROWS) else "shuffle")
+    if method == "broadcast":
         kept = target.join(F.broadcast(staged), on, "left").select(
             *[(F.when(hit, F.col("_s_" + c)).otherwise(F.col(c)).alias(c) if c in update_cols else F.col(c)) for c in cols]
         )

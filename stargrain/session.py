@@ -35,6 +35,8 @@ def local_session(cpus: int | str = 8, name: str = "stargrain") -> SparkSession:
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per column
         .config("spark.driver.memory", "8g")
         .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
         .getOrCreate()

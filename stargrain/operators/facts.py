@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stargrain.functions import expressions as X
-from stargrain.operators.rows import at_most, first_per_key
+from stargrain.operators.rows import BROADCAST_ROWS, broadcast_if_small, first_per_key, is_small
 
-BROADCAST_ROWS = 500_000      # measured before every broadcast hint
-VERSIONS_PER_KEY = 1_000      # above this the as-of lookup sweeps instead of joining pairs
+VERSIONS_PER_KEY = 1_000  # above this the as-of lookup sweeps instead of joining pairs
 
 
 # --- lookups --------------------------------------------------------------------------------
@@ -23,9 +22,7 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk: str
     A dimension measured as small is broadcast. Otherwise Spark joins by key, and AQE splits the
     partitions of hot keys (the dimension side is unique, so no row pairs multiply).
     """
-    keys = dim.select(F.col(dim_key).alias("_dk"), F.col(sk).alias("_sk"))
-    if at_most(keys, BROADCAST_ROWS):
-        keys = F.broadcast(keys)
+    keys = broadcast_if_small(dim.select(F.col(dim_key).alias("_dk"), F.col(sk).alias("_sk")))
     return (
         fact.join(keys, F.col(fact_key) == F.col("_dk"), "left")
         .withColumn(out or sk, F.coalesce("_sk", F.lit(X.UNKNOWN_KEY)))
@@ -146,7 +143,7 @@ def merge_fact(
     on = [F.col(c) == F.col("_s_" + c) for c in key]
     hit = F.col("_s_" + key[0]).isNotNull()
 
-    method = method or ("broadcast" if at_most(stage, BROADCAST_ROWS) else "shuffle")
+    method = method or ("broadcast" if is_small(stage) else "shuffle")
     if method == "broadcast":
         kept = target.join(F.broadcast(staged), on, "left").select(
             *[(F.when(hit, F.col("_s_" + c)).otherwise(F.col(c)).alias(c) if c in update_cols else F.col(c)) for c in cols]
@@ -207,7 +204,7 @@ def latest_run(
     if only is not None:
         if only_key not in keys:
             raise ValueError("prefilter only by a column of the run key")
-        fact = fact.join(only.select(only_key).distinct(), only_key, "left_semi")
+        fact = fact.join(broadcast_if_small(only.select(only_key).distinct()), only_key, "left_semi")
     return first_per_key(fact, keys, [F.col(c).desc_nulls_last() for c in run])
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stargrain.functions import expressions as X
 from stargrain.operators import calendar, facts, metrics
+from stargrain.operators.rows import broadcast_if_small
 from stargrain.plans.catalogue.base import NEWEST, PLACES, Tables, events_with_slots, places, query, share_2_sql
 
 AREA = "ASIA"
@@ -49,11 +50,11 @@ DAILY = f"""
 
 
 def newest(t: Tables, area: str | None = None) -> DataFrame:
-    """Newest run per entity and slot; with an area, its entities are kept before the shuffle."""
+    """Newest run per entity and slot with the place of the entity. A place has one version only,
+    so it can be joined, and the area filtered, before rows are shuffled for the window."""
     where = places(t).filter(F.col("r_name") == area) if area else places(t)
-    only = where.select(F.col("c_custkey").alias("user_id")) if area else None
-    run = facts.latest_run(events_with_slots(t), ["user_id", "slot"], ["ts", "event_id"], only, "user_id")
-    return run.join(where, F.col("user_id") == F.col("c_custkey"))
+    slots = events_with_slots(t).join(broadcast_if_small(where), F.col("user_id") == F.col("c_custkey"))
+    return facts.latest_run(slots, ["user_id", "slot"], ["ts", "event_id"])
 
 
 def with_day(t: Tables, slots: DataFrame) -> DataFrame:

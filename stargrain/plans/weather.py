@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stargrain.functions import expressions as X
 from stargrain.operators import calendar, dimensions, facts, metrics, quality
 from stargrain.operators.quality import Expectation
-from stargrain.operators.rows import first_per_key, literal_row
+from stargrain.operators.rows import broadcast_if_small, first_per_key, literal_row
 from stargrain.session import cut
 from stargrain.sources.warehouse import Warehouse
 
@@ -288,7 +288,7 @@ def newest_slots(fact: DataFrame, dim_lokasi: DataFrame, where: str = "kode_kabk
     """
     places = dim_lokasi.filter(F.expr(where))
     newest = facts.latest_run(fact, ["kode_desa", "waktu_utc"], ["analisis_utc", "tanggal_sk"], places, "kode_desa")
-    return newest.drop("kode_desa").join(places, "lokasi_sk")
+    return newest.drop("kode_desa").join(broadcast_if_small(places), "lokasi_sk")
 
 
 def dated(slots: DataFrame, dim_date: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from stargrain.functions import expressions as X
 from stargrain.operators.rows import first_per_key, literal_row
@@ -37,17 +36,17 @@ def number_rows(df: DataFrame, key: str, name: str, start: Column | None = None)
     numbered inside 4,096 hash-prefix buckets and shifted by the size of the buckets before.
     The numbers depend on content only, so a retried task or a repeated run gives the same keys.
     """
-    hashed = df.withColumn("_h", F.md5(F.col(key).cast("string"))).withColumn("_b", F.substring("_h", 1, 3))
-    sizes = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))  # at most 16**3 rows
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_b").orderBy("_h"))
     base = F.lit(0).cast("bigint") if start is None else start
+    hashed = df.selectExpr("*", f"md5(CAST({key} AS STRING)) AS _h").selectExpr("*", "substring(_h, 1, 3) AS _b")
+    sizes = hashed.groupBy("_b").count()  # at most 16**3 rows
+    shift = sizes.selectExpr(
+        "_b AS _sb", "coalesce(sum(count) OVER (ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before"
+    )
     return (
-        hashed.withColumn("_r", within)
-        .join(F.broadcast(shift), "_b")
-        .withColumn(name, (base + F.col("_before") + F.col("_r")).cast("bigint"))
-        .drop("_h", "_b", "_r", "_before")
+        hashed.selectExpr("*", "row_number() OVER (PARTITION BY _b ORDER BY _h) AS _r")
+        .join(F.broadcast(shift), F.expr("_b = _sb"))
+        .withColumn(name, base + F.expr("_before + _r"))
+        .drop("_h", "_b", "_sb", "_r", "_before")
     )
 
 
@@ -55,7 +54,7 @@ def _with_new_keys(dim: DataFrame, new: DataFrame, key: str, sk: str) -> DataFra
     """Give rows of `new` the surrogate keys following the largest one in `dim`."""
     top = dim.agg(F.greatest(F.coalesce(F.max(sk), F.lit(0)), F.lit(0)).alias("_top"))  # one row
     numbered = number_rows(new.drop(sk).crossJoin(F.broadcast(top)), key, sk, F.col("_top"))
-    return numbered.select(*[F.col(c).cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
+    return numbered.selectExpr(*[f"CAST({c} AS {dim.schema[c].dataType.simpleString()}) AS {c}" for c in dim.columns])
 
 
 # --- hierarchy ------------------------------------------------------------------------------
@@ -134,50 +133,40 @@ def scd2_apply(
     The comparison is with the current version only: going back to an older value is a new
     version. `stage` must hold one row per key (see `first_per_key`).
     """
-    ts = F.lit(batch_ts).cast("timestamp")
-    closed = dim.filter(~F.col("is_current"))
-    current = dim.filter("is_current")
-
-    staged = stage.select(F.col(key).alias("_key"), *[F.col(c).alias("_s_" + c) for c in tracked], X.row_hash(tracked).alias("_hash"))
-    both = current.join(staged, F.col(key) == F.col("_key"), "left")
-    changed = F.coalesce(F.col("_hash") != F.col("row_hash"), F.lit(False))
-    same_batch = F.col("valid_from") == ts
-    late = F.raise_error(F.concat(F.lit(f"batch {batch_ts} is older than the current version of "), F.col(key).cast("string")))
-
-    def after(c: str) -> Column:
-        old = F.col(c)
-        replaced = {
-            "valid_to": F.when(changed & ~same_batch, F.when(F.col("valid_from") > ts, late.cast("timestamp")).otherwise(ts)),
-            "is_current": F.when(changed & ~same_batch, F.lit(False)),
-            "row_hash": F.when(changed & same_batch, F.col("_hash")),
-        }
-        if c in tracked:
-            new = F.when(changed & same_batch, F.col("_s_" + c)).otherwise(old)
-        elif c in replaced:
-            new = F.coalesce(replaced[c], old)
-        else:
-            new = old
-        return new.cast(dim.schema[c].dataType).alias(c)
-
-    kept = both.select(*[after(c) for c in dim.columns])
+    ts = f"timestamp'{batch_ts}'"
+    closed, current = dim.filter("NOT is_current"), dim.filter("is_current")
+    staged = stage.select(
+        F.col(key).alias("_key"), *[F.col(c).alias("_s_" + c) for c in tracked], X.row_hash(tracked).alias("_hash")
+    ).filter("_key IS NOT NULL")
+
+    # Current versions: kept, closed at batch_ts, or replaced when they began at batch_ts.
+    close = f"coalesce(_hash <> row_hash AND valid_from <> {ts}, false)"
+    replace = f"coalesce(_hash <> row_hash AND valid_from = {ts}, false)"
+    late = f"raise_error(concat('batch {batch_ts} is older than the current version of ', CAST({key} AS STRING)))"
+    after = {c: f"IF({replace}, _s_{c}, {c})" for c in tracked} | {
+        "valid_to": f"IF({close}, IF(valid_from > {ts}, CAST({late} AS TIMESTAMP), {ts}), valid_to)",
+        "is_current": f"is_current AND NOT {close}",
+        "row_hash": f"IF({replace}, _hash, row_hash)",
+    }
+    kept = current.join(staged, F.col(key) == F.col("_key"), "left").selectExpr(
+        *[f"CAST({after.get(c, c)} AS {dim.schema[c].dataType.simpleString()}) AS {c}" for c in dim.columns]
+    )
 
     # New versions: staged keys that have no current version, or whose current version was closed.
-    state = current.select(F.col(key).alias("_ck"), F.col("row_hash").alias("_ch"), F.col("valid_from").alias("_cf"))
-    seen = closed.select(F.col(key).alias("_hk")).distinct()
-    opened = (
-        staged.filter(F.col("_key").isNotNull())
-        .join(state, F.col("_key") == F.col("_ck"), "left")
-        .filter(F.col("_ck").isNull() | ((F.col("_hash") != F.col("_ch")) & (F.col("_cf") != ts)))
-        .join(seen, F.col("_key") == F.col("_hk"), "left")
-    )
-    never = F.col("_ck").isNull() & F.col("_hk").isNull()
-    new = opened.select(
-        F.col("_key").alias(key),
-        *[F.col("_s_" + c).alias(c) for c in tracked],
-        F.when(never, F.lit(X.FIRST_SEEN).cast("timestamp")).otherwise(ts).alias("valid_from"),
-        F.lit(X.OPEN_END).cast("timestamp").alias("valid_to"),
-        F.lit(True).alias("is_current"),
-        F.col("_hash").alias("row_hash"),
+    state = current.selectExpr(f"{key} AS _ck", "row_hash AS _ch", "valid_from AS _cf")
+    seen = closed.selectExpr(f"{key} AS _hk").distinct()
+    new = (
+        staged.join(state, F.expr("_key = _ck"), "left")
+        .filter(f"_ck IS NULL OR (_hash <> _ch AND _cf <> {ts})")
+        .join(seen, F.expr("_key = _hk"), "left")
+        .selectExpr(
+            f"_key AS {key}",
+            *[f"_s_{c} AS {c}" for c in tracked],
+            f"IF(_ck IS NULL AND _hk IS NULL, timestamp'{X.FIRST_SEEN}', {ts}) AS valid_from",
+            f"timestamp'{X.OPEN_END}' AS valid_to",
+            "true AS is_current",
+            "_hash AS row_hash",
+        )
     )
     return closed.unionByName(kept).unionByName(_with_new_keys(dim, new, key, sk))
 

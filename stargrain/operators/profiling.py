@@ -23,6 +23,7 @@ PROFILE_COLUMNS = ("table", "check", "metric", "value")
 class TableProfile:
     """What to profile in one table.
 
+    typed        name -> SQL of a column read from text; computed once per row for all scalars
     scalars      metric name -> SQL aggregate; all of a table are computed in one pass
     distinct     metric name -> column whose distinct non-NULL values are counted
     duplicates   metric name -> key columns; counts key values occurring more than once
@@ -32,6 +33,7 @@ class TableProfile:
     """
 
     table: str
+    typed: Mapping[str, str] = field(default_factory=dict)
     scalars: Mapping[str, str] = field(default_factory=dict)
     distinct: Mapping[str, str] = field(default_factory=dict)
     duplicates: Mapping[str, Sequence[str]] = field(default_factory=dict)
@@ -47,6 +49,8 @@ def scalar_profile(df: DataFrame, spec: TableProfile, approximate: bool = False)
     combined; `approximate` uses sketches instead, for first looks at very large sources.
     """
     distinct = F.approx_count_distinct if approximate else F.count_distinct
+    if spec.typed:
+        df = df.select("*", *[F.expr(sql).alias(name) for name, sql in spec.typed.items()])
     aggs = [F.expr(sql).alias(name) for name, sql in spec.scalars.items()]
     aggs += [distinct(F.col(c)).alias(name) for name, c in spec.distinct.items()]
     return df.agg(*aggs)

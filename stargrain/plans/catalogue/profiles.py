@@ -80,11 +80,14 @@ def profile_freq2(t):
                  CAST(l_discount AS VARCHAR) AS diskon, l_returnflag AS tanda FROM lineitem) x""")
 def profile_minmax(t):
     raw = as_text(t.lineitem.select("l_quantity", "l_extendedprice", "l_discount", "l_returnflag"))
-    spec = TableProfile("lineitem", scalars={
-        "qty_min": f"min({X.int_text('l_quantity')})", "qty_max": f"max({X.int_text('l_quantity')})",
-        "harga_min": f"min({X.bigint_text('l_extendedprice')})", "harga_max": f"max({X.bigint_text('l_extendedprice')})",
-        "diskon_max": f"max({X.double_text('l_discount')})", "tanda_contoh": "min(l_returnflag)",
-    })
+    spec = TableProfile(
+        "lineitem",
+        typed={"_qty": X.int_text("l_quantity"), "_harga": X.bigint_text("l_extendedprice")},
+        scalars={
+            "qty_min": "min(_qty)", "qty_max": "max(_qty)", "harga_min": "min(_harga)", "harga_max": "max(_harga)",
+            "diskon_max": f"max({X.double_text('l_discount')})", "tanda_contoh": "min(l_returnflag)",
+        },
+    )
     return profiling.scalar_profile(raw, spec)
 
 
@@ -99,15 +102,18 @@ def profile_minmax(t):
 def profile_out_of_range(t):
     """Range tests under three-valued logic: an unreadable number is not out of range."""
     raw = as_text(t.customer.select("c_acctbal", "c_name"))
-    bal, whole, name = X.double_text("c_acctbal"), X.int_text("c_acctbal"), X.double_text("c_name")
-    spec = TableProfile("customer", scalars={
-        "saldo_negatif": f"count_if({bal} < 0)",
-        "saldo_luar_rentang": f"count_if({bal} NOT BETWEEN 0 AND 9000)",
-        "saldo_ekstrem": f"count_if({whole} > 9000 OR {whole} < -500)",
-        "tak_terbaca_tidak_dihitung": f"count_if({name} NOT BETWEEN 0 AND 1)",
-        "salah_satu": f"count_if({name} NOT BETWEEN 0 AND 1 OR {bal} < 0)",
-        "baris": "count(*)",
-    })
+    spec = TableProfile(
+        "customer",
+        typed={"_saldo": X.double_text("c_acctbal"), "_bulat": X.int_text("c_acctbal"), "_nama": X.double_text("c_name")},
+        scalars={
+            "saldo_negatif": "count_if(_saldo < 0)",
+            "saldo_luar_rentang": "count_if(_saldo NOT BETWEEN 0 AND 9000)",
+            "saldo_ekstrem": "count_if(_bulat > 9000 OR _bulat < -500)",
+            "tak_terbaca_tidak_dihitung": "count_if(_nama NOT BETWEEN 0 AND 1)",
+            "salah_satu": "count_if(_nama NOT BETWEEN 0 AND 1 OR _saldo < 0)",
+            "baris": "count(*)",
+        },
+    )
     return profiling.scalar_profile(raw, spec)
 
 

@@ -36,7 +36,8 @@ T1_PROFILE = (
     ),
     TableProfile(
         "raw_nilai",
-        scalars={"nilai_luar_rentang": f"count_if({int_text('nilai_angka')} > 100 OR {int_text('nilai_angka')} < 0)"},
+        typed={"_nilai": int_text("nilai_angka")},
+        scalars={"nilai_luar_rentang": "count_if(_nilai > 100 OR _nilai < 0)"},
     ),
 )
 
@@ -94,12 +95,8 @@ TEMPLATE_PROFILE = (
     ),
     TableProfile(
         "raw_transaction_items",
-        scalars={
-            "qty_min": f"min({int_text('qty')})",
-            "qty_max": f"max({int_text('qty')})",
-            "harga_min": f"min({bigint_text('harga_satuan')})",
-            "harga_max": f"max({bigint_text('harga_satuan')})",
-        },
+        typed={"_qty": int_text("qty"), "_harga": bigint_text("harga_satuan")},
+        scalars={"qty_min": "min(_qty)", "qty_max": "max(_qty)", "harga_min": "min(_harga)", "harga_max": "max(_harga)"},
         duplicates={"duplikat": ("transaction_id", "product_id")},
     ),
 )

@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 import sys
 
@@ -19,3 +21,11 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def plan_of(df) -> str:
+    """The physical plan as text."""
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()

@@ -28,9 +28,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = 8, name: str = "stargrain") -> SparkSession:
+def local_session(cpus: int | str = 8, name: str = "stargrain", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; a cluster hands in its own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(cpus))
@@ -39,8 +39,10 @@ def local_session(cpus: int | str = 8, name: str = "stargrain") -> SparkSession:
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per column
         .config("spark.driver.memory", "8g")
         .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
-        .getOrCreate()
     )
+    for key, value in conf.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 
@@ -55,8 +57,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = os.path.join(tempfile.gettempdir(), f"stargrain-{spark.sparkContext.applicationId}")
-    return folder
+    return os.path.join(tempfile.gettempdir(), f"stargrain-{spark.sparkContext.applicationId}")
 
 
 def cut(df: DataFrame) -> DataFrame:

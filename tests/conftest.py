@@ -11,8 +11,9 @@ from stargrain.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, "stargrain-tests")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(4, "stargrain-tests", **{"spark.checkpoint.dir": shared})
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.functions import expressions as X
-from stargrain.operators.rows import first_per_key, literal_row
+from stargrain.operators.rows import first_per_key, literal_row, without_match
 
 
 # --- unknown members ------------------------------------------------------------------------
@@ -105,7 +105,7 @@ def scd1_upsert(
         return F.col(c)
 
     kept = dim.join(staged, F.col(key) == F.col("_key"), "left").select(*[after(c) for c in dim.columns])
-    new = fresh.join(dim.select(key), key, "left_anti").withColumn(updated_at, ts)
+    new = without_match(fresh, key, dim, key).withColumn(updated_at, ts)
     return kept.unionByName(_with_new_keys(dim, new, key, sk))
 
 

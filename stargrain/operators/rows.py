@@ -35,15 +35,20 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], name: str = "n") -> Dat
     return df.groupBy(*keys).count().filter("count > 1").agg(F.count(F.lit(1)).alias(name))
 
 
-def orphan_keys(df: DataFrame, fk: str, ref: DataFrame, ref_key: str) -> DataFrame:
-    """(fk, rows) for foreign keys without a parent; a NULL key has none.
+def without_match(df: DataFrame, key: str, ref: DataFrame, ref_key: str) -> DataFrame:
+    """Rows of a reduced frame (grouped, or first per key) whose key is not in `ref`; NULL is not.
 
-    Both sides shrink to distinct keys before the join, so neither a hot child nor a parent
-    repeated many times reaches one task as raw rows.
+    Written as an outer join: an anti join would be moved below the grouping by the optimizer, and
+    the raw rows of a hot key would meet in one join task instead of being combined first.
     """
-    children = df.groupBy(F.col(fk).alias("_fk")).agg(F.count(F.lit(1)).alias("rows"))
-    parents = ref.select(F.col(ref_key).alias("_pk")).distinct()
-    return children.join(parents, F.col("_fk") == F.col("_pk"), "left_anti").withColumnRenamed("_fk", fk)
+    known = ref.select(F.col(ref_key).alias("_pk")).distinct().withColumn("_known", F.lit(True))
+    return df.join(known, F.col(key) == F.col("_pk"), "left").filter("_known IS NULL").drop("_pk", "_known")
+
+
+def orphan_keys(df: DataFrame, fk: str, ref: DataFrame, ref_key: str) -> DataFrame:
+    """(fk, rows) for foreign keys without a parent; a NULL key has none. Both sides shrink to
+    distinct keys before they are shuffled to the join."""
+    return without_match(frequency(df, [fk], "rows"), fk, ref, ref_key)
 
 
 def orphan_rows(df: DataFrame, fk: str, ref: DataFrame, ref_key: str, name: str = "n") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stargrain.session import configure
@@ -21,6 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+_SCHEMAS: dict = {}  # path -> schema, so that footers are read once per process
+
+
 class Tables:
     """Parquet tables of one folder, read on first use."""
 
@@ -31,7 +34,10 @@ class Tables:
         if name not in TABLES:
             raise AttributeError(name)
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            reader = self.spark.read if path not in _SCHEMAS else self.spark.read.schema(_SCHEMAS[path])
+            self._read[name] = reader.parquet(path)
+            _SCHEMAS[path] = self._read[name].schema
         return self._read[name]
 
 
@@ -47,6 +53,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def heat(props: str) -> Column:
+    """k of the flat one-field record {"k": n}. A JSON parse per row would cost more than the whole
+    rest of the scan stage."""
+    return F.regexp_extract(props, r'^\{"k": *(-?[0-9]+)\}$', 1).try_cast("int")
+
+
 def events_with_slots(t: Tables) -> DataFrame:
     """Events as forecast rows: entity, slot, run, wind and heat."""
     return t.events.select(
@@ -54,7 +66,7 @@ def events_with_slots(t: Tables) -> DataFrame:
         F.window("ts", "3 hours")["start"].alias("slot"),
         F.to_date("ts").alias("tanggal"),
         F.col("value").alias("ws"),
-        F.get_json_object("props", "$.k").cast("int").alias("suhu"),
+        heat("props").alias("suhu"),
     )
 
 

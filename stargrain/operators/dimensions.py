@@ -52,8 +52,8 @@ def number_rows(df: DataFrame, key: str, name: str, start: Column | None = None)
 
 def _with_new_keys(dim: DataFrame, new: DataFrame, key: str, sk: str) -> DataFrame:
     """Give rows of `new` the surrogate keys following the largest one in `dim`."""
-    top = dim.agg(F.greatest(F.coalesce(F.max(sk), F.lit(0)), F.lit(0)).alias("_top"))  # one row
-    numbered = number_rows(new.drop(sk).crossJoin(F.broadcast(top)), key, sk, F.col("_top"))
+    top = dim.agg(F.greatest(F.coalesce(F.max(sk), F.lit(0)), F.lit(0))).scalar()
+    numbered = number_rows(new.drop(sk), key, sk, top)
     return numbered.selectExpr(*[f"CAST({c} AS {dim.schema[c].dataType.simpleString()}) AS {c}" for c in dim.columns])
 
 

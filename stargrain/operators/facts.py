@@ -80,19 +80,21 @@ def _sweep(fact: DataFrame, versions: DataFrame, fact_key: str, event_time: str,
     over all slices; a version enters every slice that it covers.
     """
     seconds = lambda c: F.unix_timestamp(c.cast("timestamp"))
-    span = fact.agg(seconds(F.min(event_time)).alias("_lo"), seconds(F.max(event_time)).alias("_hi"))  # one row
-    width = F.col("_hi") - F.col("_lo") + 1
-    slice_of = lambda c: F.floor((seconds(c) - F.col("_lo")) * slices / width)
+    low = fact.agg(seconds(F.min(event_time))).scalar()
+    high = fact.agg(seconds(F.max(event_time))).scalar()
+    slice_of = lambda c: F.floor((seconds(c) - low) * slices / (high - low + 1))
 
     spread = (
-        versions.crossJoin(F.broadcast(span))
-        .withColumn("_first", F.greatest(slice_of(F.col("_from")), F.lit(0)))
+        versions.withColumn("_first", F.greatest(slice_of(F.col("_from")), F.lit(0)))
         .withColumn("_last", F.least(slice_of(F.col("_to")), F.lit(slices - 1)))
         .filter("_first <= _last")
         .select("_dk", "_from", "_to", "_sk", F.explode(F.sequence("_first", "_last")).alias("_m"))
     )
     version_type = "struct<sk:bigint,until:timestamp>"
-    events = fact.crossJoin(F.broadcast(span)).select(
+    # an event without key or time has no version; keeping it out also keeps NULLs out of one group
+    undated = F.col(fact_key).isNull() | F.col(event_time).isNull()
+    unmatched = fact.filter(undated).withColumn(out, F.lit(X.UNKNOWN_KEY).cast("bigint"))
+    events = fact.filter(~undated).select(
         F.col(fact_key).alias("_k"), slice_of(F.col(event_time)).alias("_m"), F.col(event_time).cast("timestamp").alias("_t"),
         F.lit(1).alias("_kind"), F.struct(*fact.columns).alias("_row"), F.lit(None).cast(version_type).alias("_v"),
     )
@@ -101,14 +103,15 @@ def _sweep(fact: DataFrame, versions: DataFrame, fact_key: str, event_time: str,
         F.lit(None).cast(events.schema["_row"].dataType).alias("_row"),
         F.struct(F.col("_sk").cast("bigint").alias("sk"), F.col("_to").cast("timestamp").alias("until")).alias("_v"),
     )
-    w = Window.partitionBy("_k", "_m").orderBy(F.col("_t").asc_nulls_first(), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("_k", "_m").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     carried = events.unionByName(marks).withColumn("_v", F.last("_v", ignorenulls=True).over(w))
     found = F.when(F.col("_t") < F.col("_v.until"), F.col("_v.sk"))
-    return (
+    matched = (
         carried.filter("_kind = 1")
         .withColumn("_sk", F.coalesce(found, F.lit(X.UNKNOWN_KEY).cast("bigint")))
         .select("_row.*", F.col("_sk").alias(out))
     )
+    return matched.unionByName(unmatched)
 
 
 # --- merge ----------------------------------------------------------------------------------

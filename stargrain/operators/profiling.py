@@ -97,9 +97,21 @@ def write_profile(result: DataFrame, path: str) -> None:
     result.write.mode("overwrite").json(path)
 
 
+REPORT_ROWS = 10_000
+
+
+def _small_result(result: DataFrame) -> list:
+    """The profile on the driver, for a report. Frequencies of a column with very many values do
+    not belong into one; such a profile is refused here and written by the executors instead."""
+    rows = result.limit(REPORT_ROWS + 1).collect()
+    if len(rows) > REPORT_ROWS:
+        raise ValueError(f"profile has more than {REPORT_ROWS} rows; use write_profile")
+    return rows
+
+
 def profile_markdown(result: DataFrame, title: str) -> str:
-    """Markdown report. Collects the profile, which holds counts and value frequencies only."""
-    rows = result.orderBy("table", "check", "metric").collect()
+    """Markdown report of a profile."""
+    rows = sorted(_small_result(result), key=lambda r: (r.table, r.check, r.metric))
     out = [f"# {title}", ""]
     table = None
     for r in rows:
@@ -111,4 +123,4 @@ def profile_markdown(result: DataFrame, title: str) -> str:
 
 
 def profile_json(result: DataFrame) -> str:
-    return json.dumps([r.asDict() for r in result.collect()], indent=2, ensure_ascii=False)
+    return json.dumps([r.asDict() for r in _small_result(result)], indent=2, ensure_ascii=False)

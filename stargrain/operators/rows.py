@@ -57,6 +57,12 @@ def orphan_rows(df: DataFrame, fk: str, ref: DataFrame, ref_key: str, name: str
     return found.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias(name))
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Columns of several one-row frames side by side, as scalar subqueries."""
+    base = frames[0].sparkSession.range(0, 1, 1, 1)
+    return base.select(*[f.select(c).scalar().alias(c) for f in frames for c in f.columns])
+
+
 def frequency(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 

@@ -199,10 +199,10 @@ def profile_orphans(t):
     """Orders without lines, customers without orders, lines whose product is not in a master
     that lacks one product type."""
     parts = t.part.filter("p_type <> 'PROMO'")
-    return (
-        rows.orphan_rows(t.orders, "o_orderkey", t.lineitem, "l_orderkey", "tanpa_item")
-        .crossJoin(rows.orphan_rows(t.customer, "c_custkey", t.orders, "o_custkey", "tanpa_pesanan"))
-        .crossJoin(rows.orphan_rows(t.lineitem, "l_partkey", parts, "p_partkey", "fk_orphan"))
+    return rows.one_row(
+        rows.orphan_rows(t.orders, "o_orderkey", t.lineitem, "l_orderkey", "tanpa_item"),
+        rows.orphan_rows(t.customer, "c_custkey", t.orders, "o_custkey", "tanpa_pesanan"),
+        rows.orphan_rows(t.lineitem, "l_partkey", parts, "p_partkey", "fk_orphan"),
     )
 
 

@@ -112,8 +112,8 @@ def dq_unreadable_numbers(t):
 def dq_metric_guard(t):
     """Days whose denominator is not the full number of entities."""
     per_day = alerts.METRIC.compute(alerts.newest(t), ["tanggal"], where="true")
-    everyone = t.events.agg(F.count_distinct("user_id").alias("_all"))  # one row
-    return per_day.crossJoin(F.broadcast(everyone)).agg(
+    everyone = t.events.agg(F.count_distinct("user_id")).scalar()
+    return per_day.withColumn("_all", everyone).agg(
         F.count_if(F.col("desa_total") != F.col("_all")).alias("hari_tidak_lengkap"), F.count(F.lit(1)).alias("hari")
     )
 
@@ -125,5 +125,4 @@ def dq_metric_guard(t):
 def stale_entities(t):
     """Entities whose newest run is older than the newest of all."""
     per = t.events.groupBy("user_id").agg(F.max(F.to_date("ts")).alias("run_terbaru"), F.count(F.lit(1)).alias("baris"))
-    newest = t.events.agg(F.max(F.to_date("ts")).alias("_newest"))  # one row
-    return per.crossJoin(F.broadcast(newest)).filter("run_terbaru < _newest").drop("_newest")
+    return per.filter(F.col("run_terbaru") < t.events.agg(F.max(F.to_date("ts"))).scalar())

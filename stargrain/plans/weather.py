@@ -217,6 +217,16 @@ def readability_expectations() -> list[Expectation]:
     return [Expectation("angka_tidak_terbaca", "t3", "warning", "pass", FORECAST, row_rule=unreadable)]
 
 
+def staging_expectations() -> list[Expectation]:
+    """The merge key after the casts: complete and unique. Different texts may be the same time."""
+    return [
+        Expectation("kunci_fakta_lengkap", "t3", "blocking", "pass", "stg_prakiraan",
+                    row_rule="kode_desa IS NULL OR waktu_utc IS NULL OR analisis_utc IS NULL OR waktu_lokal IS NULL"),
+        Expectation("kunci_fakta_unik", "t3", "blocking", "pass", "stg_prakiraan",
+                    count=quality.unique("stg_prakiraan", ["kode_desa", "waktu_utc", "analisis_utc"])),
+    ]
+
+
 def manifest_expectation(rows: int) -> Expectation:
     return Expectation("jumlah_baris_manifest", "t3", "blocking", "pass", FORECAST, count=quality.row_count_is(FORECAST, rows))
 
@@ -258,6 +268,7 @@ def load(
 
     forecasts = cut(stage_forecasts(raw[FORECAST]))
     locations = cut(stage_locations(raw))
+    quality.gate(quality.run_expectations(staging_expectations(), {"stg_prakiraan": forecasts}, spark))
 
     warehouse.publish("dim_date", calendar.build_dim_date(spark, *calendar_range), batch_id)
 

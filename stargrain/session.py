@@ -34,6 +34,7 @@ def local_session(cpus: int | str = 8, name: str = "stargrain", **conf: str) ->
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(cpus))
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")  # small inputs on many cores
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per column

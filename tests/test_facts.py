@@ -110,6 +110,32 @@ def test_small_batch_does_not_shuffle_the_target(spark, sf_dir):
     assert "hashpartitioning" not in plan
 
 
+def test_hot_key_is_split_when_the_lookup_is_shuffled(spark):
+    """Half of all events belong to one key; the join task of that key must be split at run time."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k", "spark.sql.shuffle.partitions": "16",
+    }
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 2 == 0, F.lit("k7")).otherwise(F.concat(F.lit("k"), F.col("id") % 1000))
+        events = spark.range(0, 400_000, 1, 8).select("id", key.alias("key"), F.lit(day(3)).alias("t"))
+        dim = spark.range(1000).select(
+            F.concat(F.lit("k"), "id").alias("k"), F.lit(day(0)).alias("valid_from"), F.lit(END).alias("valid_to"), (F.col("id") + 1).alias("sk")
+        )
+        out = facts.lookup_asof(events, dim, "key", "k", "t", "sk", method="join")
+        assert len(out.filter("sk = 8").collect()) == 200_000 + 400
+        out = facts.lookup_asof(events, dim, "key", "k", "t", "sk", method="join").groupBy().agg(F.sum("sk"))
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_broadcast_is_measured(spark, monkeypatch):
     df = spark.range(100).withColumn("text", F.repeat(F.lit("x"), 100))
     assert is_small(df) and not is_small(df, rows=99) and not is_small(df, size=100)

@@ -70,6 +70,18 @@ def latest_run(t):
     return run.select("user_id", "slot", "event_id", "ts", "ws", "suhu")
 
 
+@query("newest_run_overwrites", f"SELECT user_id, slot, event_id, ts, ws, suhu FROM ({NEWEST}) n")
+def newest_run_overwrites(t):
+    """The rejected grain without the run: a later batch overwrites, older runs are lost. Both
+    batches hold part of one slot, and the result equals the newest run."""
+    events = events_with_slots(t)
+    run = lambda where: facts.latest_run(events.filter(where), ["user_id", "slot"], ["ts", "event_id"])
+    columns = ["user_id", "slot", "event_id", "ts", "ws", "suhu"]
+    early = run("ts < TIMESTAMP_NTZ '2024-01-15 13:30:00'").select(*columns)
+    late = run("ts >= TIMESTAMP_NTZ '2024-01-15 13:30:00'").select(*columns)
+    return facts.merge_fact(early, late, ["user_id", "slot"], ["event_id", "ts", "ws", "suhu"])
+
+
 @query("alert_entities", f"""
     SELECT n_name AS kecamatan, c_name AS desa, slot_siaga, slot_angin, slot_suhu, slot_total,
            {share_2_sql("slot_siaga", "slot_total")} AS rasio_siaga

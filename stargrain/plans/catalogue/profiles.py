@@ -206,6 +206,14 @@ def profile_orphans(t):
     )
 
 
+@query("orphan_keys", """
+    SELECT l_partkey, count(*) AS rows FROM lineitem l
+    WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_type <> 'PROMO') GROUP BY l_partkey""")
+def orphan_keys(t):
+    """Which foreign keys lack a parent, and how many rows hang on each."""
+    return rows.orphan_keys(t.lineitem, "l_partkey", t.part.filter("p_type <> 'PROMO'"), "p_partkey")
+
+
 SUITE = (
     TableProfile(
         "orders",

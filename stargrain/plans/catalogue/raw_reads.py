@@ -28,6 +28,38 @@ def raw_csv_scan(t):
     )
 
 
+@query("slice_folder", """
+    SELECT count(*) AS baris, count(DISTINCT CAST(c_nationkey AS VARCHAR)) AS negara_unik,
+           max(CAST(c_custkey AS VARCHAR)) AS kunci_teks_max
+    FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def slice_folder(t):
+    """A slice that is a folder of its own: the other folders are not opened."""
+    path = f"{shared_folder(t.spark)}/csv/{uuid.uuid4().hex}"
+    t.customer.write.partitionBy("c_mktsegment").option("header", True).csv(path)
+    raw = read_text_csv(t.spark, f"{path}/c_mktsegment=BUILDING")
+    return raw.agg(
+        F.count(F.lit(1)).alias("baris"), F.count_distinct("c_nationkey").alias("negara_unik"), F.max("c_custkey").alias("kunci_teks_max")
+    )
+
+
+@query("staging_cast", """
+    SELECT o_orderkey AS kunci, o_orderdate AS waktu, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS tanggal_sk,
+           CAST(CAST(CAST(o_totalprice AS VARCHAR) AS DECIMAL(12,1)) AS DOUBLE) AS nilai,
+           CAST(round(o_totalprice) AS BIGINT) AS nilai_bulat, CAST(o_orderpriority AS VARCHAR) AS prioritas
+    FROM orders""")
+def staging_cast(t):
+    """Raw text renamed and cast to typed staging columns; the decimal keeps one digit."""
+    raw = as_text(t.orders)
+    return raw.select(
+        F.expr(X.bigint_text("o_orderkey")).alias("kunci"),
+        F.try_to_timestamp("o_orderdate", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").alias("waktu"),
+        X.date_key(F.col("o_orderdate").try_cast("timestamp_ntz")).alias("tanggal_sk"),
+        F.expr(f"CAST(try_cast({X.double_text('o_totalprice')} AS DECIMAL(12,1)) AS DOUBLE)").alias("nilai"),
+        F.expr(X.bigint_text("o_totalprice")).alias("nilai_bulat"),
+        F.col("o_orderpriority").alias("prioritas"),
+    )
+
+
 @query("raw_try_cast", """
     SELECT p_partkey, try_cast(CAST(p_size AS VARCHAR) AS INTEGER) AS ukuran,
            try_cast(p_name AS INTEGER) AS nama_angka,

@@ -21,6 +21,10 @@ LOCATION_KEY = "kode_desa"
 LOCATION_TRACKED = (
     "nama_desa", "kode_kecamatan", "nama_kecamatan", "kode_kabkot", "nama_kabkot", "kode_provinsi", "nama_provinsi",
 )
+LOCATION_LENGTHS = {
+    "kode_desa": 16, "nama_desa": 100, "kode_kecamatan": 10, "nama_kecamatan": 100, "kode_kabkot": 6, "nama_kabkot": 100,
+    "kode_provinsi": 2, "nama_provinsi": 100, "row_hash": 32,
+}
 UNKNOWN_LOCATION = {
     "lokasi_sk": -1, "kode_desa": "-", "nama_desa": "Tidak diketahui", "kode_kecamatan": "-",
     "nama_kecamatan": "Tidak diketahui", "kode_kabkot": "-", "nama_kabkot": "Tidak diketahui",
@@ -227,6 +231,10 @@ def staging_expectations() -> list[Expectation]:
     ]
 
 
+def too_long(limits: Mapping[str, int]) -> str:
+    return " OR ".join(f"length({c}) > {n}" for c, n in limits.items())
+
+
 def manifest_expectation(rows: int) -> Expectation:
     return Expectation("jumlah_baris_manifest", "t3", "blocking", "pass", FORECAST, count=quality.row_count_is(FORECAST, rows))
 
@@ -242,6 +250,11 @@ def warehouse_expectations(orphans_expected: str = "pass") -> list[Expectation]:
         Expectation("jam_valid", "t3", "blocking", "pass", fact, row_rule="jam_lokal IS NULL OR jam_lokal NOT BETWEEN 0 AND 23"),
         Expectation("fact_grain_unik", "t3", "blocking", "pass", fact, count=quality.unique(fact, FACT_KEY)),
         Expectation("riwayat_lokasi_utuh", "t3", "blocking", "pass", "dim_lokasi", count=quality.scd2_violations("dim_lokasi", "kode_desa")),
+        Expectation("panjang_lokasi", "t3", "blocking", "pass", "dim_lokasi", row_rule=too_long(LOCATION_LENGTHS)),
+        Expectation("lokasi_lengkap", "t3", "blocking", "pass", "dim_lokasi",
+                    row_rule=" OR ".join(f"{c} IS NULL" for c in (LOCATION_KEY, *LOCATION_TRACKED, "valid_from", "valid_to"))),
+        Expectation("panjang_cuaca", "t3", "blocking", "pass", "dim_cuaca",
+                    row_rule=too_long({"deskripsi_id": 50, "deskripsi_en": 50})),
         Expectation("lokasi_sk_unik", "t3", "blocking", "pass", "dim_lokasi", count=quality.unique("dim_lokasi", ["lokasi_sk"])),
         Expectation("kode_cuaca_unik", "t3", "blocking", "pass", "dim_cuaca", count=quality.unique("dim_cuaca", ["kode_cuaca"])),
     ]

@@ -260,7 +260,7 @@ BROKEN = f"""
     FROM {LAST}"""
 
 
-def _invariants_sql(source: str) -> str:
+def _invariants_sql() -> str:
     return f"""
     SELECT (SELECT count(*) FROM v WHERE valid_to <= valid_from) AS empty_interval,
            (SELECT count(*) FROM v WHERE is_current <> (valid_to = TIMESTAMP '9999-12-31')) AS current_not_open,
@@ -271,12 +271,12 @@ def _invariants_sql(source: str) -> str:
                AND NOT EXISTS (SELECT 1 FROM v b WHERE b.{KEY} = a.{KEY} AND b.valid_from = a.valid_to)) AS gap_after_version"""
 
 
-@query("scd2_invariants", f"{HISTORY}, v AS (SELECT * FROM {LAST})" + _invariants_sql("v"))
+@query("scd2_invariants", f"{HISTORY}, v AS (SELECT * FROM {LAST})" + _invariants_sql())
 def scd2_invariants(t):
     return quality.scd2_invariants(history(t), KEY)
 
 
-@query("scd2_invariants_broken", f"{HISTORY}, v AS ({BROKEN})" + _invariants_sql("v"))
+@query("scd2_invariants_broken", f"{HISTORY}, v AS ({BROKEN})" + _invariants_sql())
 def scd2_invariants_broken(t):
     """The same checks on a history damaged on purpose: they must find something."""
     home, building = F.col("c_mktsegment") == "HOME", F.col("c_mktsegment") == "BUILDING"

@@ -28,10 +28,15 @@ def list_csv(spark: SparkSession, folder: str) -> list[str]:
     return sorted(r.path for r in files.select("path").collect())  # metadata only, contents are pruned
 
 
-def register_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Register every CSV of a folder as view raw_<stem>; returns the frames by view name."""
+def register_folder(spark: SparkSession, folder: str, files: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    """Register every CSV of a folder as view raw_<stem>; returns the frames by view name.
+
+    With `files` only those names are read. A name may be a file or, for a large source, a folder
+    of part files.
+    """
+    paths = list_csv(spark, folder) if files is None else [f"{folder}/{f}" for f in files]
     tables = {}
-    for path in list_csv(spark, folder):
+    for path in paths:
         df = read_text_csv(spark, path)
         name = view_name(path)
         df.createOrReplaceTempView(name)

@@ -36,6 +36,13 @@ def test_folder_becomes_views(spark, folder):
     assert spark.sql("SELECT count(*) FROM raw_nilai").first()[0] == 5
 
 
+def test_named_table_may_be_a_folder_of_parts(spark, folder, tmp_path):
+    spark.range(100).selectExpr("CAST(id AS STRING) AS nim").repartition(4).write.option("header", True).csv(str(tmp_path / "presensi.csv"))
+    tables = register_folder(spark, folder, ["nilai.csv", "presensi.csv"])
+    assert sorted(tables) == ["raw_nilai", "raw_presensi"]
+    assert spark.table("raw_presensi").agg(F.count_distinct("nim")).first()[0] == 100
+
+
 def test_profile_suite_and_reports(spark, folder, tmp_path):
     tables = register_folder(spark, folder)
     spec = TableProfile(

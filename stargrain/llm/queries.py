@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stargrain.llm import exact_dedup, packing, quality_model
+from stargrain.llm import exact_dedup, line_dedup, near_dedup, packing, quality_model, url_filter
 from stargrain.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,12 +18,58 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_model.score(docs, quality_model.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=4)
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_line_dedup"] = r"""
+WITH split AS (SELECT DISTINCT coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+flat AS (
+  SELECT text, pos, trim(regexp_replace(lines[pos], '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS body,
+         CASE WHEN pos > 1 THEN lines[pos - 1] END AS before, lines[pos + 1] AS after
+  FROM (SELECT text, lines, unnest(range(1, len(lines) + 1)) AS pos FROM split)),
+short AS (
+  SELECT text, pos, before, after, len(string_split(body, ' ')) AS n,
+         regexp_replace(body, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS body
+  FROM flat WHERE len(string_split(body, ' ')) BETWEEN 3 AND 24),
+bodies AS (
+  SELECT body, n, list_slice(string_split(body, ' '), 1, 2) AS lead, count(*) AS contexts
+  FROM (SELECT DISTINCT body, n, context FROM (SELECT body, n, arg_min({'b': before, 'a': after}, pos) AS context FROM short GROUP BY body, n, text))
+  GROUP BY body, n),
+seeds AS (
+  SELECT n, lead, first(body ORDER BY contexts DESC, body) AS seed FROM bodies GROUP BY n, lead),
+joined AS (
+  SELECT b.body, b.contexts, CASE WHEN len(list_filter(range(1, b.n + 1),
+    lambda i: string_split(b.body, ' ')[i] = string_split(s.seed, ' ')[i])) / b.n >= 0.7 THEN s.seed ELSE b.body END AS template
+  FROM bodies b JOIN seeds s ON b.n = s.n AND b.lead = s.lead),
+gone AS (
+  SELECT body FROM joined WHERE template IN (SELECT template FROM joined GROUP BY template HAVING sum(contexts) >= 5)),
+drops AS (
+  SELECT text, list(DISTINCT pos) AS drop FROM short WHERE body IN (SELECT body FROM gone) GROUP BY text)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(s.lines) END AS n_lines, coalesce(len(x.drop), 0) AS n_dropped,
+       sha256(CASE WHEN x.drop IS NULL THEN s.text ELSE coalesce(array_to_string(list_transform(
+         list_filter(range(1, len(s.lines) + 1), lambda i: NOT list_contains(x.drop, i)), lambda i: s.lines[i]), chr(10)), '') END) AS kept_sha256
+FROM documents d JOIN split s ON coalesce(d.text, '') = s.text LEFT JOIN drops x ON x.text = s.text
+"""
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers

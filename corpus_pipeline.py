@@ -10,15 +10,34 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stargrain.llm import packing, quality_model
+from stargrain.llm import line_dedup, near_dedup, packing, paragraph_dedup, quality_model
 from stargrain.session import shared_folder
 
 
+def _columns(docs: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in docs.columns]
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     return quality_model.keep_good(docs, quality_model.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of recurring templates go from the texts; every document stays."""
+    return line_dedup.drop_lines(docs).select(*_columns(docs))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies one document stays."""
+    return near_dedup.drop_near_copies(docs)
+
+
+def paragraphs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Paragraphs that stand elsewhere before go from the texts; every document stays."""
+    return paragraph_dedup.drop_paragraphs(docs).select(*_columns(docs))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of what is left."""
     import public_tokenizers
@@ -28,6 +47,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", quality),
+    ("line dedup", lines),
+    ("MinHash near-dedup", near_copies),
+    ("substring dedup", paragraphs),
     ("packing", packed),
 ]
 

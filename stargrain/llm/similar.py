@@ -26,7 +26,7 @@ from stargrain.session import cut
 #: members of a bucket that one task holds at once
 CELL = 4096
 #: ids of texts to verify that are broadcast, at most (8 bytes each)
-BROADCAST_IDS = 200_000
+BROADCAST_IDS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -38,6 +38,8 @@ class Scheme:
     rows: int
     words: int
     percent: int = 80
+    #: whether one text may stand in many rows, each with its id
+    repeated: bool = False
     #: pairs whose marks agree in a smaller share aren't verified: several standard errors below `percent`
     agree: float = 0.6
 
@@ -91,7 +93,8 @@ def verified(pairs: DataFrame, units: DataFrame, scheme: Scheme) -> DataFrame:
     needed = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     if needed.count() <= BROADCAST_IDS:  # else both sides are shuffled
         needed = F.broadcast(needed)
-    texts = cut(units.join(needed, "id", "left_semi").select("id", "text"))
+    texts = units.join(needed, "id", "left_semi").select("id", "text")
+    texts = cut(texts.distinct() if scheme.repeated else texts)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
@@ -169,7 +172,8 @@ def group(units: DataFrame, scheme: Scheme) -> DataFrame:
     A text without shingles is linked with nothing. Equal sets become one before anything is banded;
     rows that share an id count as one unit. Rows without an id aren't returned.
     """
-    signed = cut(signatures(units.filter("id IS NOT NULL"), scheme))
+    signed = signatures(units.filter("id IS NOT NULL"), scheme)
+    signed = cut(signed.distinct() if scheme.repeated else signed)
     same = signed.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")).filter("c > 1")
     copies = cut(signed.join(same.drop("c"), ["set_a", "set_b", "n"]).filter("id <> rep").select("id", "rep").distinct())
     reps = cut(signed.filter("n > 0").join(copies, "id", "left_anti").select("id", "n", "marks"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.llm import exact_dedup, line_dedup, max_score, near_dedup, packing, paragraph_dedup, pieces, quality_model, url_filter
+from stargrain.llm import exact_dedup, line_dedup, max_score, near_dedup, packing, paragraph_dedup, pieces, quality_model, suffix_dedup, url_filter
 from stargrain.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_score.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

@@ -43,6 +43,15 @@ def int_text(column: str) -> str:
     return f"try_cast({bigint_text(column)} AS INT)"
 
 
+def decimal_text(column: str, precision: int, scale: int) -> str:
+    """Text to decimal, rounded half away from zero to `scale`; NULL when unreadable."""
+    return f"CASE WHEN {column} RLIKE '{_NUMBER}' THEN try_cast(trim({column}) AS DECIMAL({precision},{scale})) END"
+
+
+def blank_text(column: str) -> str:
+    return f"({column} IS NULL OR trim({column}) = '')"
+
+
 # --- missing values -------------------------------------------------------------------------
 
 def is_missing(c: Column | str) -> Column:
@@ -66,8 +75,9 @@ def date_key_or_unknown(d: Column | str) -> Column:
 
 
 def month_of_key(key: Column | str) -> Column:
-    """YYYYMMDD -> YYYYMM, the partition value. The unknown key -1 keeps a value of its own."""
-    key = _col(key)
+    """YYYYMMDD -> YYYYMM, the partition value. The unknown key -1 keeps a value of its own, and
+    NULL shares it."""
+    key = F.coalesce(_col(key), F.lit(UNKNOWN_KEY))
     return F.when(key < 0, key).otherwise(F.floor(key / 100).cast("int"))
 
 
@@ -113,7 +123,9 @@ def exact_avg(c: Column | str, scale: int = 2) -> Column:
 
 
 def circular_mean(degrees: Column | str) -> Column:
-    """Mean direction in [0, 360). Averages unit vectors, since 350 and 10 must give 0, not 180."""
+    """Mean direction in [0, 360). Averages unit vectors, since 350 and 10 must give 0, not 180.
+    Directions that cancel out have no mean: NULL."""
     rad = F.radians(_col(degrees))
-    mean = F.degrees(F.atan2(F.avg(F.sin(rad)), F.avg(F.cos(rad))))
-    return F.pmod(F.round(mean, 6), F.lit(360.0))
+    y, x = F.avg(F.sin(rad)), F.avg(F.cos(rad))
+    mean = F.pmod(F.round(F.degrees(F.atan2(y, x)), 6), F.lit(360.0))
+    return F.when(F.sqrt(x * x + y * y) > 1e-9, mean)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stargrain.functions import expressions as X
 from stargrain.operators.rows import first_per_key, literal_row, without_match
+from stargrain.session import cut
 
 
 # --- unknown members ------------------------------------------------------------------------
@@ -109,6 +110,19 @@ def scd1_upsert(
     return kept.unionByName(_with_new_keys(dim, new, key, sk))
 
 
+def load_plain(warehouse, table: str, raw: DataFrame, key: str, sk: str, ts: Column, batch_id: str, unknown: str = "TIDAK DIKETAHUI") -> DataFrame:
+    """Load an overwriting dimension of all columns of an all-text source, with its unknown member, and publish it."""
+    attrs = [c for c in raw.columns if c != key]
+    stage = raw.select(*[F.trim(c).alias(c) for c in raw.columns])
+    if warehouse.exists(table):
+        dim = warehouse.read(table)
+    else:
+        none = raw.limit(0).select(F.lit(0).cast("bigint").alias(sk), *raw.columns, F.lit(None).cast("timestamp").alias("updated_at"))
+        member = {sk: X.UNKNOWN_KEY, key: "-", **dict.fromkeys(attrs, unknown)}
+        dim = none.unionByName(literal_row(raw.sparkSession, none.schema, member).withColumn("updated_at", ts))
+    return warehouse.publish(table, scd1_upsert(dim, stage, key, attrs, ts, sk, order=attrs[:1] or [key]), batch_id)
+
+
 # --- SCD type 2 -----------------------------------------------------------------------------
 
 VERSION_COLUMNS = ("valid_from", "valid_to", "is_current", "row_hash")
@@ -131,43 +145,46 @@ def scd2_apply(
       would leave an empty interval; a `batch_ts` older than the current version raises.
 
     The comparison is with the current version only: going back to an older value is a new
-    version. `stage` must hold one row per key (see `first_per_key`).
+    version. Of several staged rows per key the first by the tracked attributes counts (NULL last);
+    staged rows without a key are left out.
+
+    Current versions and the stage meet in one full outer join, which gives each key's old version as
+    it is afterwards and, if one opens, its new version. Closed versions pass through.
     """
     ts = f"timestamp'{batch_ts}'"
     closed, current = dim.filter("NOT is_current"), dim.filter("is_current")
-    staged = stage.select(
+    fresh = first_per_key(stage.select(key, *tracked), [key], [F.col(c).asc_nulls_last() for c in tracked])
+    staged = fresh.filter(F.col(key).isNotNull()).select(
         F.col(key).alias("_key"), *[F.col(c).alias("_s_" + c) for c in tracked], X.row_hash(tracked).alias("_hash")
-    ).filter("_key IS NOT NULL")
-
-    # Current versions: kept, closed at batch_ts, or replaced when they began at batch_ts.
-    close = f"coalesce(_hash <> row_hash AND valid_from <> {ts}, false)"
-    replace = f"coalesce(_hash <> row_hash AND valid_from = {ts}, false)"
+    )
+    known = f"{key} IS NOT NULL"
+    changed = f"coalesce({known} AND _hash <> row_hash, false)"
+    close, replace = f"({changed} AND valid_from <> {ts})", f"({changed} AND valid_from = {ts})"
     late = f"raise_error(concat('batch {batch_ts} is older than the current version of ', CAST({key} AS STRING)))"
+    opened = f"(_key IS NOT NULL AND ({key} IS NULL OR {close}))"
     after = {c: f"IF({replace}, _s_{c}, {c})" for c in tracked} | {
         "valid_to": f"IF({close}, IF(valid_from > {ts}, CAST({late} AS TIMESTAMP), {ts}), valid_to)",
         "is_current": f"is_current AND NOT {close}",
         "row_hash": f"IF({replace}, _hash, row_hash)",
     }
-    kept = current.join(staged, F.col(key) == F.col("_key"), "left").selectExpr(
-        *[f"CAST({after.get(c, c)} AS {dim.schema[c].dataType.simpleString()}) AS {c}" for c in dim.columns]
-    )
+    begun = {c: f"_s_{c}" for c in tracked} | {
+        sk: "NULL", key: "_key", "valid_from": ts, "valid_to": f"timestamp'{X.OPEN_END}'", "is_current": "true", "row_hash": "_hash",
+    }
 
-    # New versions: staged keys that have no current version, or whose current version was closed.
-    state = current.selectExpr(f"{key} AS _ck", "row_hash AS _ch", "valid_from AS _cf")
+    def version(values: Mapping[str, str], state: str, keep: str) -> str:
+        fields = [f"'{c}', CAST({values.get(c, c)} AS {dim.schema[c].dataType.simpleString()})" for c in dim.columns]
+        return f"IF({keep}, named_struct({', '.join(fields)}, '_state', {state}), NULL)"
+
+    both = ", ".join([
+        version(after, "'old'", known), version(begun, f"IF({key} IS NULL, 'first', 'next')", opened),
+    ])
+    # written, so that the join isn't run once for the old and once for the numbered new versions
+    rows = cut(current.join(staged, F.col(key) == F.col("_key"), "full_outer").selectExpr(f"inline(filter(array({both}), v -> v IS NOT NULL))"))
+    kept = rows.filter("_state = 'old'").drop("_state")
     seen = closed.selectExpr(f"{key} AS _hk").distinct()
-    new = (
-        staged.join(state, F.expr("_key = _ck"), "left")
-        .filter(f"_ck IS NULL OR (_hash <> _ch AND _cf <> {ts})")
-        .join(seen, F.expr("_key = _hk"), "left")
-        .selectExpr(
-            f"_key AS {key}",
-            *[f"_s_{c} AS {c}" for c in tracked],
-            f"IF(_ck IS NULL AND _hk IS NULL, timestamp'{X.FIRST_SEEN}', {ts}) AS valid_from",
-            f"timestamp'{X.OPEN_END}' AS valid_to",
-            "true AS is_current",
-            "_hash AS row_hash",
-        )
-    )
+    first = rows.filter("_state = 'first'").join(seen, F.col(key) == F.col("_hk"), "left")
+    first = first.withColumn("valid_from", F.expr(f"IF(_hk IS NULL, timestamp'{X.FIRST_SEEN}', valid_from)")).drop("_hk", "_state")
+    new = rows.filter("_state = 'next'").drop("_state").unionByName(first)
     return closed.unionByName(kept).unionByName(_with_new_keys(dim, new, key, sk))
 
 

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stargrain.functions import expressions as X
-from stargrain.operators.rows import BROADCAST_ROWS, broadcast_if_small, first_per_key, is_small
-
-VERSIONS_PER_KEY = 1_000  # above this the as-of lookup sweeps instead of joining pairs
+from stargrain.operators.rows import first_per_key
 
 
 # --- lookups --------------------------------------------------------------------------------
@@ -19,13 +17,13 @@ VERSIONS_PER_KEY = 1_000  # above this the as-of lookup sweeps instead of joinin
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk: str, out: str | None = None) -> DataFrame:
     """Surrogate key of a dimension with one row per natural key; no match gives -1, no row is lost.
 
-    A dimension measured as small is broadcast. Otherwise Spark joins by key, and AQE splits the
-    partitions of hot keys (the dimension side is unique, so no row pairs multiply).
+    Spark broadcasts the dimension if its size at run time allows; otherwise it joins by key, and
+    AQE splits the partitions of hot keys (the dimension side is unique, so no row pairs multiply).
     """
-    keys = broadcast_if_small(dim.select(F.col(dim_key).alias("_dk"), F.col(sk).alias("_sk")))
+    keys = dim.select(F.col(dim_key).alias("_dk"), F.col(sk).alias("_sk"))
     return (
         fact.join(keys, F.col(fact_key) == F.col("_dk"), "left")
-        .withColumn(out or sk, F.coalesce("_sk", F.lit(X.UNKNOWN_KEY)))
+        .withColumn(out or sk, F.coalesce("_sk", F.lit(X.UNKNOWN_KEY).cast(dim.schema[sk].dataType)))
         .drop("_dk", "_sk")
     )
 
@@ -42,78 +40,72 @@ def lookup_asof(
 ) -> DataFrame:
     """Surrogate key of the version valid at the event: valid_from <= t < valid_to (half open).
 
-    Without a version the key is -1. Three exact ways, chosen by measuring the dimension:
-      broadcast  few versions in all: hash join on the key, range as residual condition;
-      join       few versions per key: the same join shuffled, hot fact keys split by AQE;
-      sweep      some key has very many versions: pairing rows with versions would be quadratic,
-                 so versions and events are merged in time order (`_sweep`).
+    Without a version, a key or a time it is -1, in the dimension's type. The versions of a key must
+    not overlap (`quality.scd2_violations` counts those that do). Two ways with equal results:
+      sweep  merges versions and events in time order, linear whatever the number of versions (`_sweep`);
+      join   hash join on the key with the range as residual, for keys of a few versions: every
+             event meets all versions of its key. "broadcast" asks Spark to broadcast the versions.
     """
     versions = dim.select(
         F.col(dim_key).alias("_dk"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), F.col(sk).alias("_sk")
     )
-    method = method or choose_asof(versions)
     out = out or sk
-    if method == "sweep":
-        return _sweep(fact, versions, fact_key, event_time, out)
+    unknown = F.lit(X.UNKNOWN_KEY).cast(dim.schema[sk].dataType)
+    if method in (None, "sweep"):
+        return _sweep(fact, versions, fact_key, event_time, out, unknown)
     if method == "broadcast":
         versions = F.broadcast(versions)
+    elif method != "join":
+        raise ValueError(f"unknown method {method}")
     t = F.col(event_time)
     valid = (F.col(fact_key) == F.col("_dk")) & (t >= F.col("_from")) & (t < F.col("_to"))
-    return (
-        fact.join(versions, valid, "left")
-        .withColumn(out, F.coalesce("_sk", F.lit(X.UNKNOWN_KEY)))
-        .drop("_dk", "_from", "_to", "_sk")
-    )
-
-
-def choose_asof(versions: DataFrame) -> str:
-    size = versions.groupBy("_dk").count().agg(F.sum("count").alias("n"), F.max("count").alias("m")).first()
-    if (size.m or 0) > VERSIONS_PER_KEY:
-        return "sweep"
-    return "broadcast" if (size.n or 0) <= BROADCAST_ROWS else "join"
+    return fact.join(versions, valid, "left").withColumn(out, F.coalesce("_sk", unknown)).drop("_dk", "_from", "_to", "_sk")
 
 
-def _sweep(fact: DataFrame, versions: DataFrame, fact_key: str, event_time: str, out: str, slices: int = 64) -> DataFrame:
+def _sweep(fact: DataFrame, versions: DataFrame, fact_key: str, event_time: str, out: str, unknown: Column, slices: int = 64) -> DataFrame:
     """As-of lookup in linear time: order versions and events by time, carry the last version on.
 
-    Work is cut by key and by slice of the event time span, so the events of a hot key spread
-    over all slices; a version enters every slice that it covers.
+    Work is cut by key and time slice. The slices hold equally many events of the whole fact
+    (measured quantiles), so no key can have more than 1/slices of all events in one, wherever in
+    time they lie; a version enters every slice that it covers.
     """
     seconds = lambda c: F.unix_timestamp(c.cast("timestamp"))
-    low = fact.agg(seconds(F.min(event_time))).scalar()
-    high = fact.agg(seconds(F.max(event_time))).scalar()
-    slice_of = lambda c: F.floor((seconds(c) - low) * slices / (high - low + 1))
-
-    spread = (
-        versions.withColumn("_first", F.greatest(slice_of(F.col("_from")), F.lit(0)))
-        .withColumn("_last", F.least(slice_of(F.col("_to")), F.lit(slices - 1)))
-        .filter("_first <= _last")
-        .select("_dk", "_from", "_to", "_sk", F.explode(F.sequence("_first", "_last")).alias("_m"))
-    )
-    version_type = "struct<sk:bigint,until:timestamp>"
+    shares = F.array(*[F.lit(k / slices) for k in range(1, slices)])
+    cuts = fact.agg(F.percentile_approx(seconds(F.col(event_time)), shares, 10_000)).scalar()
+
+    spread = versions.withColumn("_first", _count_cuts(cuts, seconds(F.col("_from")), slices)).withColumn(
+        "_last", _count_cuts(cuts, seconds(F.col("_to")), slices)
+    ).select("_dk", "_from", "_to", "_sk", F.explode(F.sequence("_first", "_last")).alias("_m"))
+    sk_type = versions.schema["_sk"].dataType
+    version_type = f"struct<sk:{sk_type.simpleString()},until:timestamp>"
     # an event without key or time has no version; keeping it out also keeps NULLs out of one group
     undated = F.col(fact_key).isNull() | F.col(event_time).isNull()
-    unmatched = fact.filter(undated).withColumn(out, F.lit(X.UNKNOWN_KEY).cast("bigint"))
+    unmatched = fact.filter(undated).withColumn(out, unknown)
     events = fact.filter(~undated).select(
-        F.col(fact_key).alias("_k"), slice_of(F.col(event_time)).alias("_m"), F.col(event_time).cast("timestamp").alias("_t"),
+        F.col(fact_key).alias("_k"), _count_cuts(cuts, seconds(F.col(event_time)), slices).alias("_m"),
+        F.col(event_time).cast("timestamp").alias("_t"),
         F.lit(1).alias("_kind"), F.struct(*fact.columns).alias("_row"), F.lit(None).cast(version_type).alias("_v"),
     )
     marks = spread.select(
         F.col("_dk").alias("_k"), "_m", F.col("_from").cast("timestamp").alias("_t"), F.lit(0).alias("_kind"),
         F.lit(None).cast(events.schema["_row"].dataType).alias("_row"),
-        F.struct(F.col("_sk").cast("bigint").alias("sk"), F.col("_to").cast("timestamp").alias("until")).alias("_v"),
+        F.struct(F.col("_sk").alias("sk"), F.col("_to").cast("timestamp").alias("until")).cast(version_type).alias("_v"),
     )
     w = Window.partitionBy("_k", "_m").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     carried = events.unionByName(marks).withColumn("_v", F.last("_v", ignorenulls=True).over(w))
     found = F.when(F.col("_t") < F.col("_v.until"), F.col("_v.sk"))
-    matched = (
-        carried.filter("_kind = 1")
-        .withColumn("_sk", F.coalesce(found, F.lit(X.UNKNOWN_KEY).cast("bigint")))
-        .select("_row.*", F.col("_sk").alias(out))
-    )
+    matched = carried.filter("_kind = 1").withColumn("_sk", F.coalesce(found, unknown)).select("_row.*", F.col("_sk").alias(out))
     return matched.unionByName(unmatched)
 
 
+def _count_cuts(cuts: Column, t: Column, slices: int) -> Column:
+    """How many of the slices - 1 ordered cuts lie at or before t; 0 without cuts."""
+    parts = [F.coalesce((F.get(cuts, F.lit(k)) <= t).cast("int"), F.lit(0)) for k in range(slices - 1)]
+    while len(parts) > 1:  # a balanced sum keeps the expression shallow
+        parts = [parts[k] + parts[k + 1] if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
+    return parts[0]
+
+
 # --- merge ----------------------------------------------------------------------------------
 
 def _no_surrogates(key: Sequence[str], surrogates: Sequence[str]) -> None:
@@ -128,34 +120,23 @@ def merge_fact(
     key: Sequence[str],
     update_cols: Sequence[str],
     surrogates: Sequence[str] = (),
-    method: str | None = None,
 ) -> DataFrame:
     """Insert staged rows with a new key; on a known key overwrite `update_cols` only.
 
     A staged NULL overwrites. Columns outside `update_cols` keep the value of the first load.
-    The key must be unique on both sides and not NULL (run the uniqueness expectation first).
+    The key must be unique on both sides. NULL in a key equals nothing: such rows of either side
+    stay as rows of their own (`Warehouse.merge_months` refuses them in a batch).
 
-    A stage measured as small is broadcast, and the target is streamed once without a shuffle;
-    only keys found in it come back to decide the inserts. Otherwise one full outer join.
-    `method` ("broadcast" or "shuffle") overrides the measurement.
+    One full outer join; both sides carry a mark of presence, so no value of a column decides
+    which side a row came from.
     """
     _no_surrogates(key, surrogates)
-    key = list(key)
     cols = target.columns
-    staged = stage.select(*[F.col(c).alias("_s_" + c) for c in cols])
+    known = target.withColumn("_known", F.lit(True))
+    staged = stage.select(*[F.col(c).alias("_s_" + c) for c in cols], F.lit(True).alias("_staged"))
     on = [F.col(c) == F.col("_s_" + c) for c in key]
-    hit = F.col("_s_" + key[0]).isNotNull()
-
-    method = method or ("broadcast" if is_small(stage) else "shuffle")
-    if method == "broadcast":
-        kept = target.join(F.broadcast(staged), on, "left").select(
-            *[(F.when(hit, F.col("_s_" + c)).otherwise(F.col(c)).alias(c) if c in update_cols else F.col(c)) for c in cols]
-        )
-        known = target.join(F.broadcast(stage.select(*key)), key, "left_semi").select(*key)  # at most the stage
-        return kept.unionByName(stage.select(*cols).join(F.broadcast(known), key, "left_anti"))
-
-    old = F.col(key[0]).isNotNull()
-    return target.join(staged, on, "full_outer").select(
+    hit, old = F.col("_staged").isNotNull(), F.col("_known").isNotNull()
+    return known.join(staged, on, "full_outer").select(
         *[
             (F.when(hit, F.col("_s_" + c)).otherwise(F.col(c)) if c in update_cols
              else F.when(old, F.col(c)).otherwise(F.col("_s_" + c))).alias(c)
@@ -175,17 +156,7 @@ def replace_months(target: DataFrame, stage: DataFrame, month: str) -> DataFrame
     Loses other runs stored in those months, which is why the default load merges instead.
     """
     months = stage.select(month).distinct()
-    return target.join(F.broadcast(months), month, "left_anti").unionByName(stage.select(*target.columns))
-
-
-def touched_months(target: DataFrame, stage: DataFrame, month: str) -> DataFrame:
-    """Target rows in months that the stage touches; the only ones a merge has to rewrite.
-
-    The months are read first (one value per calendar month), so the filter is a literal list
-    and prunes partitions at planning time.
-    """
-    months = [r[0] for r in stage.select(month).distinct().collect()]
-    return target.filter(F.col(month).isin(months))
+    return target.join(months, month, "left_anti").unionByName(stage.select(*target.columns))
 
 
 # --- newest run -----------------------------------------------------------------------------
@@ -207,7 +178,7 @@ def latest_run(
     if only is not None:
         if only_key not in keys:
             raise ValueError("prefilter only by a column of the run key")
-        fact = fact.join(broadcast_if_small(only.select(only_key).distinct()), only_key, "left_semi")
+        fact = fact.join(only.select(only_key), only_key, "left_semi")
     return first_per_key(fact, keys, [F.col(c).desc_nulls_last() for c in run])
 
 
@@ -227,9 +198,13 @@ def fan_out(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> Dat
 # --- proofs ---------------------------------------------------------------------------------
 
 def fingerprint(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """One row (rows, checksum) that does not depend on row order; audit columns are left out."""
+    """One row (rows, checksum) that does not depend on row order; audit columns are left out.
+
+    The hash skips NULLs, so each column's presence is hashed beside it: a value that moves to
+    another column changes the sum.
+    """
     cols = sorted(c for c in df.columns if c not in exclude)
-    h = F.xxhash64(*[F.col(c) for c in cols])
+    h = F.xxhash64(*[part for c in cols for part in (F.col(c).isNull(), F.col(c))])
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("checksum"),

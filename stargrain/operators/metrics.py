@@ -199,7 +199,20 @@ class Measure:
             raise MetricError(f"{how}({self.column}) is meaningless: {self.additivity}, use {list(self.how)}")
 
 
-_SIMPLE = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "circular_mean": X.circular_mean}
+def _exact(c: str) -> Column:
+    """Values as decimals, whose sum doesn't depend on the order in which partitions arrive."""
+    return F.col(c).cast("decimal(28,6)")
+
+
+def _sum(c: str, kind: str) -> Column:
+    return F.sum(_exact(c)).cast("double") if kind in ("double", "float") else F.sum(c)
+
+
+def _avg(c: str, kind: str) -> Column:
+    return (F.sum(_exact(c)).cast("double") / F.count(c)) if kind in ("double", "float") else F.avg(c)
+
+
+_SIMPLE = {"min": F.min, "max": F.max, "circular_mean": X.circular_mean}
 
 
 def aggregate(df: DataFrame, measure: Measure, how: str, by: Sequence[str] = (), place: str | None = None, name: str | None = None) -> DataFrame:
@@ -209,12 +222,15 @@ def aggregate(df: DataFrame, measure: Measure, how: str, by: Sequence[str] = (),
     summed per place and those sums are averaged.
     """
     measure.check(how)
+    kind = df.schema[measure.column].dataType.typeName()
     name = name or f"{how}_{measure.column}"
     if measure.additivity == SEMI and how == "sum":
         if place is None:
             raise MetricError(f"sum({measure.column}) needs the place column: it must not be added over places")
         if place in by:
-            return df.groupBy(*by).agg(F.sum(measure.column).alias(name))
-        per_place = df.groupBy(*by, place).agg(F.sum(measure.column).alias("_sum"))
+            return df.groupBy(*by).agg(_sum(measure.column, kind).alias(name))
+        per_place = df.groupBy(*by, place).agg(F.sum(_exact(measure.column)).alias("_sum"))
         return per_place.groupBy(*by).agg((F.sum("_sum").cast("double") / F.count("_sum")).alias(name))
+    if how in ("sum", "avg"):
+        return df.groupBy(*by).agg((_sum if how == "sum" else _avg)(measure.column, kind).alias(name))
     return df.groupBy(*by).agg(_SIMPLE[how](measure.column).alias(name))

@@ -97,24 +97,22 @@ def write_profile(result: DataFrame, path: str) -> None:
     result.write.mode("overwrite").json(path)
 
 
-REPORT_ROWS = 10_000
-
-
-def _small_result(result: DataFrame) -> list:
-    """The profile on the driver, for a report. Frequencies of a column with very many values do
-    not belong into one; such a profile is refused here and written by the executors instead."""
-    rows = result.limit(REPORT_ROWS + 1).collect()
-    if len(rows) > REPORT_ROWS:
-        raise ValueError(f"profile has more than {REPORT_ROWS} rows; use write_profile")
-    return rows
+def write_markdown(result: DataFrame, path: str, title: str) -> None:
+    """Markdown report, written by the executors in order: a heading and a table per profiled table,
+    one part file after the other. A frequency of very many values makes a long report, not a large driver."""
+    cell = lambda c: F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"[|\r\n]", " ")
+    line = F.concat(F.lit("| "), cell("check"), F.lit(" | "), cell("metric"), F.lit(" | "), cell("value"), F.lit(" |"))
+    head = F.concat(F.lit("## "), F.col("table"), F.lit("\n\n| check | metric | value |\n|---|---|---|"))
+    rows = result.select("table", "check", "metric", line.alias("value"))
+    heads = result.select("table").distinct().select("table", F.lit("").alias("check"), F.lit("").alias("metric"), head.alias("value"))
+    top = result.sparkSession.range(1).select(F.lit("").alias("table"), F.lit("").alias("check"), F.lit("").alias("metric"), F.lit(f"# {title}").alias("value"))
+    top.union(heads).union(rows).orderBy("table", "check", "metric").select("value").write.mode("overwrite").text(path)
 
 
 def profile_markdown(result: DataFrame, title: str) -> str:
-    """Markdown report of a profile."""
-    rows = sorted(_small_result(result), key=lambda r: (r.table, r.check, r.metric))
-    out = [f"# {title}", ""]
-    table = None
-    for r in rows:
+    """The same report as one text, for profiles without frequencies of open columns."""
+    out, table = [f"# {title}", ""], None
+    for r in result.orderBy("table", "check", "metric").toLocalIterator():
         if r.table != table:
             table = r.table
             out += [f"## {table}", "", "| check | metric | value |", "|---|---|---|"]
@@ -123,4 +121,5 @@ def profile_markdown(result: DataFrame, title: str) -> str:
 
 
 def profile_json(result: DataFrame) -> str:
-    return json.dumps([r.asDict() for r in _small_result(result)], indent=2, ensure_ascii=False)
+    """The profile as one JSON text; `write_profile` lets the executors write it."""
+    return json.dumps([r.asDict() for r in result.orderBy("table", "check", "metric").toLocalIterator()], indent=2, ensure_ascii=False)

@@ -65,25 +65,3 @@ def one_row(*frames: DataFrame) -> DataFrame:
 
 def frequency(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
-BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measured, not estimated: does `df` stay within the broadcast bounds?
-
-    One aggregate over `df`; text counts by its length, every other column as 16 bytes.
-    """
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    width = F.lit(16 * (len(df.columns) - len(text))).cast("bigint")
-    for c in text:
-        width = width + F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0))
-    found = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
-    return found.n <= rows and found.b <= size
-
-
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Broadcast hint only behind the measurement; otherwise Spark shuffles, and AQE splits hot keys."""
-    return F.broadcast(df) if is_small(df) else df

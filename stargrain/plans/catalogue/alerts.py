@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from stargrain.functions import expressions as X
 from stargrain.operators import calendar, facts, metrics
-from stargrain.operators.rows import broadcast_if_small
 from stargrain.plans.catalogue.base import NEWEST, PLACES, Tables, events_with_slots, places, query, share_2_sql
 
 AREA = "ASIA"
@@ -38,22 +37,20 @@ AREA_SLOTS = f"""
 WIND, HEAT = "ws >= 200.0", "suhu >= 95.0"
 ALERT = f"({WIND} OR {HEAT})"
 DAILY = f"""
-    SELECT tanggal, dayname(tanggal) AS nama_hari,
-           count(DISTINCT c_custkey) AS desa_total,
-           count(*) AS slot_total,
-           count(DISTINCT c_custkey) FILTER (WHERE {ALERT}) AS desa_siaga,
-           count(*) FILTER (WHERE {ALERT}) AS slot_siaga,
-           count(*) FILTER (WHERE {WIND}) AS slot_angin,
-           count(*) FILTER (WHERE {HEAT}) AS slot_suhu,
-           max(ws) AS ws_maks, max(suhu) AS t_maks
-    FROM ({AREA_SLOTS}) s GROUP BY tanggal"""
+    SELECT tanggal, dayname(tanggal) AS nama_hari, count(*) AS desa_total, CAST(sum(slot) AS BIGINT) AS slot_total,
+           count(*) FILTER (WHERE siaga > 0) AS desa_siaga, CAST(sum(siaga) AS BIGINT) AS slot_siaga,
+           CAST(sum(angin) AS BIGINT) AS slot_angin, CAST(sum(panas) AS BIGINT) AS slot_suhu, max(ws_maks) AS ws_maks, max(t_maks) AS t_maks
+    FROM (SELECT tanggal, c_custkey, count(*) AS slot, count(*) FILTER (WHERE {ALERT}) AS siaga, count(*) FILTER (WHERE {WIND}) AS angin,
+                 count(*) FILTER (WHERE {HEAT}) AS panas, max(ws) AS ws_maks, max(suhu) AS t_maks
+          FROM ({AREA_SLOTS}) s GROUP BY tanggal, c_custkey) per_desa
+    GROUP BY tanggal"""
 
 
 def newest(t: Tables, area: str | None = None) -> DataFrame:
     """Newest run per entity and slot with the place of the entity. A place has one version only,
     so it can be joined, and the area filtered, before rows are shuffled for the window."""
     where = places(t).filter(F.col("r_name") == area) if area else places(t)
-    slots = events_with_slots(t).join(broadcast_if_small(where), F.col("user_id") == F.col("c_custkey"))
+    slots = events_with_slots(t).join(where, F.col("user_id") == F.col("c_custkey"))
     return facts.latest_run(slots, ["user_id", "slot"], ["ts", "event_id"])
 
 
@@ -93,18 +90,18 @@ def alert_entities(t):
     return metrics.alert_entities(newest(t, AREA), {"n_name": "kecamatan", "c_name": "desa"}, CAUSES)
 
 
+PER_AREA = f"""
+    SELECT n_name, count(DISTINCT c_custkey) AS semua, count(DISTINCT CASE WHEN {ALERT} THEN c_custkey END) AS kena,
+           count(CASE WHEN {ALERT} THEN 1 END) AS slot, max(ws) AS ws_maks, max(suhu) AS t_maks
+    FROM ({AREA_SLOTS}) s GROUP BY n_name"""
+
+
 @query("alert_rank", f"""
-    WITH desa AS (
-        SELECT n_name, c_custkey, count(*) FILTER (WHERE {ALERT}) AS slot_siaga, max(ws) AS ws_maks, max(suhu) AS t_maks
-        FROM ({AREA_SLOTS}) s GROUP BY n_name, c_custkey),
-    kecamatan AS (
-        SELECT n_name AS kecamatan, count(*) AS desa_total, count(*) FILTER (WHERE slot_siaga > 0) AS desa_siaga,
-               CAST(sum(slot_siaga) AS BIGINT) AS slot_siaga, max(ws_maks) AS ws_maks, max(t_maks) AS t_maks
-        FROM desa GROUP BY n_name)
-    SELECT CAST(rank() OVER (ORDER BY CAST(desa_siaga AS DOUBLE) / desa_total DESC, slot_siaga DESC) AS INTEGER) AS peringkat,
-           kecamatan, desa_total, desa_siaga, {share_2_sql("desa_siaga", "desa_total")} AS rasio_desa,
-           slot_siaga, ws_maks, t_maks
-    FROM kecamatan""")
+    SELECT CAST(1 + count(lain.n_name) AS INTEGER) AS peringkat, ini.n_name AS kecamatan, ini.semua AS desa_total, ini.kena AS desa_siaga,
+           {share_2_sql("ini.kena", "ini.semua")} AS rasio_desa, ini.slot AS slot_siaga, ini.ws_maks, ini.t_maks
+    FROM ({PER_AREA}) ini LEFT JOIN ({PER_AREA}) lain
+      ON lain.kena * ini.semua > ini.kena * lain.semua OR (lain.kena * ini.semua = ini.kena * lain.semua AND lain.slot > ini.slot)
+    GROUP BY ini.n_name, ini.semua, ini.kena, ini.slot, ini.ws_maks, ini.t_maks""")
 def alert_rank(t):
     return metrics.alert_rank(newest(t, AREA), "c_custkey", "n_name", CAUSES, MAXIMA)
 
@@ -192,15 +189,15 @@ def semi_additive_per_place(t):
     FROM ({MEASURED}) m GROUP BY r_name""")
 def additive_and_extremes(t):
     m = _measured(t)
-    for measure, how in ((SLOTS, "sum"), (VALUE, "min"), (VALUE, "max")):
-        measure.check(how)
-    return m.groupBy("r_name").agg(F.sum("jumlah_slot").alias("slot"), F.min("ws").alias("ws_min"), F.max("ws").alias("ws_maks"))
+    parts = [metrics.aggregate(m, measure, how, ["r_name"], name=name)
+             for measure, how, name in ((SLOTS, "sum", "slot"), (VALUE, "min", "ws_min"), (VALUE, "max", "ws_maks"))]
+    return parts[0].join(parts[1], "r_name").join(parts[2], "r_name")
 
 
 @query("average_measure", f"""
     SELECT tanggal, CAST(sum(hujan) AS DOUBLE) / count(hujan) AS ws_rata FROM ({MEASURED}) m GROUP BY tanggal""")
 def average_measure(t):
-    return _measured(t).groupBy("tanggal").agg(X.exact_avg("ws").alias("ws_rata"))
+    return metrics.aggregate(_measured(t), VALUE, "avg", ["tanggal"], name="ws_rata")
 
 
 @query("circular_mean", f"""

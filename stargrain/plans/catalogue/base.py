@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stargrain.functions import expressions as X
 from stargrain.session import configure
 
 TABLES = (
@@ -21,9 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-_SCHEMAS: dict = {}  # path -> schema, so that footers are read once per process
-
-
 class Tables:
     """Parquet tables of one folder, read on first use."""
 
@@ -34,10 +32,7 @@ class Tables:
         if name not in TABLES:
             raise AttributeError(name)
         if name not in self._read:
-            path = f"{self.folder}/{name}.parquet"
-            reader = self.spark.read if path not in _SCHEMAS else self.spark.read.schema(_SCHEMAS[path])
-            self._read[name] = reader.parquet(path)
-            _SCHEMAS[path] = self._read[name].schema
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._read[name]
 
 
@@ -54,16 +49,21 @@ def query(name: str, sql: str | None = None):
 
 
 def heat(props: str) -> Column:
-    """k of the flat one-field record {"k": n}. A JSON parse per row would cost more than the whole
-    rest of the scan stage."""
-    return F.regexp_extract(props, r'^\{"k": *(-?[0-9]+)\}$', 1).try_cast("int")
+    """k of a JSON record as a whole number; NULL without one."""
+    return F.expr(X.int_text(f"get_json_object({props}, '$.k')"))
+
+
+def slot_of(t: Tables, ts: str = "ts") -> Column:
+    """Start of the 3-hour slot of a time; NULL without one. (A window would drop such rows.)"""
+    kind = t.events.schema[ts].dataType.simpleString()
+    return F.expr(f"CAST(to_date({ts}) AS {kind}) + make_dt_interval(0, hour({ts}) div 3 * 3)")
 
 
 def events_with_slots(t: Tables) -> DataFrame:
     """Events as forecast rows: entity, slot, run, wind and heat."""
     return t.events.select(
         "event_id", "user_id", "ts",
-        F.window("ts", "3 hours")["start"].alias("slot"),
+        slot_of(t).alias("slot"),
         F.to_date("ts").alias("tanggal"),
         F.col("value").alias("ws"),
         heat("props").alias("suhu"),
@@ -80,7 +80,7 @@ def places(t: Tables) -> DataFrame:
 
 EVENT_SLOTS = """
     SELECT event_id, user_id, ts, time_bucket(INTERVAL '3 hours', ts) AS slot, CAST(ts AS DATE) AS tanggal,
-           value AS ws, CAST(json_extract_string(props, '$.k') AS INTEGER) AS suhu
+           value AS ws, try_cast(json_extract_string(props, '$.k') AS INTEGER) AS suhu
     FROM events"""
 
 NEWEST = f"""

@@ -63,8 +63,8 @@ def fact_merge(t):
 
 @query("fact_merge_shuffled", CTES + " SELECT * FROM merged")
 def fact_merge_shuffled(t):
-    """The same merge for a batch too large to broadcast."""
-    return facts.merge_fact(target(t), stage(t), KEY, UPDATES, method="shuffle")
+    """The same merge, sorted on both sides."""
+    return facts.merge_fact(target(t), stage(t).hint("merge"), KEY, UPDATES)
 
 
 @query("fact_merge_twice", CTES + " SELECT * FROM merged")
@@ -142,18 +142,130 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumn("tanggal_sk", X.date_key("tanggal"))
 
 
-@query("warehouse_month_load", CTES + f"""
+MONTH_KEY = ("o_orderkey", "tanggal_sk")
+
+
+def _warehouse(t: Tables) -> Warehouse:
+    return Warehouse(t.spark, f"{shared_folder(t.spark)}/wh/{uuid.uuid4().hex}")
+
+
+def _merge(w: Warehouse, rows: DataFrame, batch_id: str) -> DataFrame:
+    return w.merge_months("fact_pesanan", rows, MONTH_KEY, UPDATES, batch_id, "tanggal_sk")
+
+
+def _per_month(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("bulan").agg(
+        F.count(F.lit(1)).alias("baris"), F.sum(F.col("nilai").cast("decimal(18,2)")).cast("double").alias("nilai"),
+        F.count_if(F.col("prioritas") == "BARU").alias("baru"),
+    )
+
+
+PER_MONTH = f"""
     SELECT {MONTH} AS bulan, count(*) AS baris, CAST(sum(CAST(nilai AS DECIMAL(18,2))) AS DOUBLE) AS nilai,
-           count(*) FILTER (WHERE prioritas = 'BARU') AS baru
-    FROM merged GROUP BY 1""")
+           count(*) FILTER (WHERE prioritas = 'BARU') AS baru"""
+
+
+@query("warehouse_month_load", CTES + PER_MONTH + " FROM merged GROUP BY 1")
 def warehouse_month_load(t):
     """First load, batch, and batch again through the published table; only touched months are
-    rewritten."""
-    w = Warehouse(t.spark, f"{shared_folder(t.spark)}/wh/{uuid.uuid4().hex}")
-    key = ("o_orderkey", "tanggal_sk")
+    written anew."""
+    w = _warehouse(t)
     for batch_id, rows in (("1", target(t)), ("2", stage(t)), ("2", stage(t))):
-        w.merge_months("fact_pesanan", _keyed(rows), key, UPDATES, batch_id, "tanggal_sk")
-    return w.read("fact_pesanan").groupBy("bulan").agg(
-        F.count(F.lit(1)).alias("baris"), F.sum(F.col("nilai").cast("decimal(18,2)")).cast("double").alias("nilai"),
-        F.count_if(F.col("prioritas") == "BARU").alias("baru"),
+        _merge(w, _keyed(rows), batch_id)
+    return _per_month(w.read("fact_pesanan"))
+
+
+@query("warehouse_four_loads", CTES + PER_MONTH + " FROM stage GROUP BY 1")
+def warehouse_four_loads(t):
+    """The same batch four times, the first of them into an empty warehouse."""
+    w = _warehouse(t)
+    for _ in range(4):
+        _merge(w, _keyed(stage(t)), "2")
+    return _per_month(w.read("fact_pesanan"))
+
+
+@query("warehouse_repeated_key", CTES + """
+    SELECT true AS ditolak_awal, true AS ditolak_lanjut, true AS ditolak_null, (SELECT count(*) FROM target) AS baris""")
+def warehouse_repeated_key(t):
+    """A batch that repeats a key, or lacks one, is refused, as first load and later, and leaves nothing behind."""
+    w, rows = _warehouse(t), _keyed(stage(t))
+
+    def refused(bad: DataFrame) -> bool:
+        try:
+            _merge(w, bad, "bad")
+        except ValueError:
+            return True
+        return False
+
+    first = refused(rows.union(rows))
+    _merge(w, _keyed(target(t)), "1")
+    missing = rows.withColumn("o_orderkey", F.when(F.col("status") != "F", F.col("o_orderkey")))
+    found = first, refused(rows.union(rows)), refused(missing)
+    names = ("ditolak_awal", "ditolak_lanjut", "ditolak_null")
+    return w.read("fact_pesanan").agg(F.count(F.lit(1)).alias("baris")).select(*[F.lit(r).alias(n) for r, n in zip(found, names)], "baris")
+
+
+@query("warehouse_null_dates", CTES + f"""
+    SELECT CASE WHEN status = 'P' THEN -1 ELSE {MONTH} END AS bulan, count(*) AS baris FROM
+        (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS tanggal, o_orderstatus AS status FROM orders) o GROUP BY 1""")
+def warehouse_null_dates(t):
+    """Two batches with rows that have no date: those of the first stay when the second comes."""
+    w = _warehouse(t)
+    undated = t.orders.select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.to_date("o_orderdate")).alias("tanggal"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("nilai"), F.col("o_orderpriority").alias("prioritas"),
     )
+    for k in (0, 1):
+        _merge(w, _keyed(undated.filter(F.col("o_orderkey") % 2 == k)), str(k))
+    return w.read("fact_pesanan").groupBy("bulan").agg(F.count(F.lit(1)).alias("baris"))
+
+
+@query("warehouse_dead_load", CTES + PER_MONTH + " FROM stage GROUP BY 1")
+def warehouse_dead_load(t):
+    """Rows that a load left before it could publish them never show, not even with the next good load."""
+    w = _warehouse(t)
+    dead = _keyed(target(t)).withColumns({"bulan": X.month_of_key("tanggal_sk"), "_v": F.lit("dead")})
+    dead.write.partitionBy("bulan", "_v").parquet(f"{w.root}/fact_pesanan/months")
+    _merge(w, _keyed(stage(t)), "2")
+    return _per_month(w.read("fact_pesanan"))
+
+
+@query("warehouse_kinds", CTES + """
+    SELECT true AS gabung_ditolak, true AS tambah_ditolak, count(*) AS baris FROM target""")
+def warehouse_kinds(t):
+    """A table that is published whole refuses a merge and an append, which would hide each other."""
+    w = _warehouse(t)
+    w.publish("fact_pesanan", _keyed(target(t)), "1")
+    refused = []
+    for write in (lambda: _merge(w, _keyed(stage(t)), "2"), lambda: w.append("fact_pesanan", _keyed(stage(t)), "3")):
+        try:
+            write()
+            refused.append(False)
+        except ValueError:
+            refused.append(True)
+    return w.read("fact_pesanan").agg(F.count(F.lit(1)).alias("baris")).select(
+        F.lit(refused[0]).alias("gabung_ditolak"), F.lit(refused[1]).alias("tambah_ditolak"), "baris")
+
+
+@query("warehouse_replace_months", CTES + PER_MONTH + f""" FROM (
+        SELECT * FROM target WHERE {MONTH} NOT IN (SELECT {MONTH} FROM stage) UNION ALL SELECT * FROM stage) x GROUP BY 1""")
+def warehouse_replace_months(t):
+    """The months of a batch are replaced in the published table; the others aren't touched."""
+    w = _warehouse(t)
+    _merge(w, _keyed(target(t)), "1")
+    return _per_month(w.replace_months("fact_pesanan", _keyed(stage(t)), "2", "tanggal_sk"))
+
+
+@query("merge_null_keys", CTES + """
+    SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey, tanggal, status, nilai, prioritas FROM target
+    WHERE o_orderkey % 7 = 0 OR NOT EXISTS (SELECT 1 FROM stage s WHERE s.o_orderkey = target.o_orderkey AND s.tanggal = target.tanggal)
+    UNION ALL
+    SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END, tanggal, status, nilai, prioritas FROM stage
+    WHERE o_orderkey % 7 = 0 OR NOT EXISTS (SELECT 1 FROM target t WHERE t.o_orderkey = stage.o_orderkey AND t.tanggal = stage.tanggal)
+    UNION ALL
+    SELECT s.o_orderkey, s.tanggal, s.status, s.nilai, t.prioritas
+    FROM stage s JOIN target t ON t.o_orderkey = s.o_orderkey AND t.tanggal = s.tanggal WHERE s.o_orderkey % 7 <> 0""")
+def merge_null_keys(t):
+    """NULL in a key equals nothing: such rows of either side stay as they are."""
+    holes = lambda df: df.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey")))
+    return facts.merge_fact(holes(target(t)), holes(stage(t)), KEY, UPDATES).orderBy(F.col("o_orderkey").asc_nulls_last())

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.functions import expressions as X
-from stargrain.plans.catalogue.base import TABLES, Tables, query
+from stargrain.plans.catalogue.base import TABLES, Tables, heat, query, slot_of
 from stargrain.session import shared_folder
-from stargrain.sources.raw import as_text, read_text_csv, slice_by
+from stargrain.sources.raw import as_text, read_text_csv, register_folder, slice_by
 
 
 @query("raw_csv_scan", """
@@ -28,6 +28,41 @@ def raw_csv_scan(t):
     )
 
 
+@query("raw_csv_quoted", """
+    SELECT s_nationkey AS negara, 'kata "' || s_name || '", lalu' || chr(10) || 'baris kedua' AS teks FROM supplier""")
+def raw_csv_quoted(t):
+    """Fields with quotes, commas and line ends come back as they were."""
+    path = f"{shared_folder(t.spark)}/csv/{uuid.uuid4().hex}"
+    text = F.concat(F.lit('kata "'), "s_name", F.lit('", lalu\nbaris kedua'))
+    t.supplier.select("s_nationkey", text.alias("teks")).write.options(header=True, escape='"').csv(path)
+    raw = read_text_csv(t.spark, path, multiline=True)
+    return raw.select(F.col("s_nationkey").cast(t.supplier.schema["s_nationkey"].dataType).alias("negara"), "teks")
+
+
+@query("raw_folder_of_parts", """
+    SELECT 'raw_nation' AS sumber, count(*) AS baris FROM nation UNION ALL SELECT 'raw_orders', count(*) FROM orders""")
+def raw_folder_of_parts(t):
+    """Sources of a folder, one of them a folder of parts itself, without naming them."""
+    path = f"{shared_folder(t.spark)}/csv/{uuid.uuid4().hex}"
+    for name in ("nation", "orders"):
+        getattr(t, name).repartition(3).write.option("header", True).csv(f"{path}/{name}.csv")
+    found = register_folder(t.spark, path)
+    one = [df.agg(F.count(F.lit(1)).alias("baris")).select(F.lit(v).alias("sumber"), "baris") for v, df in found.items()]
+    return reduce(DataFrame.unionByName, one)
+
+
+@query("json_shapes", """
+    SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) WHEN 1 THEN 7 WHEN 2 THEN 8 END AS suhu,
+           CASE WHEN event_id % 5 > 0 THEN time_bucket(INTERVAL '3 hours', ts) END AS slot
+    FROM events""")
+def json_shapes(t):
+    """k from records of several shapes; rows without a time keep their place without a slot."""
+    part = F.col("event_id") % 4
+    props = F.when(part == 0, F.col("props")).when(part == 1, '{ "k":7, "z": 1}').when(part == 2, '{"z": {"k": 1}, "k": 7.5}').otherwise("{}")
+    rows = t.events.select("event_id", props.alias("p"), F.when(F.col("event_id") % 5 > 0, F.col("ts")).alias("ts"))
+    return rows.select("event_id", heat("p").alias("suhu"), slot_of(t).alias("slot"))
+
+
 @query("slice_folder", """
     SELECT count(*) AS baris, count(DISTINCT CAST(c_nationkey AS VARCHAR)) AS negara_unik,
            max(CAST(c_custkey AS VARCHAR)) AS kunci_teks_max

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stargrain.sources.raw import register_folder, slice_tables
+from stargrain.plans import campus, sales
+from stargrain.sources.raw import register_folder, slice_by
 
 
 @dataclass(frozen=True)
@@ -27,6 +30,7 @@ class Topic:
     fact: str
     grain: str
     slices: dict[str, Slice]
+    rule: Callable[[dict[str, DataFrame], Mapping[str, str]], dict[str, DataFrame]] | None = None
 
     def slice(self, slice_id: str) -> Slice:
         if slice_id not in self.slices:
@@ -38,35 +42,63 @@ class Topic:
         return f"{root}/{self.folder}" + (f"/{part}" if part else "")
 
     def tables(self, spark: SparkSession, root: str, slice_id: str) -> dict[str, DataFrame]:
-        """Raw views of the slice folder, with the slice predicates that name a raw table applied."""
-        raw = register_folder(spark, self.path(root, slice_id))
-        by_view = {f"raw_{name}": p for name, p in self.slice(slice_id).where.items()}
-        return slice_tables(raw, by_view)
+        """Raw views of the slice folder's sources, cut to the slice."""
+        return self.cut(register_folder(spark, self.path(root, slice_id)), slice_id)
+
+    def cut(self, raw: Mapping[str, DataFrame], slice_id: str) -> dict[str, DataFrame]:
+        """Rows of the slice: those its predicates choose, and rows of the tables that depend on them."""
+        where = self.slice(slice_id).where
+        return self.rule(dict(raw), where) if self.rule and where else dict(raw)
+
+
+def _depending(df: DataFrame, key: str, chosen: DataFrame) -> DataFrame:
+    """Rows whose key, trimmed, is among the chosen ones."""
+    ids = chosen.select(F.col(key).alias("_chosen")).distinct()
+    return df.join(ids, F.trim(F.col(key)) == F.col("_chosen"), "left_semi")
+
+
+def cohort_rows(raw: dict[str, DataFrame], where: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Students of the cohort, and the attendance and marks of these students."""
+    chosen = campus.students_of(raw["raw_mahasiswa"], where["mahasiswa"])
+    return {name: _depending(df, "nim", chosen) if name in ("raw_mahasiswa", "raw_presensi", "raw_nilai") else df for name, df in raw.items()}
+
+
+def outlet_rows(raw: dict[str, DataFrame], where: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Outlets by `outlet_dim`; transactions whose newest record fits `outlets` and, in the outlet's local time,
+    `hari`, with all their records; and their items. Products and customers stay whole."""
+    chosen = sales.clean_transactions(raw["raw_transactions"], where.get("outlets"), where.get("hari"))
+    out = dict(raw)
+    out["raw_outlets"] = slice_by(raw["raw_outlets"], where.get("outlet_dim"))
+    for name in ("raw_transactions", "raw_transaction_items"):
+        out[name] = _depending(raw[name], "transaction_id", chosen)
+    return out
 
 
 # Topics, files, grains and slice predicates.
 TOPICS = {
     "t1": Topic(
-        label="T1 Kampus — Presensi & Kelulusan",
+        label="T1: kehadiran dan kelulusan kampus",
         folder="t1_kampus",
         files=("mahasiswa.csv", "matakuliah.csv", "presensi.csv", "nilai.csv"),
         fact="fact_presensi",
-        grain="Satu baris = satu mahasiswa pada satu pertemuan satu mata kuliah.",
+        grain="satu baris per mahasiswa, mata kuliah, dan pertemuan",
+        rule=cohort_rows,
         slices={
-            "k4": Slice("Angkatan 2024", {"mahasiswa": "angkatan = '2024'"}),
-            "k5": Slice("Angkatan 2023", {"mahasiswa": "angkatan = '2023'"}),
-            "k7": Slice("Angkatan 2022", {"mahasiswa": "angkatan = '2022'"}),
+            "k4": Slice("mahasiswa angkatan 2024", {"mahasiswa": "angkatan = '2024'"}),
+            "k5": Slice("mahasiswa angkatan 2023", {"mahasiswa": "angkatan = '2023'"}),
+            "k7": Slice("mahasiswa angkatan 2022", {"mahasiswa": "angkatan = '2022'"}),
         },
     ),
     "t2": Topic(
-        label="T2 POS UMKM — Multi-Outlet",
+        label="T2: kasir UMKM dengan beberapa outlet",
         folder="t2_umkm",
         files=("outlets.csv", "products.csv", "customers.csv", "transactions.csv", "transaction_items.csv"),
         fact="fact_sales_item",
-        grain="Satu baris = satu item produk pada satu transaksi.",
+        grain="satu baris per transaksi dan produk di dalamnya",
+        rule=outlet_rows,
         slices={
             "k8": Slice(
-                "Outlet A+B+C, 12 bulan",
+                "tiga outlet, setahun penuh",
                 {
                     "outlet_dim": "outlet_id IN ('OUT-A','OUT-B','OUT-C')",
                     "outlets": "outlet_id IN ('OUT-A','OUT-B','OUT-C')",
@@ -74,7 +106,7 @@ TOPICS = {
                 },
             ),
             "k9": Slice(
-                "Outlet A saja, 6 bulan (scope -20%)",
+                "satu outlet, setengah tahun",
                 {
                     "outlet_dim": "outlet_id = 'OUT-A'",
                     "outlets": "outlet_id = 'OUT-A'",
@@ -84,16 +116,16 @@ TOPICS = {
         },
     ),
     "t3": Topic(
-        label="T3 Cuaca Ekstrem per Desa (BMKG)",
+        label="T3: cuaca ekstrem per desa",
         folder="t3_publik",
         files=("provinsi.csv", "kabkot.csv", "kecamatan.csv", "desa.csv", "prakiraan_cuaca.csv"),
         fact="fact_prakiraan_cuaca",
-        grain="Satu baris = satu desa pada satu slot prakiraan.",
+        grain="satu baris per desa, slot prakiraan, dan waktu analisis",
         slices={
-            "k1": Slice("Kota Bogor (Jawa Barat)", folder="k1"),
-            "k2": Slice("Kota Semarang (Jawa Tengah)", folder="k2"),
-            "k3": Slice("Kota Makassar (Sulawesi Selatan)", folder="k3"),
-            "k6": Slice("Kota Denpasar (Bali)", folder="k6"),
+            "k1": Slice("Bogor", folder="k1"),
+            "k2": Slice("Semarang", folder="k2"),
+            "k3": Slice("Makassar", folder="k3"),
+            "k6": Slice("Denpasar", folder="k6"),
         },
     ),
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stargrain.functions import expressions as X
 from stargrain.operators import calendar, dimensions, facts, metrics, quality
 from stargrain.operators.quality import Expectation
-from stargrain.operators.rows import broadcast_if_small, first_per_key, literal_row
+from stargrain.operators.rows import first_per_key, literal_row
 from stargrain.session import cut
 from stargrain.sources.warehouse import Warehouse
 
@@ -239,6 +239,31 @@ def manifest_expectation(rows: int) -> Expectation:
     return Expectation("jumlah_baris_manifest", "t3", "blocking", "pass", FORECAST, count=quality.row_count_is(FORECAST, rows))
 
 
+# Forecast rows of each slice.
+MANIFEST_ROWS = {"k1": 1156, "k2": 3009, "k3": 2874, "k6": 774}
+
+
+def metric_expectations() -> list[Expectation]:
+    """Guards of the alert metric: on no day may villages in alert exceed villages with a forecast, and the
+    denominator should be all villages of the forecast. Days at the edges of the window may lack some."""
+    def per_day(tables: Mapping[str, DataFrame]) -> DataFrame:
+        fact, places, days = (tables[t] for t in ("fact_prakiraan_cuaca", "dim_lokasi", "dim_date"))
+        return REGISTRY.get("desa_siaga_harian").compute(dated(newest_slots(fact, places, "true"), days), ["tanggal"], where="true")
+
+    def beyond(tables: Mapping[str, DataFrame]) -> DataFrame:
+        return per_day(tables).agg(F.count_if(F.col("desa_siaga") > F.col("desa_total")).cast("bigint").alias("n"))
+
+    def incomplete(tables: Mapping[str, DataFrame]) -> DataFrame:
+        everyone = tables["fact_prakiraan_cuaca"].agg(F.count_distinct("kode_desa")).scalar()
+        return per_day(tables).agg(F.count_if(F.col("desa_total") != everyone).cast("bigint").alias("n"))
+
+    table = "fact_prakiraan_cuaca"
+    return [
+        Expectation("siaga_dalam_batas", "t3", "blocking", "pass", table, count=beyond),
+        Expectation("penyebut_lengkap", "t3", "warning", "pass", table, count=incomplete),
+    ]
+
+
 def warehouse_expectations(orphans_expected: str = "pass") -> list[Expectation]:
     """Checks after the load: fact filled, every row dated, no unknown member, sound history."""
     fact = "fact_prakiraan_cuaca"
@@ -270,14 +295,20 @@ def load(
     expectations: list[Expectation] | None = None,
     loaded_at=None,
     calendar_range: tuple[str, str] = ("2024-01-01", "2027-12-31"),
+    after: list[Expectation] | None = None,
+    manifest_rows: int | None = None,
 ) -> DataFrame:
-    """One batch: gate on the source, then calendar, weather codes, locations, fact, in that order.
+    """One batch: gate on the source (with the slice's row count, if its manifest states one), then
+    calendar, weather codes, locations, fact, in that order, and a gate on the result.
 
     Repeating a batch leaves every table as it was, apart from audit columns.
     """
     spark = warehouse.spark
     now = loaded_at if loaded_at is not None else F.current_timestamp()
-    quality.gate(quality.run_expectations(expectations if expectations is not None else source_expectations(), raw, spark))
+    checks = list(source_expectations() if expectations is None else expectations)
+    if manifest_rows is not None:
+        checks.append(manifest_expectation(manifest_rows))
+    quality.gate(quality.run_expectations(checks, raw, spark))
 
     forecasts = cut(stage_forecasts(raw[FORECAST]))
     locations = cut(stage_locations(raw))
@@ -295,11 +326,14 @@ def load(
     dim_lokasi = warehouse.publish(
         "dim_lokasi", dimensions.scd2_apply(places, locations, LOCATION_KEY, LOCATION_TRACKED, batch_ts, "lokasi_sk"), batch_id
     )
-    return warehouse.merge_months(
+    fact = warehouse.merge_months(
         "fact_prakiraan_cuaca",
         assemble_fact(forecasts, dim_lokasi, dim_cuaca, batch_id, now),
         FACT_KEY, FACT_UPDATES, batch_id, "tanggal_sk", SURROGATES, sort=("lokasi_sk", "tanggal_sk"),
     )
+    checks = warehouse_expectations() + metric_expectations() if after is None else after
+    quality.gate(quality.run_expectations(checks, {t: warehouse.read(t) for t in warehouse.tables()}, spark))
+    return fact
 
 
 # --- analytics ------------------------------------------------------------------------------
@@ -312,7 +346,7 @@ def newest_slots(fact: DataFrame, dim_lokasi: DataFrame, where: str = "kode_kabk
     """
     places = dim_lokasi.filter(F.expr(where))
     newest = facts.latest_run(fact, ["kode_desa", "waktu_utc"], ["analisis_utc", "tanggal_sk"], places, "kode_desa")
-    return newest.drop("kode_desa").join(broadcast_if_small(places), "lokasi_sk")
+    return newest.drop("kode_desa").join(places, "lokasi_sk")
 
 
 def dated(slots: DataFrame, dim_date: DataFrame) -> DataFrame:

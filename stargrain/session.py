@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,15 +62,53 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return os.path.join(tempfile.gettempdir(), f"stargrain-{spark.sparkContext.applicationId}")
+    own = os.path.join(tempfile.gettempdir(), f"stargrain-{spark.sparkContext.applicationId}")
+    if own not in _LOCAL:
+        _LOCAL.add(own)
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return own
+
+
+_LOCAL: set[str] = set()
+
+
+def _step_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/cut/{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` as parquet to the shared folder and read it back.
 
     The plan restarts from files: lost executors are recovered by re-reading, and later joins see
-    the true file size. Used between load steps, where a real load would publish a table.
+    the true file size. Used between load steps, where a real load would publish a table. The
+    application's steps lie in one folder, which `clear_cuts` removes.
     """
-    path = f"{shared_folder(df.sparkSession)}/cut/{uuid.uuid4().hex}"
+    path = f"{_step_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """`cut` for steps that only live until the block ends; their files are removed with it."""
+    from stargrain.sources.folders import Folders
+
+    folder = f"{_step_folder(spark)}/{uuid.uuid4().hex}"
+    count = iter(range(1_000_000))
+
+    def keep(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{next(count)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        Folders(spark, folder).delete("")
+
+
+def clear_cuts(spark: SparkSession) -> None:
+    """Remove the steps of this application, when none of their results is needed any more."""
+    from stargrain.sources.folders import Folders
+
+    Folders(spark, _step_folder(spark)).delete("")

@@ -7,10 +7,16 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stargrain.sources.folders import Folders
 
-def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with header, every column a string: see the source as it is. Empty fields are NULL."""
-    return spark.read.csv(path, header=True, inferSchema=False, multiLine=False)
+
+def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """CSV with header, every column a string: see the source as it is. Empty fields are NULL.
+
+    A doubled quote inside a quoted field is one quote. `multiline` reads fields that hold line
+    ends; such a file can't be split, so it is asked for by source.
+    """
+    return spark.read.csv(path, header=True, inferSchema=False, multiLine=multiline, quote='"', escape='"')
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -23,21 +29,23 @@ def view_name(file_name: str) -> str:
 
 
 def list_csv(spark: SparkSession, folder: str) -> list[str]:
-    """CSV files of a folder, on whatever file system the folder lives."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    return sorted(r.path for r in files.select("path").collect())  # metadata only, contents are pruned
+    """Sources of a folder: CSV files, and folders named like one that hold a large source in parts.
+    Only names on the first level are read, on whatever file system the folder lives."""
+    return [f"{folder}/{name}" for name in Folders(spark, folder).names() if name.endswith(".csv")]
 
 
-def register_folder(spark: SparkSession, folder: str, files: Iterable[str] | None = None) -> dict[str, DataFrame]:
+def register_folder(
+    spark: SparkSession, folder: str, files: Iterable[str] | None = None, multiline: Iterable[str] = ()
+) -> dict[str, DataFrame]:
     """Register every CSV of a folder as view raw_<stem>; returns the frames by view name.
 
     With `files` only those names are read. A name may be a file or, for a large source, a folder
-    of part files.
+    of part files. `multiline` names sources whose fields hold line ends.
     """
     paths = list_csv(spark, folder) if files is None else [f"{folder}/{f}" for f in files]
     tables = {}
     for path in paths:
-        df = read_text_csv(spark, path)
+        df = read_text_csv(spark, path, path.rsplit("/", 1)[-1] in set(multiline))
         name = view_name(path)
         df.createOrReplaceTempView(name)
         tables[name] = df

@@ -12,7 +12,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from stargrain.session import shared_folder
 from stargrain.sources.warehouse import Warehouse
 
 
@@ -27,7 +26,8 @@ def merge_stream(
     surrogates: Sequence[str] = (),
 ) -> StreamingQuery:
     """Merge every micro-batch of `source` into a month-partitioned fact and stop when the source
-    is read to its end. `assemble(rows, batch_id)` turns staged rows into fact rows."""
+    is read to its end. Its progress lies under the warehouse root, beside the table it belongs to.
+    `assemble(rows, batch_id)` turns staged rows into fact rows."""
 
     def load(rows: DataFrame, epoch: int) -> None:
         batch_id = f"{table}-{epoch}"
@@ -35,7 +35,7 @@ def merge_stream(
 
     return (
         source.writeStream.foreachBatch(load)
-        .option("checkpointLocation", f"{shared_folder(warehouse.spark)}/stream/{table}")
+        .option("checkpointLocation", f"{warehouse.root}/_streams/{table}")
         .trigger(availableNow=True)
         .start()
     )

@@ -2,12 +2,16 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import pytest
 
 from stargrain.operators.profiling import profile
+from stargrain.operators.quality import QualityGateError
 from stargrain.plans import campus, sales
 from stargrain.plans.profiles import PROFILES, T1_PROFILE, T2_PROFILE, TEMPLATE_PROFILE
+from stargrain.plans.topics import TOPICS
+from stargrain.sources.warehouse import Warehouse, assert_idempotent
 
 
 @pytest.fixture(scope="module")
@@ -89,9 +93,9 @@ def test_campus(spark):
     courses = spark.createDataFrame([("SD1", 5)], "kode_mk string, matakuliah_sk int")
     got = sorted(tuple(r) for r in campus.attendance_fact(clean, students, courses).collect())
     assert got == [
-        ("1", "SD1", 20240902, 11, 5, "HADIR", 1, 1), ("1", "SD1", 20240909, 11, 5, "IZIN", 0, 1),
-        ("2", "SD1", 20240902, 12, 5, "HADIR", 1, 1), ("2", "XX", 20240902, 12, -1, "SAKIT", 0, 1),
-        ("9", "SD1", -1, -1, 5, "TIDAK DIKETAHUI", 0, 1),
+        ("1", "SD1", 20240902, 0, 11, 5, "HADIR", 1, 1), ("1", "SD1", 20240909, 0, 11, 5, "IZIN", 0, 1),
+        ("2", "SD1", 20240902, 0, 12, 5, "HADIR", 1, 1), ("2", "XX", 20240902, 0, 12, -1, "SAKIT", 0, 1),
+        ("9", "SD1", -1, 1, -1, 5, "TIDAK DIKETAHUI", 0, 1),
     ]
     prof = {r.metric: r.value for r in profile({"raw_presensi": raw}, [T1_PROFILE[1]]).collect()}
     assert (prof["baris"], prof["tanggal_format_lain"], prof["duplikat_grain"]) == ("6", "2", "0")
@@ -101,3 +105,76 @@ def test_campus(spark):
 
 def test_every_topic_has_a_suite():
     assert set(PROFILES) == {"t1", "t2", "t3", "template"}
+
+
+def test_undated_meetings_stay_apart(spark):
+    rows = [("1", "SD1", d, s) for d, s in (("2024-09-02junk", "h"), (None, "h"), (None, "h"), ("soon", "a"), ("2024-09-02", "h"), ("2024-09-02T08:00", "a"))]
+    clean = campus.clean_attendance(spark.createDataFrame(rows, "nim string, kode_mk string, tanggal string, status string"))
+    got = sorted((str(r.tanggal), r.urutan, r.status) for r in clean.collect())
+    assert got == [("2024-09-02", 0, "HADIR"), ("None", 1, "HADIR"), ("None", 2, "ALPA"), ("None", 3, "HADIR"), ("None", 4, "HADIR")]
+
+
+def campus_raw(spark):
+    return {
+        "raw_mahasiswa": spark.createDataFrame([("1", "Ani", "2024", "aktif"), ("2", "Budi", "2023", "aktif")], "nim string, nama string, angkatan string, status string"),
+        "raw_matakuliah": spark.createDataFrame([("SD1", "Basis Data")], "kode_mk string, nama string"),
+        "raw_presensi": spark.createDataFrame(
+            [("1", "SD1", "2024-09-02", "h"), ("1", "SD1", "?", "h"), ("1", "SD1", "??", "h"), (" 2", "SD1", "02/09/2024", "h")],
+            "nim string, kode_mk string, tanggal string, status string"),
+        "raw_nilai": spark.createDataFrame([("1", "SD1", "A"), ("2", "SD1", "B")], "nim string, kode_mk string, nilai string"),
+    }
+
+
+def test_campus_load_twice_is_once(spark, tmp_path):
+    raw = campus_raw(spark)
+    w = Warehouse(spark, str(tmp_path / "all"))
+    assert_idempotent(w, lambda: campus.load(raw, w, "b1"))
+    assert w.row_counts()["fact_presensi"] == 4 and w.row_counts()["dim_mahasiswa"] == 3
+    w = Warehouse(spark, str(tmp_path / "cohort"))
+    campus.load(raw, w, "b1", "angkatan = '2024'")
+    assert w.read("fact_presensi").select("nim").distinct().collect() == [("1",)]
+
+
+def sales_raw(spark):
+    tx = [("T1", "C1", "OUT-A", "ok", "2025-02-01 10:00:00"), ("T1", "C1", "OUT-A", "ok", "2024-12-31T23:00:00Z"),
+          ("T2", "C1", "OUT-A", "ok", "2025-08-01 10:00:00"), ("T3", "C2", "OUT-B", "ok", "2025-02-01 10:00:00"),
+          ("T4", "C2", "OUT-A", "ok", "2024-12-31T17:30:00Z")]
+    items = [("T1", "P1", "2", "10.5"), ("T1", "P1", "1", "0.25"), ("T2", "P1", "1", "5"), ("T3", "P9", "1", "7"), ("T4", "P1", "1", "3"), ("T9", "P1", "1", "1")]
+    return {
+        "raw_outlets": spark.createDataFrame([("OUT-A", "Satu"), ("OUT-B", "Dua")], "outlet_id string, nama string"),
+        "raw_products": spark.createDataFrame([("P1", "Kopi")], "product_id string, nama string"),
+        "raw_customers": spark.createDataFrame([("C1",), ("C2",)], "customer_id string"),
+        "raw_transactions": spark.createDataFrame(tx, "transaction_id string, customer_id string, outlet_id string, status string, tanggal_waktu string"),
+        "raw_transaction_items": spark.createDataFrame(items, "transaction_id string, product_id string, qty string, harga_satuan string"),
+    }
+
+
+def test_prices_keep_their_decimals(spark):
+    got = {(r.transaction_id, r.product_id): r.nilai for r in sales.clean_items(sales_raw(spark)["raw_transaction_items"]).collect()}
+    assert got["T1", "P1"] == Decimal("21.2500")
+
+
+def test_sales_load_twice_is_once(spark, tmp_path):
+    raw = sales_raw(spark)
+    w = Warehouse(spark, str(tmp_path))
+    assert_idempotent(w, lambda: sales.load(raw, w, "b1"))
+    assert w.row_counts()["fact_sales_item"] == 5
+    lost = w.read("fact_sales_item").filter("transaction_id = 'T9'").first()
+    assert (lost.date_sk, lost.outlet_sk) == (-1, -1)
+
+
+def test_slices_reach_the_tables_that_depend_on_them(spark):
+    cut = TOPICS["t2"].cut(sales_raw(spark), "k9")
+    ids = lambda name: sorted({r.transaction_id for r in cut[name].collect()})
+    assert cut["raw_outlets"].count() == 1
+    assert ids("raw_transactions") == ids("raw_transaction_items") == ["T1", "T4"]  # T4 by its local time
+    assert cut["raw_transactions"].count() == 3 and cut["raw_products"].count() == 1
+    both = TOPICS["t2"].cut(sales_raw(spark), "k8")
+    assert both["raw_transactions"].count() == 5
+    cohort = TOPICS["t1"].cut(campus_raw(spark), "k5")
+    assert [cohort[f"raw_{n}"].count() for n in ("mahasiswa", "presensi", "nilai", "matakuliah")] == [1, 1, 1, 1]
+
+
+def test_load_stops_when_a_date_is_outside_the_calendar(spark, tmp_path):
+    with pytest.raises(QualityGateError, match="penjualan_di_kalender"):
+        sales.load(sales_raw(spark), Warehouse(spark, str(tmp_path)), "b1", calendar_range=("2025-01-01", "2025-03-31"))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from conftest import plan_of
 from stargrain.operators import facts
-from stargrain.operators.rows import broadcast_if_small, is_small
 
 DIM = "k string, valid_from timestamp, valid_to timestamp, sk bigint"
 END = dt.datetime(9999, 12, 31)
@@ -51,14 +50,28 @@ def test_asof_lookup_against_brute_force(versioned, method):
     assert set(out.columns) == {"n", "key", "t", "place_sk"}
 
 
-def test_asof_choice_follows_the_measured_dimension(versioned, monkeypatch):
-    dim, _, _ = versioned
-    v = dim.select(F.col("k").alias("_dk"))
-    assert facts.choose_asof(v) == "broadcast"
-    monkeypatch.setattr(facts, "BROADCAST_ROWS", 10)
-    assert facts.choose_asof(v) == "join"
-    monkeypatch.setattr(facts, "VERSIONS_PER_KEY", 100)
-    assert facts.choose_asof(v) == "sweep"
+@pytest.mark.parametrize("method", ["broadcast", "join", "sweep"])
+def test_asof_types_and_null_keys_are_the_same_by_every_method(spark, method):
+    dim = spark.createDataFrame([("a", day(0), END, 7), (None, day(0), END, 8)], DIM.replace("sk bigint", "sk int"))
+    ev = spark.createDataFrame([(1, "a", day(3)), (2, None, day(3)), (3, "a", None), (4, "b", day(3))], "n int, key string, t timestamp")
+    out = facts.lookup_asof(ev, dim, "key", "k", "t", "sk", "place_sk", method)
+    assert out.schema["place_sk"].dataType.simpleString() == dim.schema["sk"].dataType.simpleString()
+    assert {r.n: r.place_sk for r in out.collect()} == {1: 7, 2: -1, 3: -1, 4: -1}
+
+
+def test_sweep_slices_follow_the_events_and_not_the_span(spark):
+    """One event of 1970 and a key with a third of all events: no slice holds much more than its share."""
+    third = spark.range(30_000).select(
+        F.col("id").cast("int").alias("n"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"),
+        (F.lit(day(800)) + F.make_dt_interval(secs=F.col("id"))).alias("t"))
+    events = third.union(spark.createDataFrame([(-1, "hot", dt.datetime(1970, 1, 1))], third.schema))
+    dim = spark.createDataFrame([("hot", day(0), day(801), 1), ("hot", day(801), END, 2)], DIM)
+    out = facts.lookup_asof(events, dim, "key", "k", "t", "sk", "place_sk")
+    got = {r.place_sk: r["count"] for r in out.groupBy("place_sk").count().collect()}
+    assert got == {1: 10_000, -1: 20_001}
+    cuts = events.agg(F.percentile_approx(F.unix_timestamp("t"), F.array(*[F.lit(k / 64) for k in range(1, 64)]), 10_000).alias("c")).first().c
+    slices = events.select(facts._count_cuts(F.array(*map(F.lit, cuts)), F.unix_timestamp("t"), 64).alias("m")).groupBy("m").count()
+    assert slices.agg(F.max("count")).first()[0] < 2 * 30_000 / 64
 
 
 def test_range_is_half_open(spark):
@@ -85,14 +98,13 @@ def test_lookup_keeps_every_row(spark):
 FACT = "k string, m int, v double, note string, dim_sk bigint"
 
 
-@pytest.mark.parametrize("method", ["broadcast", "shuffle"])
-def test_merge(spark, method):
+def test_merge(spark):
     target = spark.createDataFrame([("a", 1, 1.0, "old", 5), ("b", 1, 2.0, "old", 5), ("c", 2, 3.0, "old", 5)], FACT)
     stage = spark.createDataFrame([("a", 1, 9.0, "new", 6), ("b", 1, None, "new", 6), ("a", 2, 4.0, "new", 6)], FACT)
-    once = facts.merge_fact(target, stage, ["k", "m"], ["v", "dim_sk"], ["dim_sk"], method)
+    once = facts.merge_fact(target, stage, ["k", "m"], ["v", "dim_sk"], ["dim_sk"])
     want = {("a", 1): (9.0, "old", 6), ("b", 1): (None, "old", 6), ("c", 2): (3.0, "old", 5), ("a", 2): (4.0, "new", 6)}
     assert {(r.k, r.m): (r.v, r.note, r.dim_sk) for r in once.collect()} == want
-    twice = facts.merge_fact(once, stage, ["k", "m"], ["v", "dim_sk"], ["dim_sk"], method)
+    twice = facts.merge_fact(once, stage, ["k", "m"], ["v", "dim_sk"], ["dim_sk"])
     assert facts.fingerprint(once).first() == facts.fingerprint(twice).first()
     appended = facts.append_fact(facts.append_fact(target, stage), stage)
     assert appended.count() == 9
@@ -104,10 +116,11 @@ def test_merge_refuses_surrogate_keys(spark):
         facts.merge_fact(t, t, ["dim_sk"], ["v"], ["dim_sk"])
 
 
-def test_small_batch_does_not_shuffle_the_target(spark, sf_dir):
-    t = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    plan = plan_of(facts.merge_fact(t, t.filter("o_orderstatus = 'P'"), ["o_orderkey"], ["o_totalprice"]))
-    assert "hashpartitioning" not in plan
+def test_merge_keeps_rows_with_null_keys_of_either_side(spark):
+    target = spark.createDataFrame([(None, 1, 1.0, "keep", 5), ("a", 1, 2.0, "old", 5)], FACT)
+    stage = spark.createDataFrame([(None, 2, 5.0, "new", 6), (None, 1, 6.0, "new", 6), ("a", 1, 7.0, "new", 6)], FACT)
+    got = sorted(((r.k or "", r.m, r.v, r.note) for r in facts.merge_fact(target, stage, ["k", "m"], ["v"]).collect()))
+    assert got == [("", 1, 1.0, "keep"), ("", 1, 6.0, "new"), ("", 2, 5.0, "new"), ("a", 1, 7.0, "old")]
 
 
 def test_hot_key_is_split_when_the_lookup_is_shuffled(spark):
@@ -135,12 +148,6 @@ def test_hot_key_is_split_when_the_lookup_is_shuffled(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_broadcast_is_measured(spark, monkeypatch):
-    df = spark.range(100).withColumn("text", F.repeat(F.lit("x"), 100))
-    assert is_small(df) and not is_small(df, rows=99) and not is_small(df, size=100)
-    assert "ResolvedHint (strategy=broadcast)" in broadcast_if_small(df)._jdf.queryExecution().analyzed().toString()
-
-
 def test_latest_run_is_per_key(spark):
     rows = [("v1", 0, 1, "old"), ("v1", 0, 2, "new"), ("v1", 3, 2, "new"), ("v2", 0, 1, "only old"), ("v3", 0, None, "no run"), ("v3", 0, 1, "run")]
     fact = spark.createDataFrame(rows, "k string, slot int, run int, note string")
@@ -163,3 +170,9 @@ def test_fingerprint_ignores_order_and_audit(spark):
     b = spark.createDataFrame([(2, "y", "b2"), (1, "x", "b2")], "i int, s string, batch_id string")
     assert facts.fingerprint(a, ["batch_id"]).first() == facts.fingerprint(b, ["batch_id"]).first()
     assert facts.fingerprint(a).first() != facts.fingerprint(b).first()
+
+
+def test_fingerprint_sees_a_value_that_moves(spark):
+    a = spark.createDataFrame([("x", None)], "s string, t string")
+    b = spark.createDataFrame([(None, "x")], "s string, t string")
+    assert facts.fingerprint(a).first() != facts.fingerprint(b).first()

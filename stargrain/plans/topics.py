@@ -8,7 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.plans import campus, sales
+from stargrain.operators.profiling import profile
+from stargrain.plans import campus, sales, weather
+from stargrain.plans.profiles import PROFILES, weather_profile
 from stargrain.sources.raw import register_folder, slice_by
 
 
@@ -129,3 +131,14 @@ TOPICS = {
         },
     ),
 }
+
+
+def profile_slice(spark: SparkSession, root: str, topic_id: str, slice_id: str, approximate: bool = False) -> DataFrame:
+    """Profile of the sources of a slice as they lie: predicates aren't applied, so that the counts are those of
+    the whole topic; a forecast slice is its own folder, and its local time is held against its own zone."""
+    topic = TOPICS[topic_id]
+    raw = register_folder(spark, topic.path(root, slice_id))
+    specs = PROFILES[topic_id]
+    if slice_id in weather.SLICE_ZONE:
+        specs = weather_profile(weather.ZONE_SECONDS[weather.SLICE_ZONE[slice_id]])
+    return profile(raw, specs, approximate)

@@ -44,6 +44,7 @@ SURROGATES = ("lokasi_sk", "cuaca_sk")
 
 # Time zones of the slices (Western and Central Indonesian Time).
 SLICE_ZONE = {"k1": "Asia/Jakarta", "k2": "Asia/Jakarta", "k3": "Asia/Makassar", "k6": "Asia/Makassar"}
+ZONE_SECONDS = {"Asia/Jakarta": 7 * 3600, "Asia/Makassar": 8 * 3600}  # neither keeps summer time
 
 WIND = metrics.Cause("siaga_angin", "ws_kmh", 20.0, "slot_angin")
 HEAT = metrics.Cause("siaga_suhu", "t_celsius", 33.0, "slot_suhu")
@@ -336,6 +337,22 @@ def load(
     return fact
 
 
+def register_views(warehouse: Warehouse) -> list[str]:
+    """Temporary views for SQL users beside the tables (`wh_` and name): the newest run of each village and slot,
+    and the calendar in the roles of forecast day and analysis day."""
+    tables = warehouse.register()
+    days = tables["dim_date"]
+    views = {
+        "wh_prakiraan_terbaru": facts.latest_run(
+            tables["fact_prakiraan_cuaca"], ["kode_desa", "waktu_utc"], ["analisis_utc", "tanggal_sk"]),
+        "wh_tanggal_prakiraan": calendar.date_role(days, "tanggal_sk", "tanggal"),
+        "wh_tanggal_analisis": calendar.date_role(days, "tanggal_analisis_sk", "tanggal_analisis"),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted([*(f"wh_{t}" for t in tables), *views])
+
+
 # --- analytics ------------------------------------------------------------------------------
 
 def newest_slots(fact: DataFrame, dim_lokasi: DataFrame, where: str = "kode_kabkot = '73.71'") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from stargrain.operators import facts
 from stargrain.operators.profiling import TableProfile, profile, profile_json, profile_markdown, scalar_profile, write_profile
-from stargrain.plans.topics import TOPICS
+from stargrain.plans.topics import TOPICS, profile_slice
 from stargrain.session import cut, shared_folder
 from stargrain.sources.raw import read_text_csv, register_folder, slice_by, view_name
 from stargrain.sources.warehouse import LOG_LINES, Warehouse, assert_idempotent, months_between
@@ -179,3 +179,25 @@ def test_stream_of_batches_equals_batch_loads(spark, tmp_path):
     assert q.exception() is None
     assert sorted((r.k, r.v) for r in w.read("f").collect()) == [("a", 2.0), ("b", 1.0), ("c", 5.0)]
     assert facts.fingerprint(w.read("f")).first().n_rows == 3
+
+
+def test_profile_of_a_slice_counts_the_whole_topic(spark, tmp_path):
+    folder = tmp_path / "t1_kampus"
+    os.makedirs(folder)
+    (folder / "mahasiswa.csv").write_text("nim,angkatan,status\n1,2024,a\n2,2023,b\n2,,b\n")
+    (folder / "presensi.csv").write_text("nim,kode_mk,tanggal,status\n1,x,01/02/2024,h\n")
+    (folder / "nilai.csv").write_text("nim,nilai_angka\n1,101\n")
+    got = {(r.table, r.metric): r.value for r in profile_slice(spark, str(tmp_path), "t1", "k4").collect()}
+    assert got["raw_mahasiswa", "baris"] == "3" and got["raw_mahasiswa", "nim_duplikat"] == "1"
+    assert got["raw_presensi", "tanggal_format_lain"] == "1" and got["raw_nilai", "nilai_luar_rentang"] == "1"
+
+
+def test_profile_of_a_forecast_slice_uses_its_zone(spark, tmp_path):
+    for k, local in (("k1", "2026-01-01 07:00:00"), ("k3", "2026-01-01 08:00:00")):
+        os.makedirs(tmp_path / "t3_publik" / k)
+        (tmp_path / "t3_publik" / k / "desa.csv").write_text("kode,desa,kecamatan\n1,a,b\n")
+        (tmp_path / "t3_publik" / k / "prakiraan_cuaca.csv").write_text(
+            "adm4,analysis_date,time_index,vs,tp,weather,weather_desc,local_datetime,utc_datetime\n"
+            f"1,2026,0-1,,0,1,Cerah,{local},2026-01-01 00:00:00\n")
+        got = {r.metric: r.value for r in profile_slice(spark, str(tmp_path), "t3", k).collect()}
+        assert (got["baris"], got["baris_selisih"]) == ("1", "1")

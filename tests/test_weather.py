@@ -176,3 +176,9 @@ def test_later_run_history_and_stale_key(spark, raw, tmp_path):
     got = {r.nama_desa: r["count"] for r in names.collect()}
     assert set(got) == {"Desa 1-1", "Desa Baru"}
     assert weather.q01(fact, places).count() == 67
+
+
+def test_views_for_sql_users(wh, spark):
+    names = weather.register_views(wh)
+    assert {"wh_dim_lokasi", "wh_prakiraan_terbaru", "wh_tanggal_analisis"} <= set(names)
+    assert spark.sql("SELECT count(*) FROM wh_prakiraan_terbaru JOIN wh_tanggal_prakiraan USING (tanggal_sk)").first()[0] > 0

@@ -67,30 +67,43 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words [^\\x20\\x09-\\x0D]+ of texts, A-Z lower-cased: (64-bit hash of each, words of each text).
+_BYTE = mix(np.arange(256, dtype=np.uint64), 21)[LOWER]
+_PLACE = mix(np.arange(4096, dtype=np.uint64), 22) | np.uint64(1)
+
+
+def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words [^\x20\x09-\x0D]+ of texts, A-Z lower-cased: (64-bit hash, start and end in raw of each, words of each text).
 
-    A word's hash is a sum of its bytes, each mixed with its place, then mixed again: every word
-    of the batch is hashed by a handful of passes over the bytes.
+    A word's hash is the sum of its bytes' random numbers, each times one of its place, mixed: every
+    word of the batch is hashed by a handful of passes over the bytes.
     """
-    n = len(raw)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
+    none = np.zeros(0, np.int64)
+    counts = np.zeros(len(offsets) - 1, np.int64)
+    if not len(raw):
+        return none.astype(np.uint64), none, none, counts
     inside = ~SPACE[raw]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    text_start = offsets[:-1][(offsets[:-1] < n) & (offsets[1:] > offsets[:-1])]
-    first[text_start] |= inside[text_start]
-    starts = np.flatnonzero(first)
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[offsets] = True  # a word ends with its text
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1] | edge[1:-1]
+    last[:-1] &= ~inside[1:] | edge[1:-1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     counts = np.searchsorted(starts, offsets[1:]) - np.searchsorted(starts, offsets[:-1])
     if not len(starts):
-        return np.zeros(0, np.uint64), counts
-    place = np.arange(n)
-    place -= np.maximum.accumulate(np.where(first, place, 0))
+        return none.astype(np.uint64), none, none, counts
+    at = np.flatnonzero(inside)
+    sizes = ends - starts
+    begin = np.cumsum(sizes) - sizes
+    place = np.arange(len(at)) - np.repeat(begin, sizes)
     with np.errstate(over="ignore"):
-        each = mix(LOWER[raw].astype(np.uint64) | (place.astype(np.uint64) << np.uint64(8)))
-        each[~inside] = 0
-        return mix(np.add.reduceat(each, starts)), counts
+        each = _BYTE[raw[at]] * _PLACE[place & 4095]
+        return mix(np.add.reduceat(each, begin)), starts, ends, counts
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of each word, words of each text)."""
+    hashes, _, _, counts = words_of(raw, offsets)
+    return hashes, counts
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

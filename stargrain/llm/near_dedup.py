@@ -14,7 +14,7 @@ BANDS, ROWS = 32, 5
 
 
 def super_minhash(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """One-byte marks of the SuperMinHash signatures of n sets.
+    """Two-byte marks of the SuperMinHash signatures of n sets.
 
     Element x visits the slots in the order of a random permutation of its own (Fisher-Yates) and
     offers j + r at its j-th slot, r random in [0, 1); a slot keeps the smallest offer. Offers of one
@@ -38,7 +38,7 @@ def super_minhash(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
             break
         hashes, owner = hashes[going], owner[going]
         draws = [d[going] for d in [*draws, draw]]
-    return (mix(slots) & np.uint64(255)).astype(np.uint8).reshape(n, m)
+    return (mix(slots) & np.uint64(0xFFFF)).astype(np.uint16).reshape(n, m)
 
 
 def scheme(words: int) -> Scheme:

@@ -4,10 +4,12 @@
 are the same.
 
 No step pairs all members of a bucket. First every member is compared with two hubs of its bucket
-only, which joins almost all that belongs together. Then, in buckets whose members still lie in
+only (the smallest id and the smallest hash, so that the buckets of one group agree on them), which
+joins most that belongs together. Then, in buckets whose members still lie in
 different components, those outside the bucket's largest component are compared with its members
-of other components, signature by signature, in cells of bounded size; a pair is passed on by the
-first band it shares alone. Links are confirmed on full shingle sets.
+of other components, by signature and then by set, in cells of bounded size. A pair is looked at
+by the first band it shares alone, and only links that join components leave a cell. All links
+are confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -24,14 +26,14 @@ from stargrain.llm.common import batches, bounded_batches, components, mix, shin
 from stargrain.session import cut
 
 #: members of a bucket that one task holds at once
-CELL = 4096
+CELL = 2048
 #: ids of texts to verify that are broadcast, at most (8 bytes each)
 BROADCAST_IDS = 1_000_000
 
 
 @dataclass(frozen=True)
 class Scheme:
-    """How texts are compared: `bands` bands of `rows` one-byte marks made by `sign`."""
+    """How texts are compared: `bands` bands of `rows` two-byte marks made by `sign`."""
 
     sign: Callable[[np.ndarray, np.ndarray, int], np.ndarray]
     bands: int
@@ -40,6 +42,8 @@ class Scheme:
     percent: int = 80
     #: whether one text may stand in many rows, each with its id
     repeated: bool = False
+    #: texts with fewer words aren't compared at all
+    min_words: int = 1
     #: pairs whose marks agree in a smaller share aren't verified: several standard errors below `percent`
     agree: float = 0.6
 
@@ -54,7 +58,11 @@ def signatures(units: DataFrame, scheme: Scheme) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
-            h, n = shingle_hashes(*word_hashes(*utf8(b.column(1))), scheme.words)
+            hashes, counts = word_hashes(*utf8(b.column(1)))
+            if scheme.min_words > 1:
+                long = counts >= scheme.min_words
+                hashes, counts, b = hashes[np.repeat(long, counts)], counts[long], b.filter(pa.array(long))
+            h, n = shingle_hashes(hashes, counts, scheme.words)
             owner = np.repeat(np.arange(len(n)), n)
             sums = []
             for seed in (101, 102):
@@ -63,9 +71,9 @@ def signatures(units: DataFrame, scheme: Scheme) -> DataFrame:
                 if len(h):
                     total[has] = np.add.reduceat(mix(h, seed), (np.cumsum(n) - n)[has])
                 sums.append(pa.array(total.view(np.int64)))
-            marks = scheme.sign(h, owner, len(n)) if len(n) else np.zeros((0, scheme.marks), np.uint8)
+            marks = scheme.sign(h, owner, len(n)) if len(n) else np.zeros((0, scheme.marks), np.uint16)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n.astype(np.int64)), *sums, pa.array([m.tobytes() for m in marks], pa.binary())],
+                [b.column(0), pa.array(n.astype(np.int64)), *sums, pa.array([m.tobytes() for m in marks.astype("<u2")], pa.binary())],
                 ["id", "n", "set_a", "set_b", "marks"])
 
     return units.select("id", "text").mapInArrow(run, "id long, n long, set_a long, set_b long, marks binary")
@@ -78,7 +86,7 @@ def _agreeing(pairs: DataFrame, signed: DataFrame, scheme: Scheme) -> DataFrame:
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
-            ma, mb = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, scheme.marks) for k in (2, 3))
+            ma, mb = (np.frombuffer(b"".join(b.column(k).to_pylist()), "<u2").reshape(-1, scheme.marks) for k in (2, 3))
             keep = pa.array((ma == mb).mean(1) >= scheme.agree)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["a", "b"])
 
@@ -87,14 +95,30 @@ def _agreeing(pairs: DataFrame, signed: DataFrame, scheme: Scheme) -> DataFrame:
     return sized.select("a", "b", "m_a", "m_b").mapInArrow(run, "a long, b long")
 
 
+def _texts_of(ids: DataFrame, units: DataFrame, scheme: Scheme) -> DataFrame:
+    """(id, text) of the units with these ids."""
+    ids = cut(ids.distinct())
+    if ids.count() <= BROADCAST_IDS:  # else both sides are shuffled
+        ids = F.broadcast(ids)
+    texts = units.join(ids, "id", "left_semi").select("id", "text")
+    return cut(texts.distinct() if scheme.repeated else texts)
+
+
+def _sets_of(texts: DataFrame, scheme: Scheme) -> DataFrame:
+    """(id, elements): the shingle hashes of a text in order."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(it):
+            h, n = shingle_hashes(*word_hashes(*utf8(b.column(1))), scheme.words)
+            parts = [x.tobytes() for x in np.split(h.astype("<u8"), np.cumsum(n)[:-1])]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(parts, pa.binary())], ["id", "elements"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, elements binary")
+
+
 def verified(pairs: DataFrame, units: DataFrame, scheme: Scheme) -> DataFrame:
     """The (a, b) with 100 * intersection >= percent * union, on the full sets of their texts."""
     pairs = cut(pairs)
-    needed = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    if needed.count() <= BROADCAST_IDS:  # else both sides are shuffled
-        needed = F.broadcast(needed)
-    texts = units.join(needed, "id", "left_semi").select("id", "text")
-    texts = cut(texts.distinct() if scheme.repeated else texts)
+    texts = _texts_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), units, scheme)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
@@ -121,48 +145,77 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _across(members: DataFrame, signed: DataFrame, scheme: Scheme) -> DataFrame:
-    """(a, b) of members (bucket, band, id, component, minor, c) in one bucket and different components,
-    one of them minor, whose marks agree often enough."""
+def _across(members: DataFrame, signed: DataFrame, units: DataFrame, scheme: Scheme) -> DataFrame:
+    """Links (a, b) that join the components of the members (bucket, band, id, component, minor, c) of each bucket.
+
+    Every minor member is held against all members of other components, by their full sets. A cell joins
+    components as it finds links, so it returns at most one link per component it takes in.
+    """
+    spark = members.sparkSession
     parts = F.ceil(F.col("c") / CELL).cast("int")
     own = F.pmod(F.xxhash64("id"), parts).cast("int")
     others = F.sequence(F.lit(0), parts - 1)
     left = members.filter("minor").select("bucket", "band", "id", "component", own.alias("i"), F.explode(others).alias("j"), F.lit(0).alias("role"))
     right = members.select("bucket", "band", "id", "component", F.explode(others).alias("i"), own.alias("j"), F.lit(1).alias("role"))
-    cells = left.select(right.columns).union(right).join(signed.select("id", "n", "marks"), "id")
-    shards = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounded_batches(spark, 512)
+    held = cut(signed.select("id", "n", "marks").join(_sets_of(_texts_of(members.select("id"), units, scheme), scheme), "id"))
+    cells = left.select(right.columns).union(right).join(held, "id")
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = cells.repartition(shards, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "role")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held, joined = None, [], {}
+
+        def own_of(c: int) -> int:
+            while c in joined:
+                c = joined[c]
+            return c
+
         for b in batches(it):
             key = list(zip(*(b.column(k).to_pylist() for k in (0, 1, 2))))
             band, role, ids, comp, n = (np.asarray(b.column(k)) for k in (3, 4, 5, 6, 7))
-            marks = np.frombuffer(b"".join(b.column(8).to_pylist()), np.uint8).reshape(-1, scheme.marks)
+            marks = np.frombuffer(b"".join(b.column(8).to_pylist()), "<u2").reshape(-1, scheme.marks)
+            comp = comp.copy()
+            sets = [np.frombuffer(x, "<u8") for x in b.column(9).to_pylist()]
             found_a, found_b = [], []
             edges = [0, *(k for k in range(1, len(key)) if key[k] != key[k - 1]), len(key)]
             for lo, hi in zip(edges, edges[1:]):
                 if key[lo] != now:
-                    now, held = key[lo], []
+                    now, held, joined = key[lo], [], {}
                 mid = lo + int(np.searchsorted(role[lo:hi], 1))
-                held += [(ids[k], comp[k], n[k], marks[k]) for k in range(lo, mid)]
+                held += [(ids[k], comp[k], n[k], marks[k], sets[k]) for k in range(lo, mid)]
                 if mid == hi:
                     continue
-                at, own = marks[mid:hi], int(band[mid])
-                for one, c, size, m in held:
-                    fit = (comp[mid:hi] != c) & (np.minimum(n[mid:hi], size) * 100 >= np.maximum(n[mid:hi], size) * scheme.percent)
+                at, own, group_of = marks[mid:hi], int(band[mid]), comp[mid:hi]
+                for old in joined:
+                    group_of[group_of == old] = own_of(old)
+                for one, c, size, m, elements in held:
+                    c = own_of(c)
+                    fit = (group_of != c) & (np.minimum(n[mid:hi], size) * 100 >= np.maximum(n[mid:hi], size) * scheme.percent)
                     fit = np.flatnonzero(fit)
                     same = at[fit] == m
                     near = same.mean(1) >= scheme.agree
                     fit, same = fit[near], same[near]
-                    # a pair shares many buckets: only the first of them passes it on
-                    whole = same.reshape(len(fit), scheme.bands, scheme.rows).all(2)
-                    fit = fit[whole.argmax(1) == own] if len(fit) else fit
-                    found_a += [one] * len(fit)
-                    found_b += list(ids[mid:hi][fit])
+                    if not len(fit):
+                        continue
+                    # a pair shares many buckets: only the first of them looks at it
+                    fit = fit[same.reshape(len(fit), scheme.bands, scheme.rows).all(2).argmax(1) == own]
+                    if not len(fit):
+                        continue
+                    whole = np.concatenate([sets[mid + k] for k in fit])
+                    hit = elements[np.minimum(np.searchsorted(elements, whole), len(elements) - 1)] == whole
+                    sizes = n[mid:hi][fit]
+                    both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+                    fit = fit[100 * both >= scheme.percent * (sizes + size - both)]
+                    others, first = np.unique(group_of[fit], return_index=True)
+                    for other, k in zip(others.tolist(), fit[first]):
+                        found_a.append(one)
+                        found_b.append(ids[mid + k])
+                        joined[other] = c
+                        group_of[group_of == other] = c
             yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"])
 
-    found = dealt.select("bucket", "i", "j", "band", "role", "id", "component", "n", "marks").mapInArrow(run, "a long, b long")
+    found = dealt.select("bucket", "i", "j", "band", "role", "id", "component", "n", "marks", "elements").mapInArrow(run, "a long, b long")
     return found.select(*_ordered(F.col("a"), F.col("b"))).distinct()
 
 
@@ -174,14 +227,14 @@ def group(units: DataFrame, scheme: Scheme) -> DataFrame:
     """
     signed = signatures(units.filter("id IS NOT NULL"), scheme)
     signed = cut(signed.distinct() if scheme.repeated else signed)
-    same = signed.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    same = cut(signed.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")).filter("c > 1"))
     copies = cut(signed.join(same.drop("c"), ["set_a", "set_b", "n"]).filter("id <> rep").select("id", "rep").distinct())
     reps = cut(signed.filter("n > 0").join(copies, "id", "left_anti").select("id", "n", "marks"))
-    band = [F.struct(F.lit(k).alias("band"), F.xxhash64(F.lit(k), F.substring("marks", 1 + k * scheme.rows, scheme.rows)).alias("bucket"))
+    band = [F.struct(F.lit(k).alias("band"), F.xxhash64(F.lit(k), F.substring("marks", 1 + 2 * k * scheme.rows, 2 * scheme.rows)).alias("bucket"))
             for k in range(scheme.bands)]
     rows = reps.select("id", F.inline(F.array(*band)))
     hubs = cut(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("one"),
-                                          F.min_by("id", F.xxhash64("id", "bucket")).alias("two")).filter("c > 1"))
+                                          F.min_by("id", F.xxhash64("id")).alias("two")).filter("c > 1"))
     members = cut(rows.join(hubs, "bucket"))
     tried = cut(members.select("id", F.explode(F.array_distinct(F.array("one", "two"))).alias("hub")).filter("id <> hub")
                 .select(*_ordered(F.col("id"), F.col("hub"))).distinct())
@@ -193,7 +246,7 @@ def group(units: DataFrame, scheme: Scheme) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("kinds"), F.max_by("component", F.struct("k", "component")).alias("main"), F.sum("k").alias("c"))
             .filter("kinds > 1").drop("kinds"))
     left = cut(open_rows.join(cut(main), "bucket").withColumn("minor", F.col("component") != F.col("main")))
-    more = verified(_across(left, reps, scheme).join(tried, ["a", "b"], "left_anti"), units, scheme)
+    more = cut(_across(left, reps, units, scheme))
     if more.limit(1).count():
         found = components(links.union(more))
     node = signed.select("id", "n").join(copies, "id", "left").withColumn("node", F.coalesce("rep", "id"))

@@ -128,7 +128,12 @@ def load_plain(warehouse, table: str, raw: DataFrame, key: str, sk: str, ts: Col
 VERSION_COLUMNS = ("valid_from", "valid_to", "is_current", "row_hash")
 
 
-def scd2_apply(
+def scd2_apply(dim: DataFrame, stage: DataFrame, key: str, tracked: Sequence[str], batch_ts: str, sk: str) -> DataFrame:
+    """The whole dimension after a batch: versions closed before pass through, see `scd2_changed` for the rest."""
+    return dim.filter("NOT is_current").unionByName(scd2_changed(dim, stage, key, tracked, batch_ts, sk))
+
+
+def scd2_changed(
     dim: DataFrame,
     stage: DataFrame,
     key: str,
@@ -136,7 +141,9 @@ def scd2_apply(
     batch_ts: str,
     sk: str,
 ) -> DataFrame:
-    """Close the current versions whose tracked attributes changed and open new versions.
+    """The versions that were current before a batch, as they are after it, and the versions it opens.
+
+    Close the current versions whose tracked attributes changed and open new versions.
 
     * unchanged key: nothing happens; key missing from the stage: stays current;
     * key never seen: valid from 1970-01-01, so that the first load covers all history;
@@ -185,7 +192,7 @@ def scd2_apply(
     first = rows.filter("_state = 'first'").join(seen, F.col(key) == F.col("_hk"), "left")
     first = first.withColumn("valid_from", F.expr(f"IF(_hk IS NULL, timestamp'{X.FIRST_SEEN}', valid_from)")).drop("_hk", "_state")
     new = rows.filter("_state = 'next'").drop("_state").unionByName(first)
-    return closed.unionByName(kept).unionByName(_with_new_keys(dim, new, key, sk))
+    return kept.unionByName(_with_new_keys(dim, new, key, sk))
 
 
 def empty_scd2(stage: DataFrame, key: str, tracked: Sequence[str], sk: str) -> DataFrame:

@@ -9,6 +9,8 @@ Batches are rules on whole tables, applied to every customer:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ from stargrain.functions import expressions as X
 from stargrain.operators import dimensions, facts, quality
 from stargrain.operators.rows import literal_row
 from stargrain.plans.catalogue.base import Tables, query
-from stargrain.session import cut
+from stargrain.session import cut, shared_folder
+from stargrain.sources.warehouse import Warehouse
 
 KEY, TRACKED, SK = "c_custkey", ("c_name", "c_mktsegment", "c_nationkey"), "pelanggan_sk"
 HOME = "CASE WHEN c_mktsegment = 'FURNITURE' THEN 'HOME' ELSE c_mktsegment END"
@@ -220,6 +223,18 @@ def scd2_asof_join(t):
     return _asof(t, "join")
 
 
+@query("warehouse_history", HISTORY + f"""
+    SELECT {SK}, {KEY}, c_name, c_mktsegment, c_nationkey, CAST(valid_from AS DATE) AS valid_from, CAST(valid_to AS DATE) AS valid_to,
+           is_current, row_hash FROM {LAST}""")
+def warehouse_history(t):
+    """The batches through a published dimension, the last of them twice; closed versions are written once."""
+    w = Warehouse(t.spark, f"{shared_folder(t.spark)}/wh/{uuid.uuid4().hex}")
+    empty = dimensions.empty_scd2(batch(t, 0), KEY, TRACKED, SK)
+    for i in [*range(len(BATCHES)), len(BATCHES) - 1]:
+        w.merge_history("dim_pelanggan", batch(t, i), KEY, TRACKED, BATCHES[i][0] + " 00:00:00", SK, str(i), empty)
+    return _plain_dates(w.read("dim_pelanggan"))
+
+
 @query("scd2_asof_sweep", HISTORY + ASOF)
 def scd2_asof_sweep(t):
     """The same lookup for dimensions with very many versions per key."""

@@ -323,9 +323,8 @@ def load(
         dimensions.scd1_upsert(codes, forecasts, "kode_cuaca", ["deskripsi_id", "deskripsi_en"], now, "cuaca_sk"),
         batch_id,
     )
-    places = warehouse.read("dim_lokasi") if warehouse.exists("dim_lokasi") else new_dim_lokasi(locations)
-    dim_lokasi = warehouse.publish(
-        "dim_lokasi", dimensions.scd2_apply(places, locations, LOCATION_KEY, LOCATION_TRACKED, batch_ts, "lokasi_sk"), batch_id
+    dim_lokasi = warehouse.merge_history(
+        "dim_lokasi", locations, LOCATION_KEY, LOCATION_TRACKED, batch_ts, "lokasi_sk", batch_id, new_dim_lokasi(locations)
     )
     fact = warehouse.merge_months(
         "fact_prakiraan_cuaca",

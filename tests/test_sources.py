@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from stargrain.operators import facts
+from stargrain.operators import dimensions, facts
 from stargrain.operators.profiling import TableProfile, profile, profile_json, profile_markdown, scalar_profile, write_profile
 from stargrain.plans.topics import TOPICS, profile_slice
 from stargrain.session import cut, shared_folder
@@ -201,3 +201,19 @@ def test_profile_of_a_forecast_slice_uses_its_zone(spark, tmp_path):
             f"1,2026,0-1,,0,1,Cerah,{local},2026-01-01 00:00:00\n")
         got = {r.metric: r.value for r in profile_slice(spark, str(tmp_path), "t3", k).collect()}
         assert (got["baris"], got["baris_selisih"]) == ("1", "1")
+
+
+def test_history_writes_closed_versions_once(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    stage = lambda *rows: spark.createDataFrame(list(rows), "k string, a string")
+    empty = dimensions.empty_scd2(stage(), "k", ("a",), "sk")
+    load = lambda ts, *rows: w.merge_history("d", stage(*rows), "k", ("a",), ts, "sk", ts[:4], empty)
+    load("2020-01-01 00:00:00", ("x", "1"), ("y", "1"))
+    load("2021-01-01 00:00:00", ("x", "2"), ("y", "1"), ("x", "2"))  # a repeated stage key opens one version
+    closed = [f for f in os.listdir(tmp_path / "d") if f.startswith("closed")]
+    before = w.fingerprints()
+    load("2021-01-01 00:00:00", ("x", "2"), ("y", "1"))
+    assert w.fingerprints() == before and [f for f in os.listdir(tmp_path / "d") if f.startswith("closed")] == closed and len(closed) == 1
+    got = sorted((r.k, r.a, r.is_current) for r in w.read("d").collect())
+    assert got == [("x", "1", False), ("x", "2", True), ("y", "1", True)]
+    assert w.vacuum("d") == 2 and w.read("d").count() == 3

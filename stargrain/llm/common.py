@@ -91,12 +91,12 @@ def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     counts = np.searchsorted(starts, offsets[1:]) - np.searchsorted(starts, offsets[:-1])
     if not len(starts):
         return none.astype(np.uint64), none, none, counts
-    at = np.flatnonzero(inside)
     sizes = ends - starts
     begin = np.cumsum(sizes) - sizes
-    place = np.arange(len(at)) - np.repeat(begin, sizes)
+    each = _BYTE[raw[inside]]
+    place = np.arange(len(each), dtype=np.int32) - np.repeat(begin.astype(np.int32), sizes)
     with np.errstate(over="ignore"):
-        each = _BYTE[raw[at]] * _PLACE[place & 4095]
+        each *= _PLACE[place & 4095]
         return mix(np.add.reduceat(each, begin)), starts, ends, counts
 
 
@@ -134,6 +134,24 @@ def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for b in it if b.num_rows)
 
 
+#: bytes of text that numpy looks at at once; its working arrays take some thirty times as much
+SLICE_BYTES = 4_000_000
+
+
+def slices(it: Iterator[pa.RecordBatch], *columns: int, limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches cut to about `limit` bytes in their text columns of these numbers; a longer text comes alone."""
+    limit = limit or SLICE_BYTES
+    for b in batches(it):
+        sizes = sum(np.diff(utf8(b.column(c))[1]) for c in columns)
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < b.num_rows:
+            done = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
+            yield b.slice(at, end - at)
+            at = end
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over `edges` (a, b), for every id in an edge.
 

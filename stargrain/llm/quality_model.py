@@ -6,11 +6,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stargrain.llm.common import SPACE, batches, bounded_batches, texts_of, utf8, word_hashes
+from stargrain.llm.common import SPACE, bounded_batches, slices, texts_of, utf8, word_hashes
 
 #: labelled rows the model is fitted on, at most: those with the smallest hash of doc_id
 SAMPLE = 20_000
@@ -227,7 +228,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows = texts_of(docs).join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches(it):
+        for b in slices(it, 1):
             x = features(*utf8(b.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(list(x), pa.list_(pa.float64())), b.column(2)], ["doc_id", "x", "y"])
@@ -245,7 +246,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches(it):
+        for b in slices(it, 1):
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(model.score(features(*utf8(b.column(1)))), pa.float64())], ["doc_id", "score"])
 
@@ -259,7 +260,8 @@ def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
-    def quality(texts):
-        return __import__("pandas").Series(model.score(features(*utf8(pa.array(texts, pa.string())))))
+    def quality(texts: pd.Series) -> pd.Series:
+        parts = slices(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])]), 0)
+        return pd.Series(np.concatenate([model.score(features(*utf8(b.column(0)))) for b in parts] or [np.zeros(0)]))
 
     return docs.filter(quality(F.coalesce(F.col("text").cast("string"), F.lit(""))) >= THRESHOLD)

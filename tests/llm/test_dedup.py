@@ -220,11 +220,57 @@ def test_paragraphs_as_compared_pairwise(spark):
             gone.setdefault(place[0], []).append(place[1])
     got = paragraph_dedup.paragraph_dedup(frame(spark, rows)).collect()
     assert len(got) == len(rows)
-    for r, (d, t) in zip(sorted(got, key=lambda r: (r.doc_id or -1, r.text)), sorted(rows, key=lambda r: (r[0] or -1, r[1] or ""))):
-        want = sorted(gone.get(d, []))
-        assert (r.doc_id, list(r.removed), r.n_removed) == (d, want, len(want))
-        lines = (t or "").split("\n")
-        assert r.text == ("\n".join(x for k, x in enumerate(lines) if k not in want) if want else t or "")
+    texts = {d: t or "" for d, t in rows if d is not None}
+    for r in got:
+        if r.doc_id is None:
+            assert not r.removed and not r.spans
+            continue
+        want = sorted(gone.get(r.doc_id, []))
+        assert (list(r.removed), r.n_removed) == (want, len(want))
+        assert squeeze(r.text) == squeeze(left_by(texts[r.doc_id], r.removed, r.spans))
+        if not r.removed and not r.spans:
+            assert r.text == texts[r.doc_id]
+    assert_no_passage_twice([(r.doc_id, r.text) for r in got if r.doc_id is not None])
+
+
+def squeeze(text):
+    return " ".join(tokens(text))
+
+
+def left_by(text, removed, spans):
+    raw, at, out = text.encode(), 0, []
+    inside = bytearray(len(raw))
+    for s in spans:
+        inside[s.start: s.end] = b"\1" * (s.end - s.start)
+    for pos, line in enumerate(raw.split(b"\n")):
+        if pos not in removed:
+            out.append(bytes(x for k, x in enumerate(line, at) if not inside[k]))
+        at += len(line) + 1
+    return b"\n".join(out).decode()
+
+
+def assert_no_passage_twice(rows, size=paragraph_dedup.WINDOW + paragraph_dedup.REACH - 1):
+    seen = {}
+    for d, t in set(rows):
+        w = tokens(t)
+        for k in range(len(w) - size + 1):
+            assert seen.setdefault(tuple(w[k: k + size]), (d, k)) == (d, k)
+
+
+def test_passages_inside_other_paragraphs_go(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage = [word() for _ in range(55)]
+    rows = [(k, " ".join([word() for _ in range(40)] + passage + [word() for _ in range(40)])) for k in range(6)]
+    clean = [(10 + k, " ".join(word() for _ in range(120)) + "\nshort line") for k in range(4)]
+    got = {r.doc_id: r for r in paragraph_dedup.paragraph_dedup(frame(spark, rows + clean)).collect()}
+    assert got[0].text == rows[0][1]
+    for d, t in rows[1:]:
+        assert " ".join(passage) not in got[d].text and got[d].spans
+        assert tokens(t)[:20] == tokens(got[d].text)[:20] and tokens(t)[-20:] == tokens(got[d].text)[-20:]
+    for d, t in clean:
+        assert got[d].text == t
+    assert_no_passage_twice([(d, r.text) for d, r in got.items()])
 
 
 def test_recurring_lines_go_and_copies_stay(spark):

@@ -3,9 +3,8 @@
 `near_dedup` and `paragraph_dedup` bring signatures of their own; bands, verification and grouping
 are the same.
 
-No step pairs all members of a bucket. First every member is compared with two hubs of its bucket
-only (the smallest id and the smallest hash, so that the buckets of one group agree on them), which
-joins most that belongs together. Then, in buckets whose members still lie in
+No step pairs all members of a bucket. First every member is compared with the smallest id of its
+bucket only, on which the buckets of one group mostly agree; this joins most that belongs together. Then, in buckets whose members still lie in
 different components, those outside the bucket's largest component are compared with its members
 of other components, by signature and then by set, in cells of bounded size. A pair is looked at
 by the first band it shares alone, and only links that join components leave a cell. All links
@@ -22,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stargrain.llm.common import batches, bounded_batches, components, mix, shingle_hashes, utf8, word_hashes
+from stargrain.llm.common import batches, bounded_batches, components, mix, shingle_hashes, slices, utf8, word_hashes
 from stargrain.session import cut
 
 #: members of a bucket that one task holds at once
 CELL = 2048
-#: ids of texts to verify that are broadcast, at most (8 bytes each)
+#: ids that are broadcast, at most (8 bytes each)
 BROADCAST_IDS = 1_000_000
 
 
@@ -54,10 +53,10 @@ class Scheme:
 
 def signatures(units: DataFrame, scheme: Scheme) -> DataFrame:
     """(id, n, set_a, set_b, marks) of (id, text): n distinct shingles, two sums that stand for the set."""
-    bounded_batches(units.sparkSession, 4000)
+    bounded_batches(units.sparkSession, 2000)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches(it):
+        for b in slices(it, 1):
             hashes, counts = word_hashes(*utf8(b.column(1)))
             if scheme.min_words > 1:
                 long = counts >= scheme.min_words
@@ -95,11 +94,14 @@ def _agreeing(pairs: DataFrame, signed: DataFrame, scheme: Scheme) -> DataFrame:
     return sized.select("a", "b", "m_a", "m_b").mapInArrow(run, "a long, b long")
 
 
+def _bounded(ids: DataFrame) -> DataFrame:
+    """Written ids, broadcast if they are few; else the join shuffles both sides."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _texts_of(ids: DataFrame, units: DataFrame, scheme: Scheme) -> DataFrame:
     """(id, text) of the units with these ids."""
-    ids = cut(ids.distinct())
-    if ids.count() <= BROADCAST_IDS:  # else both sides are shuffled
-        ids = F.broadcast(ids)
+    ids = _bounded(cut(ids.distinct()))
     texts = units.join(ids, "id", "left_semi").select("id", "text")
     return cut(texts.distinct() if scheme.repeated else texts)
 
@@ -107,7 +109,7 @@ def _texts_of(ids: DataFrame, units: DataFrame, scheme: Scheme) -> DataFrame:
 def _sets_of(texts: DataFrame, scheme: Scheme) -> DataFrame:
     """(id, elements): the shingle hashes of a text in order."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches(it):
+        for b in slices(it, 1):
             h, n = shingle_hashes(*word_hashes(*utf8(b.column(1))), scheme.words)
             parts = [x.tobytes() for x in np.split(h.astype("<u8"), np.cumsum(n)[:-1])]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(parts, pa.binary())], ["id", "elements"])
@@ -121,7 +123,7 @@ def verified(pairs: DataFrame, units: DataFrame, scheme: Scheme) -> DataFrame:
     texts = _texts_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), units, scheme)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches(it):
+        for b in slices(it, 2, 3):
             sets, owners, sizes = [], [], []
             for k in (2, 3):
                 h, n = shingle_hashes(*word_hashes(*utf8(b.column(k))), scheme.words)
@@ -229,18 +231,18 @@ def group(units: DataFrame, scheme: Scheme) -> DataFrame:
     signed = cut(signed.distinct() if scheme.repeated else signed)
     same = cut(signed.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")).filter("c > 1"))
     copies = cut(signed.join(same.drop("c"), ["set_a", "set_b", "n"]).filter("id <> rep").select("id", "rep").distinct())
-    reps = cut(signed.filter("n > 0").join(copies, "id", "left_anti").select("id", "n", "marks"))
-    band = [F.struct(F.lit(k).alias("band"), F.xxhash64(F.lit(k), F.substring("marks", 1 + 2 * k * scheme.rows, 2 * scheme.rows)).alias("bucket"))
-            for k in range(scheme.bands)]
-    rows = reps.select("id", F.inline(F.array(*band)))
-    hubs = cut(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("one"),
-                                          F.min_by("id", F.xxhash64("id")).alias("two")).filter("c > 1"))
+    reps = signed.filter("n > 0").join(_bounded(copies.select("id")), "id", "left_anti").select("id", "n", "marks")
+    # the last byte of a bucket is its band
+    bucket = [F.xxhash64(F.lit(k), F.substring("marks", 1 + 2 * k * scheme.rows, 2 * scheme.rows)).bitwiseAND(F.lit(~255)).bitwiseOR(F.lit(k))
+              for k in range(scheme.bands)]
+    rows = reps.select("id", F.explode(F.array(*bucket)).alias("bucket"))
+    hubs = cut(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("hub")).filter("c > 1"))
     members = cut(rows.join(hubs, "bucket"))
-    tried = cut(members.select("id", F.explode(F.array_distinct(F.array("one", "two"))).alias("hub")).filter("id <> hub")
-                .select(*_ordered(F.col("id"), F.col("hub"))).distinct())
+    tried = cut(members.filter("id <> hub").select(*_ordered(F.col("id"), F.col("hub"))).distinct())
     links = verified(_agreeing(tried, reps, scheme), units, scheme)
     found = components(links)
-    open_rows = members.filter("c > 2").select("bucket", "band", "id").join(found, "id", "left").withColumn(
+    band = F.col("bucket").bitwiseAND(F.lit(255)).cast("int").alias("band")
+    open_rows = members.filter("c > 2").select("bucket", band, "id").join(found, "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
     main = (open_rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket")
             .agg(F.count(F.lit(1)).alias("kinds"), F.max_by("component", F.struct("k", "component")).alias("main"), F.sum("k").alias("c"))

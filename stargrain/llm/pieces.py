@@ -14,6 +14,8 @@ from stargrain.llm.common import batches, bounded_batches, texts_of
 SPACE = "▁"
 #: distinct chunks whose ids a worker remembers
 CACHE_CHUNKS = 500_000
+#: characters of a chunk that is segmented in one go and remembered
+SHORT = 64
 
 _CODECS: dict[str, Codec] = {}
 
@@ -44,10 +46,14 @@ class Codec:
                 self.scores[piece], self.ids[piece] = model.get_score(i), i
                 self.bytes[i] = piece.replace(SPACE, " ").encode()
         self.longest = max(map(len, self.scores))
+        #: every beginning of a piece, with the score where it is one itself
+        self.beginnings: dict[str, float | None] = {p[:k]: None for p in self.scores for k in range(1, len(p))}
+        self.beginnings.update(self.scores)
         self.no_piece = min(self.scores.values()) - 10
         # no piece goes on after a space or across a line end: every path has a boundary there
         assert not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.scores)
         self.chunks = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+")
+        self.packed = {p: np.array([i], "<i4").tobytes() for p, i in self.ids.items()}
         self.known: dict[str, bytes] = {}
 
     def _ids(self, piece: str) -> list[int]:
@@ -55,6 +61,9 @@ class Codec:
             return [self.ids[piece]]
         return [self.byte_ids[x] for x in piece.encode()]
 
+    def _packed(self, piece: str) -> bytes:
+        return np.array(self._ids(piece), "<i4").tobytes()
+
     def segment(self, text: str) -> Iterator[str]:
         """Pieces of a text of any length, as soon as they are certain.
 
@@ -88,6 +97,22 @@ class Codec:
                     check += longest
         yield from self._path(text, back, base, len(text))
 
+    def _whole(self, text: str) -> list[str]:
+        """The same pieces for a short text, whose window holds all of it: forward, as far as pieces reach."""
+        n, beginnings, no_piece = len(text), self.beginnings, self.no_piece
+        score, back = [0.0] + [-1e300] * n, [0] * (n + 1)
+        for start in range(n):
+            own = score[start]
+            if own + no_piece > score[start + 1]:
+                score[start + 1], back[start + 1] = own + no_piece, start
+            for end in range(start + 1, n + 1):
+                s = beginnings.get(text[start:end], False)
+                if s is False:
+                    break
+                if s is not None and own + s > score[end]:
+                    score[end], back[end] = own + s, start
+        return self._path(text, back, 0, n)
+
     @staticmethod
     def _path(text: str, back: list[int], base: int, end: int) -> list[str]:
         out = []
@@ -98,8 +123,9 @@ class Codec:
         return out[::-1]
 
     def _chunk(self, chunk: str) -> bytes:
-        ids = np.array([i for p in self.segment(chunk) for i in self._ids(p)], "<i4").tobytes()
-        if len(chunk) <= 64:
+        short = len(chunk) <= SHORT
+        ids = b"".join([self.packed.get(p) or self._packed(p) for p in (self._whole(chunk) if short else self.segment(chunk))])
+        if short:
             if len(self.known) >= CACHE_CHUNKS:
                 self.known.clear()
             self.known[chunk] = ids
@@ -120,7 +146,9 @@ class Codec:
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; control ids and ids beyond the vocabulary give nothing."""
         table = self.bytes
-        raw = b"".join([table[i] for i in ids.tolist() if 0 <= i < len(table)])
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(table)):
+            ids = ids[(ids >= 0) & (ids < len(table))]
+        raw = b"".join(map(table.__getitem__, ids.tolist()))
         return raw[1:].decode(errors="replace") if raw[:1] == b" " else raw.decode(errors="replace")
 
 

@@ -103,17 +103,21 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         for b in slices(it, 1):
             raw, offsets = utf8(b.column(1))
             owner, start, end, h = windows(raw, offsets)
-            order = np.lexsort((start, h, owner))
-            owner, start, end, h = owner[order], start[order], end[order], h[order]
+            doc, start, end = np.asarray(b.column(0))[owner], start - offsets[owner], end - offsets[owner]
+            order = np.lexsort((start, doc, h))
+            doc, start, end, h = doc[order], start[order], end[order], h[order]
+            # a window that stands before in this slice goes for sure; a repeated row is the same place
             again = np.zeros(len(h), bool)
-            again[1:] = (owner[1:] == owner[:-1]) & (h[1:] == h[:-1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(np.asarray(b.column(0))[owner]), pa.array(start - offsets[owner]), pa.array(end - offsets[owner]), pa.array(again)],
-                ["hash", "doc_id", "start", "end", "again"])
+            again[1:] = h[1:] == h[:-1]
+            again[1:] &= (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (h, doc, start, end, again)], ["hash", "doc_id", "start", "end", "again"])
 
     found = cut(docs.select("doc_id", "text").mapInArrow(run, "hash long, doc_id long, start long, end long, again boolean"))
-    several = cut(found.groupBy("hash").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"))
-    return found.join(several, "hash").filter("again OR doc_id <> first_doc").select("doc_id", "start", "end")
+    first = found.filter("NOT again")
+    several = cut(first.groupBy("hash").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+                  .filter("first_doc <> last_doc").drop("last_doc"))
+    later = first.join(several, "hash").filter("doc_id <> first_doc")
+    return found.filter("again").select("doc_id", "start", "end").union(later.select("doc_id", "start", "end"))
 
 
 def without(docs: DataFrame) -> DataFrame:

@@ -251,6 +251,6 @@ def group(units: DataFrame, scheme: Scheme) -> DataFrame:
     more = cut(_across(left, reps, units, scheme))
     if more.limit(1).count():
         found = components(links.union(more))
-    node = signed.select("id", "n").join(copies, "id", "left").withColumn("node", F.coalesce("rep", "id"))
-    return node.join(found.withColumnRenamed("id", "node"), "node", "left").select(
-        "id", "n", F.coalesce("component", "node").alias("component"))
+    moved = copies.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
+    moved = cut(moved.union(found))
+    return signed.select("id", "n").join(moved, "id", "left").select("id", "n", F.coalesce("component", "id").alias("component"))

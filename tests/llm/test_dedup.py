@@ -6,7 +6,7 @@ import numpy as np
 
 from stargrain.llm import exact_dedup, line_dedup, near_dedup, paragraph_dedup, suffix_dedup
 from stargrain.llm.common import shingle_hashes, utf8, word_hashes
-from tests.llm.fixtures import awkward, frame, groups, shingles, tokens
+from tests.llm.fixtures import awkward, frame, groups, shingles, tokens, words
 
 import pyarrow as pa
 
@@ -296,3 +296,19 @@ def test_line_counts_need_different_surroundings(spark):
     varied = [(k, f"before {chr(97 + k)} it\n{line}") for k in range(5)]
     got = {r.doc_id: (r.n_lines, r.n_dropped) for r in line_dedup.line_dedup(frame(spark, varied + [(9, None), (10, "")])).collect()}
     assert got == {**{k: (2, 1) for k in range(5)}, 9: (0, 0), 10: (1, 0)}
+
+
+def test_blocks_go_whole(spark):
+    rng = random.Random(8)
+    own = lambda: words("", rng.randint(30, 40), rng)
+    head, block, foot = ["a fixed header", "with two lines"], [f"fixed block line {x}" for x in ("one", "two of", "it is three", "and it is four", "end of all five")], ["this is the footer", "of the same site"]
+    rows = [(k, [*head, own(), own(), *block, own(), *foot]) for k in range(6)]
+    for gap in ("\n", "\n\n", "\n \t\n"):
+        got = {r.doc_id: r.text for r in line_dedup.drop_lines(frame(spark, [(d, gap.join(x)) for d, x in rows])).collect()}
+        for d, x in rows:
+            assert [y for y in got[d].split("\n") if y.strip()] == [x[2], x[3], x[9]]
+
+
+def test_copied_blocks_stay(spark):
+    copies = [(k, "\n".join(["one line of it", "two lines of it", "three lines of it"]) + "\n" * (k % 9)) for k in range(20)]
+    assert {r.n_dropped for r in line_dedup.line_dedup(frame(spark, copies)).collect()} == {0}

@@ -10,16 +10,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stargrain.llm.common import batches, bounded_batches, utf8
+from stargrain.llm.common import batches, bounded_batches, slices, utf8
+from stargrain.session import cut
 
 #: fixed values: the rules of the production filter as (verdict, host and path)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 #: longest context in bytes
 ORDER = 4
-#: URLs of each verdict the models are fitted on, at most: those with the smallest hash
-SAMPLE = 20_000
 #: share of accepted held-out URLs that the calibrated threshold may reject
 FALSE_BLOCKS = 0.02
+#: one of so many accepted URLs, chosen by hash, is held out for the threshold
+HELD = 5
+#: the threshold's rank is exact to one in so many held-out URLs
+RANKS = 100_000
 START, END = 2, 3
 
 
@@ -60,15 +63,22 @@ def _grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return owner[at], out[at].astype(np.int64), context
 
 
+def _counted(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(gram of ORDER + 1 bytes, times)."""
+    _, nxt, context = _grams(raw, offsets)
+    return np.unique(context << 8 | nxt, return_counts=True)
+
+
 class Markov:
     """Byte counts after contexts of 0 to ORDER bytes, mixed by Witten-Bell weights."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
-        _, nxt, context = _grams(raw, offsets)
+    def __init__(self, longest: np.ndarray, times: np.ndarray):
+        """From the grams of ORDER + 1 bytes and how often each stands."""
         self.levels = []
         for n in range(ORDER + 1):
-            gram = (context & ((1 << 8 * n) - 1)) << 8 | nxt
-            grams, counts = np.unique(gram, return_counts=True)
+            grams, place = np.unique(longest & ((1 << 8 * (n + 1)) - 1), return_inverse=True)
+            counts = np.zeros(len(grams), np.int64)
+            np.add.at(counts, place, times)
             contexts, first = np.unique(grams >> 8, return_index=True)
             totals = np.add.reduceat(counts, first) if len(counts) else counts
             kinds = np.diff(np.append(first, len(grams)))
@@ -112,19 +122,32 @@ def fit(accepted: Sequence[str], rejected: Sequence[str]) -> Ratio | None:
     if not accepted or not rejected:
         return None
     held = [u for k, u in enumerate(accepted) if k % 5 == 4]
-    model = Ratio(Markov(*_joined([u for k, u in enumerate(accepted) if k % 5 != 4])), Markov(*_joined(rejected)))
+    model = Ratio(Markov(*_counted(*_joined([u for k, u in enumerate(accepted) if k % 5 != 4]))), Markov(*_counted(*_joined(rejected))))
     if held:
         model.threshold = float(np.quantile(model.score(*_joined(held)), FALSE_BLOCKS))
     return model
 
 
+def _markov(texts: DataFrame) -> Markov:
+    """Counted over all texts in the tasks; only distinct grams with their sums reach the driver."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(it, 0):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _counted(*utf8(b.column(0)))], ["gram", "times"])
+
+    found = texts.select("text").mapInArrow(run, "gram long, times long").groupBy("gram").agg(F.sum("times").alias("times")).toArrow()
+    return Markov(found["gram"].to_numpy(), found["times"].to_numpy())
+
+
 def train(urls: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> Ratio | None:
-    """Models of the URLs that rules decide.
+    """Models of all distinct URLs that rules decide, or none without URLs of both verdicts.
 
     What a rule fixes (the end of the host, the start of the path) is cut from them: it says why
-    they were labelled, not what such URLs look like. At most SAMPLE distinct URLs of each verdict
-    reach the driver.
+    they were labelled, not what such URLs look like. One of HELD accepted URLs isn't fitted on; the
+    threshold is the score that at most FALSE_BLOCKS of those fall below. No URL reaches the driver, only
+    the counts of grams.
     """
+    bounded_batches(urls.sparkSession, 5000)
     host, path, rest = parts(F.col("url"))
     rule, verdict = ruled(host, path, rules)
     own = F.substring_index("rule", "/", 1)
@@ -132,9 +155,23 @@ def train(urls: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> Ratio |
                     F.col("rest").substr(F.length("rule") - F.length(own) + 1, F.length("rest")))
     known = (urls.select(host.alias("host"), rest.alias("rest"), rule.alias("rule"), verdict.alias("verdict"))
              .filter("rule IS NOT NULL").select("verdict", free.alias("text")).distinct())
-    sample = {v: [r.text for r in known.filter(F.col("verdict") == v).orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()]
-              for v in ("allow", "block")}
-    return fit(sample["allow"], sample["block"])
+    known = cut(known.withColumn("held", (F.col("verdict") == "allow") & (F.pmod(F.xxhash64("text"), F.lit(HELD)) == 0)))
+    sizes = {(r.verdict, r.held): r["count"] for r in known.groupBy("verdict", "held").count().collect()}
+    fitted, held = sizes.get(("allow", False), 0), sizes.get(("allow", True), 0)
+    if not fitted + held or ("block", False) not in sizes:
+        return None
+    accepted = known.filter("verdict = 'allow'")
+    model = Ratio(_markov(accepted.filter("NOT held") if fitted else accepted), _markov(known.filter("verdict = 'block'")))
+    if not fitted or not held:
+        return model
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(it, 0):
+            yield pa.RecordBatch.from_arrays([pa.array(model.score(*utf8(b.column(0))))], ["score"])
+
+    scores = accepted.filter("held").select("text").mapInArrow(run, "score double")
+    model.threshold = scores.agg(F.percentile_approx("score", FALSE_BLOCKS, RANKS)).first()[0]
+    return model
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:

@@ -251,6 +251,17 @@ def test_ratio_equals_plain_models():
     assert url_filter.fit([], bad) is None
 
 
+def test_models_count_every_labelled_url(spark):
+    good, bad = [f"g{k}.org/fr/{k * k}" for k in range(3000)], [f"b{k}.net/{k:x}" for k in range(21_000)]
+    model = url_filter.train(spark.createDataFrame([(f"http://{u}",) for u in good + bad], "url string").repartition(3))
+    free = [u.replace(".net/", ".") for u in bad]  # what the rule says is cut
+    assert model.rejected.levels[0][1].sum() == sum(len(u) + 1 for u in free)
+    want, grams = Counter(b for u in free for b in u.encode() + b"\3"), model.rejected.levels[0]
+    assert dict(zip(grams[0].tolist(), grams[1].tolist())) == want
+    scores = model.score(*utf8(pa.array([u.replace("org/fr/", "") for u in good])))
+    assert 0 < (scores < model.threshold).mean() < 0.04
+
+
 def test_url_filter_without_rows_or_known_urls(spark):
     schema = "page_id long, url string"
     assert url_filter.judge(spark.createDataFrame([], schema)).count() == 0

@@ -256,7 +256,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of `docs` with all their columns whose text isn't rejected; repeated rows are all judged alike."""
+    """The rows of `docs` with all their columns whose text isn't rejected; repeated rows are all judged alike.
+
+    A model fitted without rows of both labels tells nothing of a text: all rows stay, whatever its score.
+    """
+    if not model.edges:
+        return docs
     bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("double")

@@ -177,6 +177,14 @@ def test_scores_without_labels_and_of_awkward_rows(spark):
     assert quality_model.score(frame(spark, []), model).count() == 0
 
 
+def test_nothing_is_rejected_without_both_labels(spark):
+    rows = awkward()
+    df = frame(spark, rows)
+    for known in ([], [(5, 1)], [(5, 0), (15, 0)], [(99_999, 1), (99_998, 0)]):
+        kept = quality_model.keep_good(df, quality_model.train(df, spark.createDataFrame(known, "doc_id long, quality int")))
+        assert kept.columns == df.columns and kept.count() == len(rows)
+
+
 # --- URLs -----------------------------------------------------------------------------------------------
 
 

@@ -71,33 +71,46 @@ _BYTE = mix(np.arange(256, dtype=np.uint64), 21)[LOWER]
 _PLACE = mix(np.arange(4096, dtype=np.uint64), 22) | np.uint64(1)
 
 
-def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words [^\x20\x09-\x0D]+ of texts, A-Z lower-cased: (64-bit hash, start and end in raw of each, words of each text).
-
-    A word's hash is the sum of its bytes' random numbers, each times one of its place, mixed: every
-    word of the batch is hashed by a handful of passes over the bytes.
-    """
+def runs_of(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of `inside` bytes that don't cross texts: (start and end in raw of each, runs of each text)."""
     none = np.zeros(0, np.int64)
-    counts = np.zeros(len(offsets) - 1, np.int64)
     if not len(raw):
-        return none.astype(np.uint64), none, none, counts
-    inside = ~SPACE[raw]
+        return none, none, np.zeros(len(offsets) - 1, np.int64)
     edge = np.zeros(len(raw) + 1, bool)
-    edge[offsets] = True  # a word ends with its text
+    edge[offsets] = True  # a run ends with its text
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1] | edge[1:-1]
     last[:-1] &= ~inside[1:] | edge[1:-1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    counts = np.searchsorted(starts, offsets[1:]) - np.searchsorted(starts, offsets[:-1])
+    return starts, ends, np.searchsorted(starts, offsets[1:]) - np.searchsorted(starts, offsets[:-1])
+
+
+def hash_runs(raw: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run, A-Z lower-cased.
+
+    It is the sum of the bytes' random numbers, each times one of its place, mixed: every run of the
+    batch is hashed by a handful of passes over the bytes. A place past 4,096 takes the number of its block
+    of 4,096 in as well, so that no two places share a factor.
+    """
     if not len(starts):
-        return none.astype(np.uint64), none, none, counts
+        return np.zeros(0, np.uint64)
     sizes = ends - starts
     begin = np.cumsum(sizes) - sizes
     each = _BYTE[raw[inside]]
     place = np.arange(len(each), dtype=np.int32) - np.repeat(begin.astype(np.int32), sizes)
     with np.errstate(over="ignore"):
         each *= _PLACE[place & 4095]
-        return mix(np.add.reduceat(each, begin)), starts, ends, counts
+        if sizes.max() > 4096:
+            far = np.flatnonzero(place > 4095)
+            each[far] *= mix(place[far] >> 12, 23) | np.uint64(1)
+        return mix(np.add.reduceat(each, begin))
+
+
+def words_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words [^\x20\x09-\x0D]+ of texts, A-Z lower-cased: (64-bit hash, start and end in raw of each, words of each text)."""
+    inside = ~SPACE[raw]
+    starts, ends, counts = runs_of(raw, offsets, inside)
+    return hash_runs(raw, inside, starts, ends), starts, ends, counts
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.llm import exact_dedup, line_dedup, max_score, near_dedup, packing, paragraph_dedup, pieces, quality_model, suffix_dedup, url_filter
+from stargrain.llm import decontamination, exact_dedup, line_dedup, max_score, near_dedup, packing, paragraph_dedup, pieces, quality_model, suffix_dedup, url_filter
 from stargrain.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,34 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
 WINDOW same AS (PARTITION BY body)
 """
+
+
+@query
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+wins AS (
+  SELECT DISTINCT item, len(w) AS m, least(len(w), 10) AS n, list_slice(w, i, i + least(len(w), 10) - 1) AS win
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM b WHERE len(w) > 0)),
+places AS (
+  SELECT id, i, n, list_slice(w, i, i + n - 1) AS win
+  FROM (SELECT id, w, unnest(range(1, len(w) + 1)) AS i FROM d), (SELECT DISTINCT n FROM wins) WHERE i + n - 1 <= len(w)),
+found AS (SELECT id, i, p.n, item FROM places p JOIN wins USING (win)),
+hit AS (SELECT id, count(DISTINCT k) AS n_hit FROM (SELECT id, unnest(range(i, i + n)) AS k FROM found) GROUP BY id),
+items AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT id, item FROM found) GROUP BY id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (id) LEFT JOIN items USING (id)
+"""

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stargrain.llm import decontamination, exact_dedup, line_dedup, max_score, near_dedup, packing, paragraph_dedup, pieces, quality_model, suffix_dedup, url_filter
+from stargrain.llm import (
+    collocations,
+    decontamination,
+    exact_dedup,
+    line_dedup,
+    max_score,
+    near_dedup,
+    packing,
+    paragraph_dedup,
+    pieces,
+    quality_model,
+    spelling,
+    suffix_dedup,
+    url_filter,
+)
 from stargrain.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +168,75 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (id) LEFT JOIN items USING (id)
 """
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_spelling_variants"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)),
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(range(1, strlen(key) + 1), lambda i: CAST('0x' || substring(hex(key), 2 * i - 1, 2) AS BIGINT))),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) AS h
+  FROM (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS key FROM runs), crc),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS (SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest
+         FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS m FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-m, encode(near))) AS near, max(m) AS m FROM pairs GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * w.n THEN near END AS form, CASE WHEN m >= 10 * w.n THEN m END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+way AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT w.word, f.form FROM way w JOIN formed f ON w.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n
+FROM formed f JOIN (SELECT word, root FROM way WHERE root IN (SELECT word FROM formed WHERE form IS NULL)) r ON f.word = r.word
+"""
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, k, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces), (SELECT unnest(range(1, 5)) AS k) WHERE i + k - 1 <= len(w)
+  GROUP BY ALL),
+often AS (SELECT lang, phrase, k, string_split(phrase, ' ') AS w, f FROM grams WHERE f >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, c.k, c.f AS a, c.pos, h.f AS l, t.f AS r, (CAST(2000000 AS HUGEINT) * c.f) // (h.f + t.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS pos FROM often WHERE k > 1) c
+  JOIN often h ON h.lang = c.lang AND h.phrase = array_to_string(list_slice(c.w, 1, c.pos), ' ')
+  JOIN often t ON t.lang = c.lang AND t.phrase = array_to_string(list_slice(c.w, c.pos + 1, c.k), ' ')),
+lowest AS (SELECT lang, phrase, k, a, arg_min({'l': l, 'r': r, 's': score}, (score, pos)) AS x FROM cuts GROUP BY ALL),
+longer AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, max(f) AS b
+  FROM (SELECT *, unnest(range(1, k + 1)) AS i FROM often WHERE k > 2), (SELECT unnest([2, 3]) AS m) WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+ranked AS (
+  SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY x.s DESC, a DESC, encode(o.phrase)) AS rank, o.phrase, a, x.l AS l, x.r AS r, x.s AS score
+  FROM lowest o LEFT JOIN longer g ON o.lang = g.lang AND o.phrase = g.phrase WHERE b IS NULL OR 100 * b < 80 * a)
+SELECT r.lang, rank, phrase, a, l, r.r AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked r JOIN (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang) t ON r.lang = t.lang WHERE rank <= 2000
+"""

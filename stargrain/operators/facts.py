@@ -28,6 +28,10 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, sk: str
     )
 
 
+#: versions of a key up to which the join is the default way of an as-of lookup
+JOIN_VERSIONS = 16
+
+
 def lookup_asof(
     fact: DataFrame,
     dim: DataFrame,
@@ -42,56 +46,66 @@ def lookup_asof(
 
     Without a version, a key or a time it is -1, in the dimension's type. The versions of a key must
     not overlap (`quality.scd2_violations` counts those that do). Two ways with equal results:
-      sweep  merges versions and events in time order, linear whatever the number of versions (`_sweep`);
-      join   hash join on the key with the range as residual, for keys of a few versions: every
-             event meets all versions of its key. "broadcast" asks Spark to broadcast the versions.
+      join   hash join on the key with the range as residual: every event meets all versions of its key, so
+             it is the default where no key has more than JOIN_VERSIONS, counted on the dimension;
+      sweep  the version begun last is carried on through time, linear whatever the number of versions (`_carry`).
+    Spark broadcasts the versions of a join if their size at run time allows; "broadcast" is another name for it.
     """
     versions = dim.select(
         F.col(dim_key).alias("_dk"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), F.col(sk).alias("_sk")
     )
     out = out or sk
     unknown = F.lit(X.UNKNOWN_KEY).cast(dim.schema[sk].dataType)
-    if method in (None, "sweep"):
-        return _sweep(fact, versions, fact_key, event_time, out, unknown)
-    if method == "broadcast":
-        versions = F.broadcast(versions)
-    elif method != "join":
+    if method is None:
+        most = versions.groupBy("_dk").count().agg(F.max("count")).first()[0]
+        method = "join" if (most or 0) <= JOIN_VERSIONS else "sweep"
+    if method == "sweep":
+        return _carry(fact, versions, fact_key, event_time, out, unknown)
+    if method not in ("join", "broadcast"):
         raise ValueError(f"unknown method {method}")
     t = F.col(event_time)
     valid = (F.col(fact_key) == F.col("_dk")) & (t >= F.col("_from")) & (t < F.col("_to"))
     return fact.join(versions, valid, "left").withColumn(out, F.coalesce("_sk", unknown)).drop("_dk", "_from", "_to", "_sk")
 
 
-def _sweep(fact: DataFrame, versions: DataFrame, fact_key: str, event_time: str, out: str, unknown: Column, slices: int = 64) -> DataFrame:
+def _carry(fact: DataFrame, versions: DataFrame, fact_key: str, event_time: str, out: str, unknown: Column, slices: int = 64) -> DataFrame:
     """As-of lookup in linear time: order versions and events by time, carry the last version on.
 
     Work is cut by key and time slice. The slices hold equally many events of the whole fact
     (measured quantiles), so no key can have more than 1/slices of all events in one, wherever in
-    time they lie; a version enters every slice that it covers.
+    time they lie. A version stands once, in the slice where it begins. What an earlier slice
+    hands on is the last version begun there: one row per key and slice with versions is scanned forward to the slices in which
+    the key has events, at most `slices` rows of a key on either side. So events, versions, and keys x busy slices are shuffled.
     """
     seconds = lambda c: F.unix_timestamp(c.cast("timestamp"))
     shares = F.array(*[F.lit(k / slices) for k in range(1, slices)])
     cuts = fact.agg(F.percentile_approx(seconds(F.col(event_time)), shares, 10_000)).scalar()
+    slice_of = lambda c: _count_cuts(cuts, seconds(c), slices)
 
-    spread = versions.withColumn("_first", _count_cuts(cuts, seconds(F.col("_from")), slices)).withColumn(
-        "_last", _count_cuts(cuts, seconds(F.col("_to")), slices)
-    ).select("_dk", "_from", "_to", "_sk", F.explode(F.sequence("_first", "_last")).alias("_m"))
-    sk_type = versions.schema["_sk"].dataType
-    version_type = f"struct<sk:{sk_type.simpleString()},until:timestamp>"
+    begun = versions.select(
+        F.col("_dk").alias("_k"), slice_of(F.col("_from")).alias("_m"), F.col("_from").cast("timestamp").alias("_t"),
+        F.struct(F.col("_sk").alias("sk"), F.col("_to").cast("timestamp").alias("until")).alias("_v"),
+    ).filter("_k IS NOT NULL AND _t IS NOT NULL")
     # an event without key or time has no version; keeping it out also keeps NULLs out of one group
     undated = F.col(fact_key).isNull() | F.col(event_time).isNull()
     unmatched = fact.filter(undated).withColumn(out, unknown)
-    events = fact.filter(~undated).select(
-        F.col(fact_key).alias("_k"), _count_cuts(cuts, seconds(F.col(event_time)), slices).alias("_m"),
-        F.col(event_time).cast("timestamp").alias("_t"),
-        F.lit(1).alias("_kind"), F.struct(*fact.columns).alias("_row"), F.lit(None).cast(version_type).alias("_v"),
-    )
-    marks = spread.select(
-        F.col("_dk").alias("_k"), "_m", F.col("_from").cast("timestamp").alias("_t"), F.lit(0).alias("_kind"),
-        F.lit(None).cast(events.schema["_row"].dataType).alias("_row"),
-        F.struct(F.col("_sk").alias("sk"), F.col("_to").cast("timestamp").alias("until")).cast(version_type).alias("_v"),
+    known = fact.filter(~undated)
+    busy = known.select(F.col(fact_key).alias("_k"), slice_of(F.col(event_time)).alias("_m")).distinct()
+    last = begun.groupBy("_k", "_m").agg(F.max_by("_v", "_t").alias("_v"))
+    earlier = Window.partitionBy("_k").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    steps = busy.withColumn("_v", F.lit(None).cast(last.schema["_v"].dataType)).withColumn("_busy", F.lit(True)).unionByName(
+        last.withColumn("_busy", F.lit(False)))
+    merged = steps.groupBy("_k", "_m").agg(F.max("_v").alias("_v"), F.bool_or("_busy").alias("_busy"))
+    handed = merged.withColumn("_v", F.last("_v", ignorenulls=True).over(earlier)).filter("_busy AND _v IS NOT NULL").select(
+        "_k", "_m", F.lit(None).cast("timestamp").alias("_t"), "_v")
+
+    events = known.select(
+        F.col(fact_key).alias("_k"), slice_of(F.col(event_time)).alias("_m"), F.col(event_time).cast("timestamp").alias("_t"),
+        F.lit(None).cast(last.schema["_v"].dataType).alias("_v"), F.lit(1).alias("_kind"), F.struct(*fact.columns).alias("_row"),
     )
-    w = Window.partitionBy("_k", "_m").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    marks = begun.unionByName(handed).select("*", F.lit(0).alias("_kind"), F.lit(None).cast(events.schema["_row"].dataType).alias("_row"))
+    # what was handed on has no time and comes first, then by time, versions before events
+    w = Window.partitionBy("_k", "_m").orderBy(F.col("_t").asc_nulls_first(), "_kind").rowsBetween(Window.unboundedPreceding, 0)
     carried = events.unionByName(marks).withColumn("_v", F.last("_v", ignorenulls=True).over(w))
     found = F.when(F.col("_t") < F.col("_v.until"), F.col("_v.sk"))
     matched = carried.filter("_kind = 1").withColumn("_sk", F.coalesce(found, unknown)).select("_row.*", F.col("_sk").alias(out))

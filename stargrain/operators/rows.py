@@ -30,6 +30,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def numbered_copies(df: DataFrame, name: str) -> DataFrame:
+    """Equal rows numbered from 1 (NULL equals NULL). They are counted and spread out again, so very many copies of
+    a row are combined before the shuffle and never sorted."""
+    block = 10_000
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", F.explode(F.expr(f"sequence(0, (_n - 1) div {block})")))
+    numbers = F.expr(f"sequence(CAST(_b * {block} + 1 AS INT), CAST(least(_n, (_b + 1) * {block}) AS INT))")
+    return counted.withColumn(name, F.explode(numbers)).drop("_n", "_b")
+
+
 def duplicate_groups(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     """One row: how many key values occur more than once (NULL is a key value)."""
     return df.groupBy(*keys).count().filter("count > 1").agg(F.count(F.lit(1)).alias(name))

@@ -6,6 +6,7 @@ from stargrain.plans.catalogue import (  # noqa: F401  (each module registers it
     areas,
     dates,
     dims,
+    loads,
     merges,
     profiles,
     quality_checks,

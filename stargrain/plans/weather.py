@@ -266,7 +266,7 @@ def metric_expectations() -> list[Expectation]:
 
 
 def warehouse_expectations(orphans_expected: str = "pass") -> list[Expectation]:
-    """Checks after the load: fact filled, every row dated, no unknown member, sound history."""
+    """Checks before the switch: fact filled, every row dated, no unknown member, sound history."""
     fact = "fact_prakiraan_cuaca"
     return [
         Expectation("fact_berisi", "t3", "blocking", "pass", fact, count=quality.not_empty(fact)),
@@ -300,7 +300,8 @@ def load(
     manifest_rows: int | None = None,
 ) -> DataFrame:
     """One batch: gate on the source (with the slice's row count, if its manifest states one), then
-    calendar, weather codes, locations, fact, in that order, and a gate on the result.
+    calendar, weather codes, locations, fact, in that order, and a gate on the result. Only then are the tables
+    switched, in the same order; until then, and if a gate closes, readers see every table as it was.
 
     Repeating a batch leaves every table as it was, apart from audit columns.
     """
@@ -315,25 +316,25 @@ def load(
     locations = cut(stage_locations(raw))
     quality.gate(quality.run_expectations(staging_expectations(), {"stg_prakiraan": forecasts}, spark))
 
-    warehouse.publish("dim_date", calendar.build_dim_date(spark, *calendar_range), batch_id)
-
-    codes = warehouse.read("dim_cuaca") if warehouse.exists("dim_cuaca") else new_dim_cuaca(spark, now)
-    dim_cuaca = warehouse.publish(
-        "dim_cuaca",
-        dimensions.scd1_upsert(codes, forecasts, "kode_cuaca", ["deskripsi_id", "deskripsi_en"], now, "cuaca_sk"),
-        batch_id,
-    )
-    dim_lokasi = warehouse.merge_history(
-        "dim_lokasi", locations, LOCATION_KEY, LOCATION_TRACKED, batch_ts, "lokasi_sk", batch_id, new_dim_lokasi(locations)
-    )
-    fact = warehouse.merge_months(
-        "fact_prakiraan_cuaca",
-        assemble_fact(forecasts, dim_lokasi, dim_cuaca, batch_id, now),
-        FACT_KEY, FACT_UPDATES, batch_id, "tanggal_sk", SURROGATES, sort=("lokasi_sk", "tanggal_sk"),
-    )
-    checks = warehouse_expectations() + metric_expectations() if after is None else after
-    quality.gate(quality.run_expectations(checks, {t: warehouse.read(t) for t in warehouse.tables()}, spark))
-    return fact
+    with warehouse.staged() as w:
+        w.publish("dim_date", calendar.build_dim_date(spark, *calendar_range), batch_id)
+        codes = w.read("dim_cuaca") if w.exists("dim_cuaca") else new_dim_cuaca(spark, now)
+        dim_cuaca = w.publish(
+            "dim_cuaca",
+            dimensions.scd1_upsert(codes, forecasts, "kode_cuaca", ["deskripsi_id", "deskripsi_en"], now, "cuaca_sk"),
+            batch_id,
+        )
+        dim_lokasi = w.merge_history(
+            "dim_lokasi", locations, LOCATION_KEY, LOCATION_TRACKED, batch_ts, "lokasi_sk", batch_id, new_dim_lokasi(locations)
+        )
+        w.merge_months(
+            "fact_prakiraan_cuaca",
+            assemble_fact(forecasts, dim_lokasi, dim_cuaca, batch_id, now),
+            FACT_KEY, FACT_UPDATES, batch_id, "tanggal_sk", SURROGATES, sort=("lokasi_sk", "tanggal_sk"),
+        )
+        checks = warehouse_expectations() + metric_expectations() if after is None else after
+        quality.gate(quality.run_expectations(checks, {t: w.read(t) for t in w.tables()}, spark))
+    return warehouse.read("fact_prakiraan_cuaca")
 
 
 def register_views(warehouse: Warehouse) -> list[str]:

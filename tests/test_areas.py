@@ -1,6 +1,7 @@
 """Sales and campus: dirty fixtures with planted defects, cleaned by the documented rules."""
 
 import datetime as dt
+import hashlib
 import random
 from decimal import Decimal
 
@@ -93,9 +94,9 @@ def test_campus(spark):
     courses = spark.createDataFrame([("SD1", 5)], "kode_mk string, matakuliah_sk int")
     got = sorted(tuple(r) for r in campus.attendance_fact(clean, students, courses).collect())
     assert got == [
-        ("1", "SD1", 20240902, 0, 11, 5, "HADIR", 1, 1), ("1", "SD1", 20240909, 0, 11, 5, "IZIN", 0, 1),
-        ("2", "SD1", 20240902, 0, 12, 5, "HADIR", 1, 1), ("2", "XX", 20240902, 0, 12, -1, "SAKIT", 0, 1),
-        ("9", "SD1", -1, 1, -1, 5, "TIDAK DIKETAHUI", 0, 1),
+        ("1", "SD1", 20240902, "", 0, 11, 5, "HADIR", 1, 1), ("1", "SD1", 20240909, "", 0, 11, 5, "IZIN", 0, 1),
+        ("2", "SD1", 20240902, "", 0, 12, 5, "HADIR", 1, 1), ("2", "XX", 20240902, "", 0, 12, -1, "SAKIT", 0, 1),
+        ("9", "SD1", -1, hashlib.md5(b"TIDAK DIKETAHUI=32/13/2024").hexdigest(), 1, -1, 5, "TIDAK DIKETAHUI", 0, 1),
     ]
     prof = {r.metric: r.value for r in profile({"raw_presensi": raw}, [T1_PROFILE[1]]).collect()}
     assert (prof["baris"], prof["tanggal_format_lain"], prof["duplikat_grain"]) == ("6", "2", "0")
@@ -110,8 +111,10 @@ def test_every_topic_has_a_suite():
 def test_undated_meetings_stay_apart(spark):
     rows = [("1", "SD1", d, s) for d, s in (("2024-09-02junk", "h"), (None, "h"), (None, "h"), ("soon", "a"), ("2024-09-02", "h"), ("2024-09-02T08:00", "a"))]
     clean = campus.clean_attendance(spark.createDataFrame(rows, "nim string, kode_mk string, tanggal string, status string"))
-    got = sorted((str(r.tanggal), r.urutan, r.status) for r in clean.collect())
-    assert got == [("2024-09-02", 0, "HADIR"), ("None", 1, "HADIR"), ("None", 2, "ALPA"), ("None", 3, "HADIR"), ("None", 4, "HADIR")]
+    rows = clean.collect()
+    got = sorted((str(r.tanggal), r.urutan, r.status) for r in rows)
+    assert got == [("2024-09-02", 0, "HADIR"), ("None", 1, "ALPA"), ("None", 1, "HADIR"), ("None", 1, "HADIR"), ("None", 2, "HADIR")]
+    assert len({r.isi for r in rows}) == 4  # none for the dated one, and three different contents
 
 
 def campus_raw(spark):
@@ -178,3 +181,62 @@ def test_slices_reach_the_tables_that_depend_on_them(spark):
 def test_load_stops_when_a_date_is_outside_the_calendar(spark, tmp_path):
     with pytest.raises(QualityGateError, match="penjualan_di_kalender"):
         sales.load(sales_raw(spark), Warehouse(spark, str(tmp_path)), "b1", calendar_range=("2025-01-01", "2025-03-31"))
+
+
+def test_a_refused_batch_leaves_every_table_as_it_was(spark, tmp_path):
+    w, raw = Warehouse(spark, str(tmp_path)), sales_raw(spark)
+    sales.load(raw, w, "b1")
+    before = {t: (w.read(t).count(), sorted(map(str, w.read(t).collect()))) for t in w.tables()}
+    raw["raw_products"] = spark.createDataFrame([("P1", "Kopi Baru"), ("P2", "Teh")], "product_id string, nama string")
+    with pytest.raises(QualityGateError, match="penjualan_di_kalender"):
+        sales.load(raw, w, "b2", calendar_range=("2025-01-01", "2025-03-31"))
+    assert before == {t: (w.read(t).count(), sorted(map(str, w.read(t).collect()))) for t in w.tables()}
+
+
+def undated_batch(spark, raw, rows):
+    return {**raw, "raw_presensi": spark.createDataFrame(rows, "nim string, kode_mk string, tanggal string, status string")}
+
+
+def test_undated_records_of_two_batches_all_stay(spark, tmp_path):
+    raw, w = campus_raw(spark), Warehouse(spark, str(tmp_path))
+    one = undated_batch(spark, raw, [("1", "SD1", "junk z", "hadir")])
+    two = undated_batch(spark, raw, [("1", "SD1", "junk a", "sakit"), ("1", "SD1", "junk z", "hadir"), ("1", "SD1", "junk z", "hadir")])
+    got = lambda: sorted((r.status, r.urutan) for r in w.read("fact_presensi").collect())
+    campus.load(one, w, "b1")
+    assert got() == [("HADIR", 1)]
+    for _ in range(2):
+        campus.load(two, w, "b2")
+        assert got() == [("HADIR", 1), ("HADIR", 2), ("SAKIT", 1)]
+    campus.load(one, w, "b1")
+    assert got() == [("HADIR", 1), ("HADIR", 2), ("SAKIT", 1)]
+
+
+def test_a_corrected_date_moves_the_row(spark, tmp_path):
+    raw, w = sales_raw(spark), Warehouse(spark, str(tmp_path))
+    schema = "transaction_id string, customer_id string, outlet_id string, status string, tanggal_waktu string"
+    batch = lambda when: {
+        **raw, "raw_transactions": spark.createDataFrame([("T1", "C1", "OUT-A", "ok", when)], schema),
+        "raw_transaction_items": spark.createDataFrame([("T1", "P1", "2", "10.5")], "transaction_id string, product_id string, qty string, harga_satuan string")}
+    other = {**batch("2024-01-20 08:00:00"), "raw_transaction_items": spark.createDataFrame(
+        [("T2", "P1", "1", "1")], "transaction_id string, product_id string, qty string, harga_satuan string"),
+        "raw_transactions": spark.createDataFrame([("T2", "C1", "OUT-A", "ok", "2024-02-20 08:00:00")], schema)}
+    dates = lambda: sorted((r.transaction_id, r.date_sk, r.bulan) for r in w.read("fact_sales_item").collect())
+    sales.load(batch("kapan?"), w, "b1")
+    assert dates() == [("T1", -1, -1)]
+    sales.load(other, w, "b2")
+    for when, date in (("2024-01-31 10:00:00", 20240131), ("2024-02-01 10:00:00", 20240201), ("kapan?", 20240201)):
+        sales.load(batch(when), w, "b3")
+        assert dates() == [("T1", date, date // 100), ("T2", 20240220, 202402)]
+
+
+def test_two_batches_that_end_at_once(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    one = spark.range(3)
+    with pytest.raises(FileExistsError, match="somebody else"):
+        with w.staged() as mine:
+            mine.publish("t", one, "a")
+            mine.publish("t", one.limit(2), "a")  # a later write of the block replaces the first
+            assert mine.read("t").count() == 2 and not w.exists("t")
+            with w.staged() as other:
+                other.publish("t", one.limit(1), "b")
+    assert w.read("t").count() == 1

@@ -66,7 +66,7 @@ def test_sweep_slices_follow_the_events_and_not_the_span(spark):
         (F.lit(day(800)) + F.make_dt_interval(secs=F.col("id"))).alias("t"))
     events = third.union(spark.createDataFrame([(-1, "hot", dt.datetime(1970, 1, 1))], third.schema))
     dim = spark.createDataFrame([("hot", day(0), day(801), 1), ("hot", day(801), END, 2)], DIM)
-    out = facts.lookup_asof(events, dim, "key", "k", "t", "sk", "place_sk")
+    out = facts.lookup_asof(events, dim, "key", "k", "t", "sk", "place_sk", "sweep")
     got = {r.place_sk: r["count"] for r in out.groupBy("place_sk").count().collect()}
     assert got == {1: 10_000, -1: 20_001}
     cuts = events.agg(F.percentile_approx(F.unix_timestamp("t"), F.array(*[F.lit(k / 64) for k in range(1, 64)]), 10_000).alias("c")).first().c
@@ -74,6 +74,26 @@ def test_sweep_slices_follow_the_events_and_not_the_span(spark):
     assert slices.agg(F.max("count")).first()[0] < 2 * 30_000 / 64
 
 
+def test_sweep_copies_no_version(spark):
+    """A version that is valid in every slice stands once, and is handed on to slices with events only."""
+    events = spark.range(64 * 20).select((F.col("id") % 7).cast("string").alias("key"), (F.lit(day(0)) + F.make_dt_interval(hours=F.col("id"))).alias("t"))
+    dim = spark.createDataFrame([(str(k), day(-900), END, k) for k in range(300)], DIM)
+    out = facts.lookup_asof(events, dim, "key", "k", "t", "sk", method="sweep")
+    assert {(r.key, r.sk) for r in out.collect()} == {(str(k), k) for k in range(7)}
+    assert "Generate" not in plan_of(out)
+
+
+def test_many_versions_of_a_key_are_swept_by_default(spark):
+    many = spark.range(facts.JOIN_VERSIONS + 1).select(
+        F.lit("a").alias("k"), (F.lit(day(0)) + F.make_dt_interval(days=F.col("id"))).alias("valid_from"),
+        (F.lit(day(1)) + F.make_dt_interval(days=F.col("id"))).alias("valid_to"), F.col("id").alias("sk"))
+    ev = spark.createDataFrame([("a", day(3)), ("a", day(99)), ("b", day(3))], "key string, t timestamp")
+    for dim, swept in ((many, True), (many.filter("sk < 5"), False)):
+        out = facts.lookup_asof(ev, dim, "key", "k", "t", "sk")
+        assert ("Window" in plan_of(out)) == swept
+        assert sorted((r.key, r.sk) for r in out.collect()) == [("a", -1), ("a", 3), ("b", -1)]
+
+
 def test_range_is_half_open(spark):
     dim = spark.createDataFrame([("a", day(0), day(5), 1), ("a", day(5), END, 2)], DIM)
     ev = spark.createDataFrame([("a", day(5)), ("a", day(4)), ("a", day(-1))], "key string, t timestamp")

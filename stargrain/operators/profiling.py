@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stargrain.operators.rows import duplicate_groups, frequency, orphan_rows
+from stargrain.operators import marks
+from stargrain.operators.marks import Marks
+from stargrain.operators.rows import frequency
 
 PROFILE_COLUMNS = ("table", "check", "metric", "value")
 
@@ -25,6 +27,7 @@ class TableProfile:
 
     typed        name -> SQL of a column read from text; computed once per row for all scalars
     scalars      metric name -> SQL aggregate; all of a table are computed in one pass
+    examples     metric name -> column whose smallest text is shown
     distinct     metric name -> column whose distinct non-NULL values are counted
     duplicates   metric name -> key columns; counts key values occurring more than once
     frequencies  check name -> columns; one output row per value combination
@@ -35,6 +38,7 @@ class TableProfile:
     table: str
     typed: Mapping[str, str] = field(default_factory=dict)
     scalars: Mapping[str, str] = field(default_factory=dict)
+    examples: Mapping[str, str] = field(default_factory=dict)
     distinct: Mapping[str, str] = field(default_factory=dict)
     duplicates: Mapping[str, Sequence[str]] = field(default_factory=dict)
     frequencies: Mapping[str, Sequence[str]] = field(default_factory=dict)
@@ -43,17 +47,26 @@ class TableProfile:
 
 
 def scalar_profile(df: DataFrame, spec: TableProfile, approximate: bool = False) -> DataFrame:
-    """One row with every scalar and distinct count of a table, from one scan.
+    """One row with every scalar, example and distinct count of a table, from one scan.
 
-    Several exact distinct counts multiply the rows inside the scan stage before they are
-    combined; `approximate` uses sketches instead, for first looks at very large sources.
+    Several exact distinct counts are counted from marks, combined before they are shuffled;
+    `approximate` uses sketches instead, for first looks at very large sources.
     """
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    if spec.typed:
-        df = df.select("*", *[F.expr(sql).alias(name) for name, sql in spec.typed.items()])
-    aggs = [F.expr(sql).alias(name) for name, sql in spec.scalars.items()]
-    aggs += [distinct(F.col(c)).alias(name) for name, c in spec.distinct.items()]
-    return df.agg(*aggs)
+    if len(spec.distinct) < 2 or approximate:
+        distinct = F.approx_count_distinct if approximate else F.count_distinct
+        if spec.typed:
+            df = df.select("*", *[F.expr(sql).alias(name) for name, sql in spec.typed.items()])
+        aggs = [F.expr(sql).alias(name) for name, sql in spec.scalars.items()]
+        aggs += [F.min(c).alias(name) for name, c in spec.examples.items()]
+        return df.agg(*aggs, *[distinct(F.col(c)).alias(name) for name, c in spec.distinct.items()])
+    columns = {c: [c] for c in (*spec.examples.values(), *spec.distinct.values())}
+    m = Marks(spec.typed, spec.scalars, columns)
+    of_none = marks.empty_scalars(df, m)
+    mine = lambda c: F.col("set") == c
+    aggs = [F.coalesce(F.max(F.when(mine(marks.ROWS), F.col(f"`{name}`"))), F.lit(of_none[name])).alias(name) for name in spec.scalars]
+    aggs += [F.min(F.when(mine(c), F.get("key", F.lit(0)))).alias(name) for name, c in spec.examples.items()]
+    aggs += [F.count_if(mine(c) & marks.present()).alias(name) for name, c in spec.distinct.items()]
+    return marks.counted(df, m).agg(*aggs)
 
 
 def frequencies(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataFrame:
@@ -61,35 +74,89 @@ def frequencies(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataF
     return frequency(df, columns, name).orderBy(F.desc(name), *[F.col(c).asc_nulls_last() for c in columns])
 
 
-def _long(one_row: DataFrame, table: str, check: str) -> DataFrame:
-    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("string").alias("value")) for c in one_row.columns])
-    return one_row.select(F.lit(table).alias("table"), F.lit(check).alias("check"), F.inline(pairs))
-
-
-def profile_table(tables: Mapping[str, DataFrame], spec: TableProfile, approximate: bool = False) -> DataFrame:
-    df = tables[spec.table]
-    parts: list[DataFrame] = []
-    if spec.scalars or spec.distinct:
-        parts.append(_long(scalar_profile(df, spec, approximate), spec.table, "scalars"))
-    for name, keys in spec.duplicates.items():
-        parts.append(_long(duplicate_groups(df, keys, name), spec.table, "duplicates"))
-    for name, (fk, ref, ref_key) in spec.orphans.items():
-        parts.append(_long(orphan_rows(df, fk, tables[ref], ref_key, name), spec.table, "orphans"))
-    for name, (key, child, fk) in spec.childless.items():
-        parts.append(_long(orphan_rows(df, key, tables[child], fk, name), spec.table, "childless"))
-    for check, columns in spec.frequencies.items():
-        label = F.concat_ws(" | ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
-        parts.append(
-            frequency(df, columns).select(
-                F.lit(spec.table).alias("table"), F.lit("frequency").alias("check"),
-                F.concat(F.lit(check + ": "), label).alias("metric"), F.col("n").cast("string").alias("value"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+def _set(table: str, columns: Sequence[str]) -> str:
+    return f"{table}: {', '.join(columns)}"
+
+
+def _plan(specs: Sequence[TableProfile]) -> tuple[dict[str, Marks], list[tuple], list[tuple]]:
+    """What each table marks; (set, kind, bit, table, check, metric) of the metrics; and the same of the frequencies.
+    Checks of the same columns share a set."""
+    typed, scalars, sets, parents = {}, {}, {}, {}
+    metrics, listed = [], []
+
+    def key(table: str, columns: Sequence[str]) -> str:
+        name = _set(table, columns)
+        sets.setdefault(table, {})[name] = tuple(columns)
+        return name
+
+    bits: dict[str, int] = {}
+    for s in specs:
+        typed.setdefault(s.table, {}).update(s.typed)
+        scalars.setdefault(s.table, {}).update(s.scalars)
+        metrics += [(key(s.table, [c]), "example", 0, s.table, "scalars", n) for n, c in s.examples.items()]
+        metrics += [(key(s.table, [c]), "distinct", 0, s.table, "scalars", n) for n, c in s.distinct.items()]
+        metrics += [(key(s.table, cs), "duplicates", 0, s.table, "duplicates", n) for n, cs in s.duplicates.items()]
+        for check, wanted in (("orphans", s.orphans), ("childless", s.childless)):
+            for n, (column, ref, ref_column) in wanted.items():
+                name = key(s.table, [column])
+                bit = bits[name] = bits.get(name, -1) + 1
+                parents.setdefault(ref, {})[name, bit] = ref_column
+                metrics.append((name, "orphans", bit, s.table, check, n))
+        listed += [(key(s.table, cs), "frequency", 0, s.table, "frequency", n) for n, cs in s.frequencies.items()]
+    names = {*typed, *scalars, *sets, *parents}
+    plan = {t: Marks(typed.get(t, {}), scalars.get(t, {}), sets.get(t, {}), parents.get(t, {})) for t in sorted(names)}
+    return {t: m for t, m in plan.items() if m.scalars or m.sets or m.parents}, metrics, listed
 
 
 def profile(tables: Mapping[str, DataFrame], specs: Sequence[TableProfile], approximate: bool = False) -> DataFrame:
-    return reduce(DataFrame.unionByName, [profile_table(tables, s, approximate) for s in specs])
+    """All metrics of the specs, each table scanned once (`marks`). With `approximate`, distinct
+    counts come from sketches, in a scan of their own, and the other checks stay exact."""
+    if approximate:
+        rough = [_sketched(tables[s.table], s) for s in specs if s.distinct]
+        exact = [replace(s, distinct={}) for s in specs]
+        return reduce(DataFrame.union, [profile(tables, exact), *rough])
+    plan, metrics, listed = _plan(specs)
+    keys = marks.together(tables, plan)
+    frequent = sorted({m[0] for m in listed})
+    # a row of a frequency stays a row; all keys of a set give one more
+    either = F.array(
+        F.when((F.col("set") == marks.ROWS) | F.col("set").isin(frequent) & (F.col("n") > 0), F.struct(F.col("key").alias("row"))),
+        F.when(F.col("set") != marks.ROWS, F.struct(F.lit(None).cast("array<string>").alias("row"))))
+    bits = 1 + max((m[2] for m in metrics), default=0)
+    own = F.col("n") > 0
+    sums = keys.select("*", F.inline(F.array_compact(either))).groupBy("set", "row").agg(
+        F.sum("n").alias("n"), F.count_if(own & marks.present()).alias("distinct"), F.count_if(F.col("n") > 1).alias("duplicates"),
+        *[F.sum(F.when(marks.is_orphan(b), F.col("n")).otherwise(0)).alias(f"orphans{b}") for b in range(bits)],
+        *([F.min(F.get("key", F.lit(0))).alias("example")] if any(m[1] == "example" for m in metrics) else []))
+    spark = keys.sparkSession
+    schema = "set string, kind string, bit int, table string, check string, metric string"
+    wanted = spark.createDataFrame([*metrics, *listed], schema)  # one row per metric
+    orphans = F.coalesce(*[F.when(F.col("bit") == b, F.col(f"orphans{b}")) for b in range(bits)])
+    label = F.concat_ws(" | ", F.transform("row", lambda x: F.coalesce(x, F.lit("NULL"))))
+    value = (F.when(F.col("kind") == "distinct", F.col("distinct")).when(F.col("kind") == "duplicates", F.col("duplicates"))
+             .when(F.col("kind") == "orphans", orphans).otherwise(F.col("n"))).cast("string")
+    if any(m[1] == "example" for m in metrics):
+        value = F.when(F.col("kind") == "example", F.col("example")).otherwise(value)
+    is_list = F.col("kind") == "frequency"
+    joined = sums.join(F.broadcast(wanted), "set", "left").filter((F.col("set") == marks.ROWS) | (is_list == F.col("row").isNotNull()))
+    got = joined.select(
+        F.coalesce("table", F.get("row", F.lit(0))).alias("table"), F.coalesce("check", F.lit("scalars")).alias("check"),
+        F.when(F.col("set") == marks.ROWS, F.get("row", F.lit(1))).when(is_list, F.concat("metric", F.lit(": "), label)).otherwise(F.col("metric")).alias("metric"),
+        F.when(F.col("set") == marks.ROWS, F.get("row", F.lit(2))).otherwise(value).alias("value"), F.lit(True).alias("found"))
+    # tables without rows mark nothing
+    of_none = [(t, "scalars", n, None if v is None else str(v)) for t, m in plan.items() for n, v in marks.empty_scalars(tables[t], m).items()]
+    of_none += [(t, check, n, None if kind == "example" else "0") for _, kind, _, t, check, n in metrics]
+    if not of_none:
+        return got.select(*PROFILE_COLUMNS)
+    unless = spark.createDataFrame(of_none, "table string, check string, metric string, otherwise string")
+    return got.join(unless, ["table", "check", "metric"], "full").select(
+        "table", "check", "metric", F.when(F.col("found"), F.col("value")).otherwise(F.col("otherwise")).alias("value"))
+
+
+def _sketched(df: DataFrame, spec: TableProfile) -> DataFrame:
+    one = df.agg(*[F.approx_count_distinct(F.col(c)).alias(name) for name, c in spec.distinct.items()])
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("string").alias("value")) for c in one.columns])
+    return one.select(F.lit(spec.table).alias("table"), F.lit("scalars").alias("check"), F.inline(pairs))
 
 
 def write_profile(result: DataFrame, path: str) -> None:

@@ -85,8 +85,9 @@ def profile_minmax(t):
         typed={"_qty": X.int_text("l_quantity"), "_harga": X.bigint_text("l_extendedprice")},
         scalars={
             "qty_min": "min(_qty)", "qty_max": "max(_qty)", "harga_min": "min(_harga)", "harga_max": "max(_harga)",
-            "diskon_max": f"max({X.double_text('l_discount')})", "tanda_contoh": "min(l_returnflag)",
+            "diskon_max": f"max({X.double_text('l_discount')})",
         },
+        examples={"tanda_contoh": "l_returnflag"},
     )
     return profiling.scalar_profile(raw, spec)
 

@@ -67,9 +67,9 @@ def weather_profile(offset_seconds: int = 25200) -> tuple[TableProfile, ...]:
                 "baris": "count(*)",
                 "vs_kosong": _missing("vs"),
                 "tp_nol": f"count_if({double_text('tp')} = 0)",
-                "time_index_contoh": "min(time_index)",
                 "baris_selisih": offset_rule("local_datetime", "utc_datetime", offset_seconds),
             },
+            examples={"time_index_contoh": "time_index"},
             distinct={"desa": "adm4", "analysis_date_unik": "analysis_date"},
             frequencies={"cuaca": ("weather", "weather_desc")},
         ),

@@ -1,8 +1,8 @@
 """Spelling variants: a frontier of states over a trie kept as an edge table.
 
 The words, and the words read backwards, stand in two tries. A node is the prefix its words share; an edge
-(node, ch, label, child, leaf) leads on by all characters its words have in common, so a node is where words
-part, or the only word of a leaf. Tries are built level by level: words grouped by (node, next character), the child being
+(node, ch, label, child, leaf, nexts) leads on by all characters its words have in common, so a node is where words
+part, or the only word of a leaf; `nexts` are the characters that lead on from the child. Tries are built level by level: words grouped by (node, next character), the child being
 the common prefix of the group's smallest and largest word.
 
 A state (s, position, node, edits) says that a word, read up to a position, arrives at a node with so many
@@ -11,7 +11,8 @@ where two words first differ, so states with one edit spring from the other edge
 on they are joined with the edge table, round by round, and have to match it. Those that end with a word are neighbours.
 
 Of two words one edit apart, the word of m characters shares at least (m - 1) // 2 at the beginning or at the end
-with the other. So in either trie edits are only made past that place, where the tries are thin.
+with the other. So in either trie edits are only made past that place, where the tries are thin. Each pair is
+looked for from one of its words only: the longer one, or of equally long ones that with the smaller differing character.
 """
 
 from __future__ import annotations
@@ -91,6 +92,15 @@ def _rest(s: str, start: Column, size: Column | None = None) -> Column:
     return F.substr(F.col(s), start + 1) if size is None else F.substr(F.col(s), start + 1, size)
 
 
+#: stands for the end of a word among next characters, where it can't be a letter
+END = "$"
+
+
+def _mark(ch: str | Column) -> Column:
+    ch = F.col(ch) if isinstance(ch, str) else ch
+    return F.when(ch == "", END).otherwise(ch)
+
+
 def _common(a: str, b: str) -> Column:
     """How many characters two different strings share at the beginning."""
     same = F.zip_with(F.split(F.col(a), ""), F.split(F.col(b), ""), lambda x, y: x.eqNullSafe(y))
@@ -100,7 +110,7 @@ def _common(a: str, b: str) -> Column:
 def tries(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(edges, paths) of the tries of the distinct `word`s forwards (nodes begin with >) and backwards (<).
 
-    edges: (node, ch, label, child, leaf); a leaf's child is its word, as read in that trie, and a word that ends
+    edges: (node, ch, label, child, leaf, nexts); a leaf's child is its word, as read in that trie, and a word that ends
     in a node is a leaf with an empty label. paths: (s, node) of the nodes on the way of each word.
     """
     both = F.array(F.struct(F.col("word").alias("s"), F.lit(">").alias("node")), F.struct(F.reverse("word").alias("s"), F.lit("<").alias("node")))
@@ -119,7 +129,10 @@ def tries(words: DataFrame) -> tuple[DataFrame, DataFrame]:
         edges.append(level)
         onwards = level.filter("NOT leaf")
         if not onwards.limit(1).count():
-            return reduce(DataFrame.union, edges), reduce(DataFrame.union, paths)
+            every = reduce(DataFrame.union, edges)
+            ahead = every.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_list(_mark("ch")), "").alias("nexts"))
+            inner = every.filter("NOT leaf").join(ahead, "child").select(*every.columns, "nexts")
+            return inner.union(every.filter("leaf").withColumn("nexts", F.lit(""))), reduce(DataFrame.union, paths)
         live = cut(placed.join(onwards.select("node", "ch", "child"), ["node", "ch"]).select("s", F.col("child").alias("node")))
 
 
@@ -129,27 +142,26 @@ def neighbours(words: DataFrame) -> DataFrame:
     edges, paths = tries(words)
     edges = cut(edges)
     m, size, p = F.length("s"), F.length("label"), F.col("p")
-    start = paths.withColumn("p", F.length("node") - 1).filter(p >= F.floor((m - 1) / 2))
-    after = _rest("label", F.lit(1))
-    replaced = (size > 0) & (_rest("s", p + 1, size - 1) == after)
-    inserted = _rest("s", p + 1, size) == F.col("label")  # the word has a character more
-    deleted = (size > 0) & (_rest("s", p, size - 1) == after)
-    spread = F.array_compact(F.array(F.when(replaced, p + size), F.when(inserted, p + 1 + size), F.when(deleted, p + size - 1)))
-    own = _rest("s", p, F.lit(1))
-    states = (start.join(edges, "node").filter(F.col("ch") != own).filter(replaced | inserted | deleted)
-              .select("s", "child", "leaf", F.substr("node", F.lit(1), F.lit(1)).alias("side"), F.explode(spread).alias("p")))
+    start = paths.withColumn("p", F.length("node") - 1).filter((p >= F.floor((m - 1) / 2)) & (p < m)).withColumn("own", _rest("s", p, F.lit(1)))
+    replaced = (F.col("ch") > F.col("own")) & (_rest("s", p + 1, size - 1) == _rest("label", F.lit(1)))
+    inserted = (F.col("ch") != F.col("own")) & (_rest("s", p + 1, size) == F.col("label"))  # the word has a character more
+    ends = F.array_compact(F.array(F.when(replaced, p + size), F.when(inserted, p + 1 + size)))
+    # a state has to be at its word's end in a leaf; in another node its next character has to lead on
+    fits = F.when(F.col("leaf"), p == m).otherwise((p <= m) & (F.instr("nexts", _mark(_rest("s", p, F.lit(1)))) > 0))
+    states = (start.join(edges, "node").filter(replaced | inserted)
+              .select("s", "child", "leaf", "nexts", F.substr("node", F.lit(1), F.lit(1)).alias("side"), F.explode(ends).alias("p")).filter(fits))
     found = []
     while True:
-        # a state beyond the word's end is none; one in a leaf has to be at its end
-        states = cut(states.filter((p < m) | (p == m)).filter(~F.col("leaf") | (p == m)).distinct())
+        states = cut(states.drop("nexts"))
         found.append(states.filter("leaf").select("side", "s", F.col("child").alias("t")))
         onwards = states.filter("NOT leaf").select("s", "side", F.col("child").alias("node"), "p", _rest("s", p, F.lit(1)).alias("ch"))
         if not onwards.limit(1).count():
             break
         states = (onwards.join(edges, ["node", "ch"]).filter(_rest("s", p, size) == F.col("label"))
-                  .select("s", "child", "leaf", "side", (p + size).alias("p")))
+                  .select("s", "child", "leaf", "nexts", "side", (p + size).alias("p")).filter(fits))
     turned = lambda c: F.when(F.col("side") == ">", F.col(c)).otherwise(F.reverse(c))
-    return reduce(DataFrame.union, found).select(turned("s").alias("word"), turned("t").alias("near")).distinct()
+    pairs = reduce(DataFrame.union, found).select(turned("s").alias("a"), turned("t").alias("b"))
+    return pairs.union(pairs.select("b", "a")).distinct().toDF("word", "near")
 
 
 def _roots(forms: DataFrame) -> DataFrame:

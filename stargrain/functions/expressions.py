@@ -48,6 +48,13 @@ def decimal_text(column: str, precision: int, scale: int) -> str:
     return f"CASE WHEN {column} RLIKE '{_NUMBER}' THEN try_cast(trim({column}) AS DECIMAL({precision},{scale})) END"
 
 
+def clock_text(column: str) -> str:
+    """Text to timestamp, NULL unless it is yyyy-MM-dd HH:mm:ss to the letter: no lacking zeros, no other separator, nothing
+    before or behind, and a day and time that exist."""
+    exact = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+    return f"CASE WHEN {column} RLIKE '{exact}' THEN try_to_timestamp({column}, 'yyyy-MM-dd HH:mm:ss') END"
+
+
 def blank_text(column: str) -> str:
     return f"({column} IS NULL OR trim({column}) = '')"
 

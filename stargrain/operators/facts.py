@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -167,10 +167,13 @@ def append_fact(target: DataFrame, stage: DataFrame) -> DataFrame:
 def replace_months(target: DataFrame, stage: DataFrame, month: str) -> DataFrame:
     """Drop the target months present in the stage, then append the stage.
 
-    Loses other runs stored in those months, which is why the default load merges instead.
+    Loses other runs stored in those months, which is why the default load merges instead. The months are few and
+    become a predicate on the target: no join, and months stored as partitions are pruned.
     """
-    months = stage.select(month).distinct()
-    return target.join(months, month, "left_anti").unionByName(stage.select(*target.columns))
+    months = [r[0] for r in stage.select(month).distinct().collect()]  # one value per calendar month
+    known = F.col(month).isin([m for m in months if m is not None])
+    kept = target.filter(F.col(month).isNull() | ~known) if None not in months else target.filter(F.col(month).isNotNull() & ~known)
+    return kept.unionByName(stage.select(*target.columns))
 
 
 # --- newest run -----------------------------------------------------------------------------
@@ -211,15 +214,15 @@ def fan_out(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> Dat
 
 # --- proofs ---------------------------------------------------------------------------------
 
-def fingerprint(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """One row (rows, checksum) that does not depend on row order; audit columns are left out.
+def fingerprint(df: DataFrame, exclude: Sequence[str] = (), by: Mapping[str, Column] | None = None) -> DataFrame:
+    """(rows, checksum) that do not depend on row order, one row or one per value of `by`; audit columns are left out.
 
     The hash skips NULLs, so each column's presence is hashed beside it: a value that moves to
     another column changes the sum.
     """
     cols = sorted(c for c in df.columns if c not in exclude)
     h = F.xxhash64(*[part for c in cols for part in (F.col(c).isNull(), F.col(c))])
-    return df.agg(
+    return df.groupBy(*[c.alias(n) for n, c in (by or {}).items()]).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("checksum"),
     )

@@ -42,7 +42,10 @@ def _count_if(flag: str, name: str) -> Column:
 # Output names are those of the weather subject area; `names` maps them for other areas.
 
 def alert_entities(slots: DataFrame, group: Mapping[str, str], causes: Sequence[Cause]) -> DataFrame:
-    """Entities with at least one alert slot, by cause. `group` maps column -> output name."""
+    """Entities with at least one alert slot, by cause. `group` maps column -> output name.
+
+    Names alone are no key: with the entity's code in `group`, entities of one name stay apart.
+    """
     flagged = flag_causes(slots, causes)
     per = flagged.groupBy(*[F.col(c).alias(n) for c, n in group.items()]).agg(
         _count_if("alert", "slot_siaga"),
@@ -215,22 +218,49 @@ def _avg(c: str, kind: str) -> Column:
 _SIMPLE = {"min": F.min, "max": F.max, "circular_mean": X.circular_mean}
 
 
+def _one(measure: Measure, how: str, kind: str) -> Column:
+    """Aggregate of rows that lie on one level: no place is added over."""
+    if how in ("sum", "avg"):
+        return (_sum if how == "sum" else _avg)(measure.column, kind)
+    return _SIMPLE[how](measure.column)
+
+
 def aggregate(df: DataFrame, measure: Measure, how: str, by: Sequence[str] = (), place: str | None = None, name: str | None = None) -> DataFrame:
     """Aggregate one measure, refusing what its additivity forbids.
 
     A semi-additive measure adds up over time but not over places: with `place` given, it is
     summed per place and those sums are averaged.
     """
-    measure.check(how)
-    kind = df.schema[measure.column].dataType.typeName()
-    name = name or f"{how}_{measure.column}"
-    if measure.additivity == SEMI and how == "sum":
-        if place is None:
+    return aggregates(df, [(measure, how, name or f"{how}_{measure.column}")], by, place)
+
+
+def aggregates(df: DataFrame, wanted: Sequence[tuple[Measure, str, str]], by: Sequence[str] = (), place: str | None = None) -> DataFrame:
+    """Several (measure, how, output name) of one frame in one pass, each refused or not as by `aggregate`.
+
+    Sums of semi-additive measures need a level of their own, one row per place; they are computed together there,
+    and joined with the others, if there are others, on `by`.
+    """
+    kinds = {m.column: df.schema[m.column].dataType.typeName() for m, _, _ in wanted}
+    per_place, flat = [], []
+    for measure, how, name in wanted:
+        measure.check(how)
+        spread = measure.additivity == SEMI and how == "sum"
+        if spread and place is None:
             raise MetricError(f"sum({measure.column}) needs the place column: it must not be added over places")
-        if place in by:
-            return df.groupBy(*by).agg(_sum(measure.column, kind).alias(name))
-        per_place = df.groupBy(*by, place).agg(F.sum(_exact(measure.column)).alias("_sum"))
-        return per_place.groupBy(*by).agg((F.sum("_sum").cast("double") / F.count("_sum")).alias(name))
-    if how in ("sum", "avg"):
-        return df.groupBy(*by).agg((_sum if how == "sum" else _avg)(measure.column, kind).alias(name))
-    return df.groupBy(*by).agg(_SIMPLE[how](measure.column).alias(name))
+        if spread and place not in by:
+            per_place.append((measure, name))
+        else:
+            flat.append(_one(measure, how, kinds[measure.column]).alias(name))
+    one = df.groupBy(*by).agg(*flat) if flat else None
+    if not per_place:
+        return one
+    sums = df.groupBy(*by, place).agg(*[F.sum(_exact(m.column)).alias(name) for m, name in per_place])
+    averaged = sums.groupBy(*by).agg(*[(F.sum(name).cast("double") / F.count(name)).alias(name) for _, name in per_place])
+    if one is None:
+        return averaged
+    # NULL groups of both sides belong together
+    other = averaged.select(*[F.col(c).alias(f"_{c}") for c in by], *[name for _, name in per_place])
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return one.join(other, same).select(*by, *[name for _, _, name in wanted])

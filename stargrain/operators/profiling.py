@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.operators import marks
@@ -159,6 +159,48 @@ def _sketched(df: DataFrame, spec: TableProfile) -> DataFrame:
     return one.select(F.lit(spec.table).alias("table"), F.lit("scalars").alias("check"), F.inline(pairs))
 
 
+# --- sketches -------------------------------------------------------------------------------
+# Exact profiles are the default. Sketches of a month can be merged, so that a batch of a very large source is profiled
+# without reading older rows again.
+
+#: log2 of the registers of a distinct-count sketch, and three standard errors of its estimate
+REGISTERS, DISTINCT_ERROR = 14, 3 * 1.04 / 2**7
+#: k of a quantile sketch, and a bound on how far the rank of its median lies off (99 of 100 sketches)
+QUANTILES, RANK_ERROR = 400, 0.01
+
+
+def sketch_numbers(df: DataFrame, column: str) -> Column:
+    """Whole number that stands for a column's value in a quantile sketch: days of a date, the number rounded
+    down; a text that is no number has none."""
+    kind = df.schema[column].dataType.simpleString()
+    c = F.col(f"`{column}`")
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return F.unix_date(c.cast("date")).cast("bigint")
+    return F.floor(c.try_cast("double")).cast("bigint")
+
+
+def sketches(df: DataFrame, columns: Sequence[str], month: str) -> DataFrame:
+    """(month, kolom, terisi, unik, nilai): per month and column the filled values, a distinct-count sketch and a
+    quantile sketch, from one scan."""
+    marks_of = [F.struct(F.lit(c).alias("kolom"), F.col(f"`{c}`").cast("string").alias("v"), sketch_numbers(df, c).alias("x")) for c in columns]
+    return df.select(month, F.inline(F.array(*marks_of))).groupBy(month, "kolom").agg(
+        F.count("v").alias("terisi"), F.hll_sketch_agg("v", REGISTERS).alias("unik"), F.kll_sketch_agg_bigint("x", QUANTILES).alias("nilai"))
+
+
+def merged_sketches(kept: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sketches of equal `by` and column as one; without `by`, of a column."""
+    return kept.groupBy(*by, "kolom").agg(
+        F.sum("terisi").alias("terisi"), F.hll_union_agg("unik").alias("unik"), F.kll_merge_agg_bigint("nilai").alias("nilai"))
+
+
+def sketch_profile(kept: DataFrame) -> DataFrame:
+    """(kolom, terisi, perkiraan_unik, median) over all months of `kept`; a column without numbers has no median."""
+    one = merged_sketches(kept, [])
+    some = F.kll_sketch_get_n_bigint("nilai") > 0
+    return one.select("kolom", "terisi", F.hll_sketch_estimate("unik").alias("perkiraan_unik"),
+                      F.when(some, F.kll_sketch_get_quantile_bigint("nilai", F.lit(0.5))).alias("median"))
+
+
 def write_profile(result: DataFrame, path: str) -> None:
     """Profile as JSON lines, written by the executors."""
     result.write.mode("overwrite").json(path)
@@ -176,10 +218,21 @@ def write_markdown(result: DataFrame, path: str, title: str) -> None:
     top.union(heads).union(rows).orderBy("table", "check", "metric").select("value").write.mode("overwrite").text(path)
 
 
+#: rows up to which a report is made on the driver
+REPORT_ROWS = 10_000
+
+
+def _few(result: DataFrame) -> list:
+    rows = result.orderBy("table", "check", "metric").limit(REPORT_ROWS + 1).collect()
+    if len(rows) > REPORT_ROWS:
+        raise ValueError(f"more than {REPORT_ROWS} rows; write_markdown and write_profile let the executors write them")
+    return rows
+
+
 def profile_markdown(result: DataFrame, title: str) -> str:
-    """The same report as one text, for profiles without frequencies of open columns."""
+    """The same report as one text; raises beyond REPORT_ROWS rows."""
     out, table = [f"# {title}", ""], None
-    for r in result.orderBy("table", "check", "metric").toLocalIterator():
+    for r in _few(result):
         if r.table != table:
             table = r.table
             out += [f"## {table}", "", "| check | metric | value |", "|---|---|---|"]
@@ -188,5 +241,5 @@ def profile_markdown(result: DataFrame, title: str) -> str:
 
 
 def profile_json(result: DataFrame) -> str:
-    """The profile as one JSON text; `write_profile` lets the executors write it."""
-    return json.dumps([r.asDict() for r in result.orderBy("table", "check", "metric").toLocalIterator()], indent=2, ensure_ascii=False)
+    """The profile as one JSON text; raises beyond REPORT_ROWS rows."""
+    return json.dumps([r.asDict() for r in _few(result)], indent=2, ensure_ascii=False)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.functions import expressions as X
 from stargrain.operators import calendar, facts, metrics
 from stargrain.plans.catalogue.base import NEWEST, PLACES, Tables, events_with_slots, places, query, share_2_sql
+from stargrain.session import cut, shared_folder
+from stargrain.sources.warehouse import Warehouse
 
 AREA = "ASIA"
 CAUSES = (
@@ -90,6 +94,18 @@ def alert_entities(t):
     return metrics.alert_entities(newest(t, AREA), {"n_name": "kecamatan", "c_name": "desa"}, CAUSES)
 
 
+@query("alert_entities_same_name", f"""
+    SELECT n_name AS kecamatan, desa, c_custkey AS kode, slot_siaga, slot_angin, slot_suhu, slot_total,
+           {share_2_sql("slot_siaga", "slot_total")} AS rasio_siaga
+    FROM (SELECT n_name, 'Desa ' || c_custkey % 3 AS desa, c_custkey, count(*) FILTER (WHERE {ALERT}) AS slot_siaga,
+                 count(*) FILTER (WHERE {WIND}) AS slot_angin, count(*) FILTER (WHERE {HEAT}) AS slot_suhu, count(*) AS slot_total
+          FROM ({AREA_SLOTS}) s GROUP BY n_name, c_custkey HAVING count(*) FILTER (WHERE {ALERT}) > 0) g""")
+def alert_entities_same_name(t):
+    """Three names for all entities of an area: the code keeps them apart."""
+    named = newest(t, AREA).withColumn("desa", F.concat(F.lit("Desa "), F.col("c_custkey") % 3))
+    return metrics.alert_entities(named, {"n_name": "kecamatan", "desa": "desa", "c_custkey": "kode"}, CAUSES)
+
+
 PER_AREA = f"""
     SELECT n_name, count(DISTINCT c_custkey) AS semua, count(DISTINCT CASE WHEN {ALERT} THEN c_custkey END) AS kena,
            count(CASE WHEN {ALERT} THEN 1 END) AS slot, max(ws) AS ws_maks, max(suhu) AS t_maks
@@ -126,6 +142,30 @@ def metric_daily(t):
     return METRIC.compute(newest(t, AREA), ["tanggal"]).orderBy("tanggal")
 
 
+@query("metric_upkeep", f"""
+    SELECT CAST(strftime(tanggal, '%Y%m%d') AS INTEGER) AS tanggal_sk, r_name,
+           count(DISTINCT c_custkey) FILTER (WHERE {ALERT}) AS desa_siaga, count(DISTINCT c_custkey) AS desa_total
+    FROM ({NEWEST}) n JOIN ({PLACES}) p ON p.c_custkey = n.user_id GROUP BY tanggal, r_name""")
+def metric_upkeep(t):
+    """The daily metric of every region, kept up to date through four batches, the last of which brings the oldest days
+    again: after each only the days of the batch are computed."""
+    w = Warehouse(t.spark, f"{shared_folder(t.spark)}/wh/{uuid.uuid4().hex}")
+    slots = events_with_slots(t).withColumn("tanggal_sk", X.date_key("tanggal"))
+    late = "event_id % 5 = 0"
+    parts = [f"NOT {late} AND day(ts) {where}" for where in ("<= 10", "BETWEEN 11 AND 20", "> 20")] + [late]
+    key = ("user_id", "slot", "event_id", "tanggal_sk")
+    for batch_id, where in enumerate(parts):
+        rows = slots.filter(where).withColumn("batch_id", F.lit(str(batch_id)))
+        w.merge_months("fact_slot", rows, key, ("ts", "tanggal", "ws", "suhu", "batch_id"), str(batch_id), "tanggal_sk")
+        fact = w.read("fact_slot")
+        days = cut(fact.filter(F.col("batch_id") == str(batch_id)).select("tanggal_sk").distinct())
+        touched = fact.join(days, "tanggal_sk", "left_semi").join(places(t), F.col("user_id") == F.col("c_custkey"))
+        newest_rows = facts.latest_run(touched, ["user_id", "slot"], ["ts", "event_id"])
+        fresh = METRIC.compute(newest_rows, ["tanggal", "r_name"], where="true").withColumn("tanggal_sk", X.date_key("tanggal")).drop("tanggal")
+        w.replace_days("metrik", fresh, days, str(batch_id), "tanggal_sk")
+    return w.read("metrik").select("tanggal_sk", "r_name", "desa_siaga", "desa_total")
+
+
 @query("metric_window", _metric_sql("", f"r_name = '{AREA}'"))
 def metric_window(t):
     return METRIC.compute(newest(t, AREA))
@@ -188,10 +228,7 @@ def semi_additive_per_place(t):
     SELECT r_name, CAST(count(*) AS BIGINT) AS slot, min(ws) AS ws_min, max(ws) AS ws_maks
     FROM ({MEASURED}) m GROUP BY r_name""")
 def additive_and_extremes(t):
-    m = _measured(t)
-    parts = [metrics.aggregate(m, measure, how, ["r_name"], name=name)
-             for measure, how, name in ((SLOTS, "sum", "slot"), (VALUE, "min", "ws_min"), (VALUE, "max", "ws_maks"))]
-    return parts[0].join(parts[1], "r_name").join(parts[2], "r_name")
+    return metrics.aggregates(_measured(t), [(SLOTS, "sum", "slot"), (VALUE, "min", "ws_min"), (VALUE, "max", "ws_maks")], ["r_name"])
 
 
 @query("average_measure", f"""

@@ -18,7 +18,7 @@ from stargrain.operators import facts
 from stargrain.operators.rows import one_row
 from stargrain.plans.catalogue.base import Tables, query
 from stargrain.session import cut, shared_folder
-from stargrain.sources.warehouse import Warehouse
+from stargrain.sources.warehouse import Warehouse, changed_parts
 
 KEY, UPDATES = ("o_orderkey", "tanggal"), ("status", "nilai")
 
@@ -247,6 +247,24 @@ def warehouse_kinds(t):
         F.lit(refused[0]).alias("gabung_ditolak"), F.lit(refused[1]).alias("tambah_ditolak"), "baris")
 
 
+@query("warehouse_changed_months", CTES + f""",
+    old AS (SELECT *, {MONTH} AS bulan FROM target), new AS (SELECT *, {MONTH} AS bulan FROM merged)
+    SELECT CAST(coalesce(o.bulan, n.bulan) AS VARCHAR) AS part, coalesce(o.n, 0) AS n_before, coalesce(n.n, 0) AS n_after
+    FROM (SELECT bulan, count(*) AS n FROM old GROUP BY bulan) o FULL JOIN (SELECT bulan, count(*) AS n FROM new GROUP BY bulan) n ON o.bulan = n.bulan
+    WHERE coalesce(o.bulan, n.bulan) IN (
+        SELECT bulan FROM (SELECT * FROM old EXCEPT SELECT * FROM new) a UNION SELECT bulan FROM (SELECT * FROM new EXCEPT SELECT * FROM old) b)""")
+def warehouse_changed_months(t):
+    """Which months a batch changed, from checksums kept by month and key bucket: no row is compared."""
+    w = _warehouse(t)
+    _merge(w, _keyed(target(t)), "1")
+    before = cut(w.checksums("fact_pesanan", MONTH_KEY))
+    _merge(w, _keyed(stage(t)), "2")
+    after = w.checksums("fact_pesanan", MONTH_KEY)
+    changed = changed_parts(before, after).select("part").distinct()
+    rows = lambda sums, name: sums.groupBy("part").agg(F.sum("n_rows").alias(name))
+    return changed.join(rows(before, "n_before"), "part", "left").join(rows(after, "n_after"), "part", "left").na.fill(0)
+
+
 @query("warehouse_replace_months", CTES + PER_MONTH + f""" FROM (
         SELECT * FROM target WHERE {MONTH} NOT IN (SELECT {MONTH} FROM stage) UNION ALL SELECT * FROM stage) x GROUP BY 1""")
 def warehouse_replace_months(t):

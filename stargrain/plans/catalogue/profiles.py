@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.functions import expressions as X
@@ -9,6 +12,7 @@ from stargrain.operators import profiling, rows
 from stargrain.operators.profiling import TableProfile
 from stargrain.plans.catalogue.base import query
 from stargrain.plans.profiles import offset_rule
+from stargrain.session import cut
 from stargrain.sources.raw import as_text
 
 
@@ -192,6 +196,61 @@ def profile_offset(t):
     return profiling.scalar_profile(raw, spec)
 
 
+LOOSE = f"""
+    SELECT utc_datetime, CASE event_id % 6 WHEN 0 THEN local_datetime || ' ' WHEN 1 THEN replace(local_datetime, ' ', 'T') WHEN 2 THEN local_datetime || 'Z'
+                              WHEN 3 THEN replace(local_datetime, '2024-01-', '2024-1-') ELSE local_datetime END AS local_datetime
+    FROM ({CLOCKS.replace("SELECT ", "SELECT event_id, ", 1)}) c"""
+EXACT = "regexp_full_match(local_datetime, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}')"
+
+
+@query("profile_offset_strict", f"""
+    SELECT count(*) FILTER (WHERE {EXACT} AND epoch(try_strptime(local_datetime, '%Y-%m-%d %H:%M:%S')) - epoch(strptime(utc_datetime, '%Y-%m-%d %H:%M:%S')) = 28800)
+               AS selisih_8jam,
+           count(*) FILTER (WHERE NOT {EXACT}) AS tak_terbaca, count(*) AS baris FROM ({LOOSE}) c""")
+def profile_offset_strict(t):
+    """Clocks that only a lenient reader takes (a blank or a zone behind, a T between, a zero lacking) are none."""
+    text = "yyyy-MM-dd HH:mm:ss"
+    local = F.when(F.col("event_type") == "signup", X.local_time("ts", "Asia/Jakarta")).otherwise(X.local_time("ts", "Asia/Makassar"))
+    clock, k = F.date_format(local, text), F.col("event_id") % 6
+    loose = (F.when(k == 0, F.concat(clock, F.lit(" "))).when(k == 1, F.replace(clock, F.lit(" "), F.lit("T"))).when(k == 2, F.concat(clock, F.lit("Z")))
+             .when(k == 3, F.replace(clock, F.lit("2024-01-"), F.lit("2024-1-"))).otherwise(clock))
+    raw = t.events.select(F.date_format("ts", text).alias("utc_datetime"), loose.alias("local_datetime"))
+    spec = TableProfile("events", scalars={
+        "selisih_8jam": offset_rule("local_datetime", "utc_datetime", 28800),
+        "tak_terbaca": f"count_if({X.clock_text('local_datetime')} IS NULL)",
+        "baris": "count(*)",
+    })
+    return profiling.scalar_profile(raw, spec)
+
+
+SKETCHED = ("o_custkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+
+
+@query("profile_sketches", " UNION ALL ".join(f"""
+    SELECT '{c}' AS kolom, (SELECT count(DISTINCT {c}) FROM orders) AS unik, (SELECT count({c}) FROM orders) AS terisi,
+           true AS unik_dalam_batas, true AS median_dalam_batas""" for c in SKETCHED))
+def profile_sketches(t):
+    """Distinct counts and medians from sketches of single months, merged, beside exact counts: four batches are sketched
+    one by one, and no earlier row is read again."""
+    dated = t.orders.withColumn("bulan", X.month_of_key(X.date_key("o_orderdate")))
+    kept = None
+    for k in range(4):
+        fresh = profiling.sketches(dated.filter(F.col("o_orderkey") % 4 == k), SKETCHED, "bulan")
+        kept = cut(fresh if kept is None else profiling.merged_sketches(kept.unionByName(fresh), ["bulan"]))
+    rough = profiling.sketch_profile(kept)
+    numbers = profiling.sketch_numbers
+    exact = reduce(DataFrame.union, [
+        t.orders.select(F.lit(c).alias("kolom"), F.col(c).cast("string").alias("v"), numbers(t.orders, c).alias("x")).groupBy("kolom").agg(
+            F.count_distinct("v").alias("unik"), F.count("v").alias("terisi"),
+            F.percentile("x", F.array(F.lit(0.5 - profiling.RANK_ERROR), F.lit(0.5 + profiling.RANK_ERROR))).alias("around"))
+        for c in SKETCHED])
+    inside = (F.col("median") >= F.floor(F.get("around", F.lit(0)))) & (F.col("median") <= F.ceil(F.get("around", F.lit(1))))
+    return exact.join(rough.drop("terisi"), "kolom").select(
+        "kolom", "unik", "terisi",
+        (F.abs(F.col("perkiraan_unik") - F.col("unik")) <= F.greatest(F.lit(1.0), profiling.DISTINCT_ERROR * F.col("unik"))).alias("unik_dalam_batas"),
+        F.coalesce(inside, F.lit(True)).alias("median_dalam_batas"))
+
+
 @query("profile_orphans", """
     SELECT (SELECT count(*) FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)) AS tanpa_item,
            (SELECT count(*) FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)) AS tanpa_pesanan,

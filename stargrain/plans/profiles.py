@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stargrain.functions.expressions import bigint_text, double_text, int_text
+from stargrain.functions.expressions import bigint_text, clock_text, double_text, int_text
 from stargrain.operators.profiling import TableProfile
 
 
@@ -11,10 +11,8 @@ def _missing(column: str) -> str:
 
 
 def offset_rule(local: str, utc: str, seconds: int) -> str:
-    """Rows whose local and UTC wall clocks differ by the given offset."""
-    fmt = "yyyy-MM-dd HH:mm:ss"
-    parse = lambda c: f"try_to_timestamp({c}, '{fmt}')"
-    return f"count_if(unix_timestamp({parse(local)}) - unix_timestamp({parse(utc)}) = {seconds})"
+    """Rows whose local and UTC wall clocks differ by the given offset. A text that is not exactly a clock is none."""
+    return f"count_if(unix_timestamp({clock_text(local)}) - unix_timestamp({clock_text(utc)}) = {seconds})"
 
 
 T1_PROFILE = (

@@ -337,6 +337,26 @@ def load(
     return warehouse.read("fact_prakiraan_cuaca")
 
 
+METRIC_TABLE = "metrik_desa_siaga_harian"
+
+
+def refresh_metric(warehouse: Warehouse, batch_id: str) -> DataFrame:
+    """Bring the published daily metric of every city up to date after a batch.
+
+    A slot belongs to one local day, so a batch can only change the days on which it has rows. These are computed
+    again from the fact rows of those days, all runs included; the other days stay as they are. The first call, or one
+    for a batch that is not in the fact, finds the days of that batch only: call it once per batch.
+    """
+    fact, places, days = (warehouse.read(t) for t in ("fact_prakiraan_cuaca", "dim_lokasi", "dim_date"))
+    touched = cut(fact.filter(F.col("batch_id") == batch_id).select("tanggal_sk", "bulan").distinct())
+    months = [r[0] for r in touched.select("bulan").distinct().collect()]
+    rows = fact.filter(F.col("bulan").isin(months)).join(touched.select("tanggal_sk"), "tanggal_sk", "left_semi")
+    metric = REGISTRY.get("desa_siaga_harian")
+    fresh = metric.compute(dated(newest_slots(rows, places, "true"), days), ["tanggal", "kode_kabkot"], where="true")
+    fresh = fresh.withColumns({"tanggal_sk": X.date_key("tanggal"), "versi": F.lit(metric.version)})
+    return warehouse.replace_days(METRIC_TABLE, fresh, touched.select("tanggal_sk"), batch_id, "tanggal_sk", sort=("tanggal_sk",))
+
+
 def register_views(warehouse: Warehouse) -> list[str]:
     """Temporary views for SQL users beside the tables (`wh_` and name): the newest run of each village and slot,
     and the calendar in the roles of forecast day and analysis day."""
@@ -373,7 +393,9 @@ def dated(slots: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def q01(fact: DataFrame, dim_lokasi: DataFrame) -> DataFrame:
-    return metrics.alert_entities(newest_slots(fact, dim_lokasi), {"nama_kecamatan": "kecamatan", "nama_desa": "desa"}, CAUSES)
+    """Villages in alert. Village names repeat, so the code is part of the group."""
+    group = {"nama_kecamatan": "kecamatan", "nama_desa": "desa", "kode_desa": "kode_desa"}
+    return metrics.alert_entities(newest_slots(fact, dim_lokasi), group, CAUSES)
 
 
 def q02(fact: DataFrame, dim_lokasi: DataFrame) -> DataFrame:

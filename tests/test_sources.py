@@ -5,12 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from stargrain.operators import dimensions, facts
+from stargrain.operators import dimensions, facts, quality
 from stargrain.operators.profiling import TableProfile, profile, profile_json, profile_markdown, scalar_profile, write_profile
 from stargrain.plans.topics import TOPICS, profile_slice
 from stargrain.session import cut, shared_folder
 from stargrain.sources.raw import read_text_csv, register_folder, slice_by, view_name
-from stargrain.sources.warehouse import LOG_LINES, Warehouse, assert_idempotent, months_between
+from stargrain.sources.warehouse import CLOSED_FOLDERS, LOG_LINES, Warehouse, assert_idempotent, changed_parts, months_between
 from stargrain.streaming.batches import merge_stream
 
 
@@ -217,3 +217,57 @@ def test_history_writes_closed_versions_once(spark, tmp_path):
     got = sorted((r.k, r.a, r.is_current) for r in w.read("d").collect())
     assert got == [("x", "1", False), ("x", "2", True), ("y", "1", True)]
     assert w.vacuum("d") == 2 and w.read("d").count() == 3
+
+
+def test_history_reads_no_closed_version_and_keeps_few_folders(spark, tmp_path, monkeypatch):
+    w = Warehouse(spark, str(tmp_path))
+    stage = lambda n: spark.range(3).selectExpr("CAST(id AS STRING) AS k", f"CAST(IF(id < 2, {n}, 0) AS STRING) AS a")
+    empty = dimensions.empty_scd2(stage(0), "k", ("a",), "sk")
+    load = lambda n: w.merge_history("d", stage(n), "k", ("a",), f"{2000 + n}-01-01 00:00:00", "sk", str(n), empty)
+    batches = 2 * CLOSED_FOLDERS + 2
+    for n in range(batches):
+        load(n)
+        parts = [k for k in w._newest("d").parts if k.startswith("closed")]
+        assert len(parts) <= 2 * (CLOSED_FOLDERS - 1)
+    rows = w.read("d").collect()
+    assert len(rows) == 2 * batches + 1 and sorted(r.sk for r in rows) == list(range(1, 2 * batches + 2))
+    assert quality.scd2_invariants(w.read("d"), "k").first() == (0, 0, 0, 0, 0, 0)
+    opened, plain = [], Warehouse._open
+    monkeypatch.setattr(Warehouse, "_open", lambda self, line, parts=None: opened.append(parts) or plain(self, line, parts))
+    w.merge_history("d", stage(999).filter("k = '0'"), "k", ("a",), "2999-01-01 00:00:00", "sk", "x", empty)
+    assert opened == [["current"], None]  # the second one reads the result
+
+
+def test_history_starts_without_gaps(spark, tmp_path):
+    stage = spark.createDataFrame([("x", "1")], "k string, a string")
+    begun = dimensions.scd2_apply(dimensions.empty_scd2(stage, "k", ("a",), "sk"), stage, "k", ("a",), "2020-01-01 00:00:00", "sk")
+    gap = begun.withColumn("is_current", F.lit(False))
+    with pytest.raises(ValueError, match="no current one"):
+        Warehouse(spark, str(tmp_path)).merge_history("d", stage, "k", ("a",), "2021-01-01 00:00:00", "sk", "1", gap)
+
+
+def test_days_of_a_batch_are_replaced_and_others_stay(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    rows = lambda *r: spark.createDataFrame(list(r), "tanggal_sk int, desa int")
+    days = lambda *d: spark.createDataFrame([(x,) for x in d], "tanggal_sk int")
+    w.replace_days("m", rows((20240101, 1), (20240102, 2), (20240201, 3)), days(20240101, 20240102, 20240201), "1", "tanggal_sk")
+    before = os.listdir(tmp_path / "m" / "months" / "bulan=202402")
+    w.replace_days("m", rows((20240102, 9)), days(20240101, 20240102, 20240103), "2", "tanggal_sk")  # the first day has no row any more
+    assert sorted((r.tanggal_sk, r.desa) for r in w.read("m").collect()) == [(20240102, 9), (20240201, 3)]
+    assert os.listdir(tmp_path / "m" / "months" / "bulan=202402") == before
+
+
+def test_a_change_is_named_by_month_and_bucket_and_old_months_are_not_read(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    args = (("k", "tanggal_sk"), ("v", "batch_id"))
+    w.merge_months("f", fact(spark, *[(f"k{n}", 20240105 + 100 * (n % 3), float(n), "1") for n in range(30)]), *args, "1", "tanggal_sk")
+    first = cut(w.checksums("f", ["k"]))
+    sums = tmp_path / "_sums"
+    kept = {str(p) for p in sums.rglob("*.parquet")}
+    assert changed_parts(first, w.checksums("f", ["k"])).count() == 0 and {str(p) for p in sums.rglob("*.parquet")} == kept
+    w.merge_months("f", fact(spark, ("k4", 20240205, 99.0, "2"), ("k7", 20240205, 7.0, "2")), *args, "2", "tanggal_sk")
+    found = changed_parts(first, w.checksums("f", ["k"])).collect()
+    bucket = spark.sql("SELECT pmod(xxhash64('k4'), 64)").first()[0]
+    assert [(r.part, r.bucket, r.n_before, r.n_after) for r in found] == [("202402", bucket, r.n_before, r.n_before) for r in found] and len(found) == 1
+    new = {str(p) for p in sums.rglob("*.parquet")} - kept
+    assert {r.part for r in spark.read.parquet(*new).collect()} == {"202402"}

@@ -7,9 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from stargrain.functions import expressions as X
+from stargrain.operators.ranking import previous_row, rank_rows
 
 
 # --- thresholds -----------------------------------------------------------------------------
@@ -64,8 +64,8 @@ def alert_rank(
 ) -> DataFrame:
     """Areas ranked by the share of their entities in alert, then by alert slots.
 
-    Ties share a rank and skip the next. The window without partition runs over one row per area,
-    never over slots. Shares are compared exactly by their unrounded quotient.
+    Ties share a rank and skip the next. Areas are numbered by ranges (`rank_rows`), not in one task. Shares are
+    compared exactly by their unrounded quotient.
     """
     per_entity = flag_causes(slots, causes).groupBy(area, entity).agg(
         _count_if("alert", "_slots"), *[F.max(m).alias(n) for m, n in maxima.items()]
@@ -77,9 +77,9 @@ def alert_rank(
         *[F.max(n).alias(n) for n in maxima.values()],
     )
     share = F.col("desa_siaga").cast("double") / F.col("desa_total")
-    w = Window.orderBy(share.desc(), F.desc("slot_siaga"))
-    return per_area.select(
-        F.rank().over(w).alias("peringkat"),
+    ranked = rank_rows(per_area.withColumn("_share", share), ["-_share", "-slot_siaga"], "peringkat")
+    return ranked.select(
+        F.col("peringkat").cast("int").alias("peringkat"),
         area_name, "desa_total", "desa_siaga",
         X.share_2("desa_siaga", "desa_total").alias("rasio_desa"),
         "slot_siaga", *maxima.values(),
@@ -107,8 +107,8 @@ def alert_daily(slots: DataFrame, entity: str, day: Sequence[str], causes: Seque
         *[F.sum("_" + c.slots).cast("bigint").alias(c.slots) for c in causes],
         *[F.max("_" + n).alias(n) for n in maxima.values()],
     )
-    previous = F.lag("desa_siaga").over(Window.orderBy(F.col(day[0]).asc_nulls_last()))  # one row per day
-    return per_day.withColumn("perubahan_desa_siaga", F.col("desa_siaga") - previous).orderBy(day[0])
+    before = previous_row(per_day, [day[0]], "desa_siaga", "_previous")
+    return before.withColumn("perubahan_desa_siaga", F.col("desa_siaga") - F.col("_previous")).drop("_previous").orderBy(day[0])
 
 
 # --- registry -------------------------------------------------------------------------------

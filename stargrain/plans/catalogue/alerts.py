@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stargrain.functions import expressions as X
 from stargrain.operators import calendar, facts, metrics
+from stargrain.operators.ranking import rank_rows
 from stargrain.plans.catalogue.base import NEWEST, PLACES, Tables, events_with_slots, places, query, share_2_sql
 from stargrain.session import cut, shared_folder
 from stargrain.sources.warehouse import Warehouse
@@ -122,6 +123,14 @@ def alert_rank(t):
     return metrics.alert_rank(newest(t, AREA), "c_custkey", "n_name", CAUSES, MAXIMA)
 
 
+@query("order_value_rank", """
+    SELECT o_orderkey, rank() OVER (ORDER BY o_orderpriority, o_totalprice DESC) AS peringkat FROM orders""")
+def order_value_rank(t):
+    """Every order ranked in a total order, with ties, by ranges: no task sees them all."""
+    named = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return rank_rows(named, ["o_orderpriority", "-o_totalprice"], "peringkat").select("o_orderkey", "peringkat")
+
+
 @query("alert_daily", f"""
     SELECT tanggal, nama_hari, desa_total, CAST(slot_total AS BIGINT) AS slot_total, desa_siaga, slot_siaga,
            slot_angin, slot_suhu, ws_maks, t_maks,

@@ -93,5 +93,5 @@ def present() -> Column:
 
 
 def is_orphan(bit: int) -> Column:
-    """The key has a value and is no parent of this bit."""
-    return present() & (F.col("refs").bitwiseAND(1 << bit) == 0)
+    """No parent of this bit has the key; NULL is no key of a parent."""
+    return ~present() | (F.col("refs").bitwiseAND(1 << bit) == 0)

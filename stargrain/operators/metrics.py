@@ -111,6 +111,13 @@ def alert_daily(slots: DataFrame, entity: str, day: Sequence[str], causes: Seque
     return before.withColumn("perubahan_desa_siaga", F.col("desa_siaga") - F.col("_previous")).drop("_previous").orderBy(day[0])
 
 
+def present_per_day(slots: DataFrame, entity: str, day: str, name: str = "ada") -> DataFrame:
+    """(day, entities there): those whose first day is not later and whose last is not earlier. One that joins or
+    leaves counts from its first to its last day only."""
+    span = slots.filter(F.col(entity).isNotNull()).groupBy(entity).agg(F.min(day).alias("_a"), F.max(day).alias("_b"))
+    return span.select(F.explode(F.sequence("_a", "_b")).alias(day)).groupBy(day).agg(F.count(F.lit(1)).alias(name))
+
+
 # --- registry -------------------------------------------------------------------------------
 
 class MetricError(ValueError):

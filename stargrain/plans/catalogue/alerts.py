@@ -11,7 +11,7 @@ from stargrain.functions import expressions as X
 from stargrain.operators import calendar, facts, metrics
 from stargrain.operators.ranking import rank_rows
 from stargrain.plans.catalogue.base import NEWEST, PLACES, Tables, events_with_slots, places, query, share_2_sql
-from stargrain.session import cut, shared_folder
+from stargrain.session import cut, work_folder
 from stargrain.sources.warehouse import Warehouse
 
 AREA = "ASIA"
@@ -158,7 +158,7 @@ def metric_daily(t):
 def metric_upkeep(t):
     """The daily metric of every region, kept up to date through four batches, the last of which brings the oldest days
     again: after each only the days of the batch are computed."""
-    w = Warehouse(t.spark, f"{shared_folder(t.spark)}/wh/{uuid.uuid4().hex}")
+    w = Warehouse(t.spark, f"{work_folder(t.spark)}/wh/{uuid.uuid4().hex}")
     slots = events_with_slots(t).withColumn("tanggal_sk", X.date_key("tanggal"))
     late = "event_id % 5 = 0"
     parts = [f"NOT {late} AND day(ts) {where}" for where in ("<= 10", "BETWEEN 11 AND 20", "> 20")] + [late]

@@ -18,7 +18,7 @@ from stargrain.functions import expressions as X
 from stargrain.operators import dimensions, facts, quality
 from stargrain.operators.rows import literal_row
 from stargrain.plans.catalogue.base import Tables, query
-from stargrain.session import cut, shared_folder
+from stargrain.session import cut, work_folder
 from stargrain.sources.warehouse import Warehouse
 
 KEY, TRACKED, SK = "c_custkey", ("c_name", "c_mktsegment", "c_nationkey"), "pelanggan_sk"
@@ -162,7 +162,7 @@ def orphan_accounting(t):
 @query("scd1_upsert", """
     WITH a AS (SELECT p_brand AS kode, min(p_type) AS deskripsi FROM part WHERE p_size <= 10 GROUP BY 1),
     dim AS (SELECT CAST(row_number() OVER (ORDER BY md5(kode)) AS BIGINT) AS merek_sk, kode, deskripsi, DATE '1998-01-01' AS updated_at FROM a),
-    b AS (SELECT p_brand AS kode, min(p_type || ' ' || p_name) AS deskripsi FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45) GROUP BY 1)
+    b AS (SELECT p_brand AS kode, min(p_type || ' ' || p_name) AS deskripsi FROM part GROUP BY 1)
     SELECT dim.merek_sk, dim.kode, coalesce(b.deskripsi, dim.deskripsi) AS deskripsi,
            CASE WHEN b.kode IS NULL THEN dim.updated_at ELSE DATE '1999-01-01' END AS updated_at
     FROM dim LEFT JOIN b ON b.kode = dim.kode
@@ -170,17 +170,14 @@ def orphan_accounting(t):
     SELECT (SELECT coalesce(max(merek_sk), 0) FROM dim) + row_number() OVER (ORDER BY md5(kode)), kode, deskripsi, DATE '1999-01-01'
     FROM b WHERE kode NOT IN (SELECT kode FROM dim)""")
 def scd1_upsert(t):
-    """Brands with one description each, loaded twice from different parts; several staged rows
-    per brand are reduced to the first description."""
+    """Brands with one description each, loaded from small parts, then from all with another text; several staged
+    rows per brand are reduced to the first description."""
     empty = t.spark.range(0).select(
         F.col("id").alias("merek_sk"), F.lit(None).cast("string").alias("kode"),
         F.lit(None).cast("string").alias("deskripsi"), F.lit(None).cast("date").alias("updated_at"),
     )
     first = t.part.filter("p_size <= 10").select(F.col("p_brand").alias("kode"), F.col("p_type").alias("deskripsi"))
-    sold = t.lineitem.filter("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey")).distinct()
-    second = t.part.join(sold, "p_partkey", "left_semi").select(
-        F.col("p_brand").alias("kode"), F.concat_ws(" ", "p_type", "p_name").alias("deskripsi")
-    )
+    second = t.part.select(F.col("p_brand").alias("kode"), F.concat_ws(" ", "p_type", "p_name").alias("deskripsi"))
     day = lambda d: F.lit(d).cast("date")
     dim = cut(dimensions.scd1_upsert(empty, first, "kode", ["deskripsi"], day("1998-01-01"), "merek_sk"))
     return dimensions.scd1_upsert(dim, second, "kode", ["deskripsi"], day("1999-01-01"), "merek_sk")
@@ -228,7 +225,7 @@ def scd2_asof_join(t):
            is_current, row_hash FROM {LAST}""")
 def warehouse_history(t):
     """The batches through a published dimension, the last of them twice; closed versions are written once."""
-    w = Warehouse(t.spark, f"{shared_folder(t.spark)}/wh/{uuid.uuid4().hex}")
+    w = Warehouse(t.spark, f"{work_folder(t.spark)}/wh/{uuid.uuid4().hex}")
     empty = dimensions.empty_scd2(batch(t, 0), KEY, TRACKED, SK)
     for i in [*range(len(BATCHES)), len(BATCHES) - 1]:
         w.merge_history("dim_pelanggan", batch(t, i), KEY, TRACKED, BATCHES[i][0] + " 00:00:00", SK, str(i), empty)

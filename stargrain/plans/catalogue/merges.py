@@ -17,7 +17,7 @@ from stargrain.functions import expressions as X
 from stargrain.operators import facts
 from stargrain.operators.rows import one_row
 from stargrain.plans.catalogue.base import Tables, query
-from stargrain.session import cut, shared_folder
+from stargrain.session import cut, work_folder
 from stargrain.sources.warehouse import Warehouse, changed_parts
 
 KEY, UPDATES = ("o_orderkey", "tanggal"), ("status", "nilai")
@@ -146,7 +146,7 @@ MONTH_KEY = ("o_orderkey", "tanggal_sk")
 
 
 def _warehouse(t: Tables) -> Warehouse:
-    return Warehouse(t.spark, f"{shared_folder(t.spark)}/wh/{uuid.uuid4().hex}")
+    return Warehouse(t.spark, f"{work_folder(t.spark)}/wh/{uuid.uuid4().hex}")
 
 
 def _merge(w: Warehouse, rows: DataFrame, batch_id: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stargrain.functions import expressions as X
-from stargrain.operators import quality
+from stargrain.operators import metrics, quality
 from stargrain.operators.quality import Expectation
 from stargrain.plans.catalogue import alerts
 from stargrain.plans.catalogue.base import EVENT_SLOTS, NEWEST, Tables, events_with_slots, query
@@ -118,6 +118,17 @@ def dq_metric_guard(t):
     )
 
 
+@query("dq_metric_guard_present", f"""
+    WITH d AS (SELECT DISTINCT user_id, tanggal FROM ({NEWEST}) x),
+    span AS (SELECT user_id, min(tanggal) AS a, max(tanggal) AS b FROM d GROUP BY user_id)
+    SELECT tanggal, CAST(count(*) AS BIGINT) AS desa_total, (SELECT count(*) FROM span WHERE a <= tanggal AND b >= tanggal) AS ada FROM d GROUP BY tanggal""")
+def dq_metric_guard_present(t):
+    """The denominator of each day beside the entities that are there then: one that joins or leaves is no gap."""
+    slots = alerts.newest(t)
+    per_day = alerts.METRIC.compute(slots, ["tanggal"], where="true").select("tanggal", "desa_total")
+    return per_day.join(metrics.present_per_day(slots, "c_custkey", "tanggal"), "tanggal")
+
+
 @query("stale_entities", """
     WITH r AS (SELECT user_id, max(ts) AS terbaru, count(*) AS baris FROM events GROUP BY user_id)
     SELECT user_id, CAST(terbaru AS DATE) AS run_terbaru, baris FROM r

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stargrain.functions import expressions as X
 from stargrain.plans.catalogue.base import TABLES, Tables, heat, query, slot_of
-from stargrain.session import shared_folder
+from stargrain.session import work_folder
 from stargrain.sources.raw import as_text, read_text_csv, register_folder, slice_by
 
 
@@ -20,7 +20,7 @@ from stargrain.sources.raw import as_text, read_text_csv, register_folder, slice
     FROM (SELECT CAST(s_nationkey AS VARCHAR) AS s_nationkey, s_name, s_suppkey FROM supplier) s GROUP BY s_nationkey""")
 def raw_csv_scan(t):
     """The supplier table as a CSV source with every column read as text."""
-    path = f"{shared_folder(t.spark)}/csv/{uuid.uuid4().hex}"
+    path = f"{work_folder(t.spark)}/csv/{uuid.uuid4().hex}"
     t.supplier.write.option("header", True).csv(path)
     raw = read_text_csv(t.spark, path)
     return raw.groupBy(F.col("s_nationkey").alias("negara")).agg(
@@ -32,7 +32,7 @@ def raw_csv_scan(t):
     SELECT s_nationkey AS negara, 'kata "' || s_name || '", lalu' || chr(10) || 'baris kedua' AS teks FROM supplier""")
 def raw_csv_quoted(t):
     """Fields with quotes, commas and line ends come back as they were."""
-    path = f"{shared_folder(t.spark)}/csv/{uuid.uuid4().hex}"
+    path = f"{work_folder(t.spark)}/csv/{uuid.uuid4().hex}"
     text = F.concat(F.lit('kata "'), "s_name", F.lit('", lalu\nbaris kedua'))
     t.supplier.select("s_nationkey", text.alias("teks")).write.options(header=True, escape='"').csv(path)
     raw = read_text_csv(t.spark, path, multiline=True)
@@ -43,7 +43,7 @@ def raw_csv_quoted(t):
     SELECT 'raw_nation' AS sumber, count(*) AS baris FROM nation UNION ALL SELECT 'raw_orders', count(*) FROM orders""")
 def raw_folder_of_parts(t):
     """Sources of a folder, one of them a folder of parts itself, without naming them."""
-    path = f"{shared_folder(t.spark)}/csv/{uuid.uuid4().hex}"
+    path = f"{work_folder(t.spark)}/csv/{uuid.uuid4().hex}"
     for name in ("nation", "orders"):
         getattr(t, name).repartition(3).write.option("header", True).csv(f"{path}/{name}.csv")
     found = register_folder(t.spark, path)
@@ -69,7 +69,7 @@ def json_shapes(t):
     FROM customer WHERE c_mktsegment = 'BUILDING'""")
 def slice_folder(t):
     """A slice that is a folder of its own: the other folders are not opened."""
-    path = f"{shared_folder(t.spark)}/csv/{uuid.uuid4().hex}"
+    path = f"{work_folder(t.spark)}/csv/{uuid.uuid4().hex}"
     t.customer.write.partitionBy("c_mktsegment").option("header", True).csv(path)
     raw = read_text_csv(t.spark, f"{path}/c_mktsegment=BUILDING")
     return raw.agg(

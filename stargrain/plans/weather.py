@@ -246,17 +246,20 @@ MANIFEST_ROWS = {"k1": 1156, "k2": 3009, "k3": 2874, "k6": 774}
 
 def metric_expectations() -> list[Expectation]:
     """Guards of the alert metric: on no day may villages in alert exceed villages with a forecast, and the
-    denominator should be all villages of the forecast. Days at the edges of the window may lack some."""
-    def per_day(tables: Mapping[str, DataFrame]) -> DataFrame:
+    denominator should be all villages that are forecast then: from a village's first day to its last."""
+    def slots(tables: Mapping[str, DataFrame]) -> DataFrame:
         fact, places, days = (tables[t] for t in ("fact_prakiraan_cuaca", "dim_lokasi", "dim_date"))
-        return REGISTRY.get("desa_siaga_harian").compute(dated(newest_slots(fact, places, "true"), days), ["tanggal"], where="true")
+        return dated(newest_slots(fact, places, "true"), days)
+
+    def per_day(tables: Mapping[str, DataFrame]) -> DataFrame:
+        return REGISTRY.get("desa_siaga_harian").compute(slots(tables), ["tanggal"], where="true")
 
     def beyond(tables: Mapping[str, DataFrame]) -> DataFrame:
         return per_day(tables).agg(F.count_if(F.col("desa_siaga") > F.col("desa_total")).cast("bigint").alias("n"))
 
     def incomplete(tables: Mapping[str, DataFrame]) -> DataFrame:
-        everyone = tables["fact_prakiraan_cuaca"].agg(F.count_distinct("kode_desa")).scalar()
-        return per_day(tables).agg(F.count_if(F.col("desa_total") != everyone).cast("bigint").alias("n"))
+        there = metrics.present_per_day(slots(tables), "kode_desa", "tanggal")
+        return per_day(tables).join(there, "tanggal").agg(F.count_if(F.col("desa_total") != F.col("ada")).cast("bigint").alias("n"))
 
     table = "fact_prakiraan_cuaca"
     return [
@@ -298,8 +301,9 @@ def load(
     calendar_range: tuple[str, str] = ("2024-01-01", "2027-12-31"),
     after: list[Expectation] | None = None,
     manifest_rows: int | None = None,
+    slice_id: str | None = None,
 ) -> DataFrame:
-    """One batch: gate on the source (with the slice's row count, if its manifest states one), then
+    """One batch: gate on the source (with the row count that the manifest of `slice_id` states, or `manifest_rows`), then
     calendar, weather codes, locations, fact, in that order, and a gate on the result. Only then are the tables
     switched, in the same order; until then, and if a gate closes, readers see every table as it was.
 
@@ -308,6 +312,7 @@ def load(
     spark = warehouse.spark
     now = loaded_at if loaded_at is not None else F.current_timestamp()
     checks = list(source_expectations() if expectations is None else expectations)
+    manifest_rows = MANIFEST_ROWS.get(slice_id) if manifest_rows is None else manifest_rows
     if manifest_rows is not None:
         checks.append(manifest_expectation(manifest_rows))
     quality.gate(quality.run_expectations(checks, raw, spark))

@@ -72,7 +72,8 @@ def shared_folder(spark: SparkSession) -> str:
 _LOCAL: set[str] = set()
 
 
-def _step_folder(spark: SparkSession) -> str:
+def work_folder(spark: SparkSession) -> str:
+    """Where this application keeps what it writes on the way, below the shared folder."""
     return f"{shared_folder(spark)}/cut/{spark.sparkContext.applicationId}"
 
 
@@ -83,7 +84,7 @@ def cut(df: DataFrame) -> DataFrame:
     the true file size. Used between load steps, where a real load would publish a table. The
     application's steps lie in one folder, which `clear_cuts` removes.
     """
-    path = f"{_step_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{work_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -93,7 +94,7 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """`cut` for steps that only live until the block ends; their files are removed with it."""
     from stargrain.sources.folders import Folders
 
-    folder = f"{_step_folder(spark)}/{uuid.uuid4().hex}"
+    folder = f"{work_folder(spark)}/{uuid.uuid4().hex}"
     count = iter(range(1_000_000))
 
     def keep(df: DataFrame) -> DataFrame:
@@ -108,7 +109,8 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
 
 
 def clear_cuts(spark: SparkSession) -> None:
-    """Remove the steps of this application, when none of their results is needed any more."""
+    """Remove everything below `work_folder`, when no result that reads it is needed any more. An application calls it
+    at its end: results are read lazily, so the package can't know when that is."""
     from stargrain.sources.folders import Folders
 
-    Folders(spark, _step_folder(spark)).delete("")
+    Folders(spark, work_folder(spark)).delete("")

@@ -182,3 +182,28 @@ def test_views_for_sql_users(wh, spark):
     names = weather.register_views(wh)
     assert {"wh_dim_lokasi", "wh_prakiraan_terbaru", "wh_tanggal_analisis"} <= set(names)
     assert spark.sql("SELECT count(*) FROM wh_prakiraan_terbaru JOIN wh_tanggal_prakiraan USING (tanggal_sk)").first()[0] > 0
+
+
+def test_villages_of_one_name_stay_apart(spark):
+    from stargrain.operators import metrics
+
+    rows = [("1", "Purwosari", 25.0, 20.0), ("2", "Purwosari", 25.0, 20.0), ("2", "Purwosari", 10.0, 34.0), ("3", "Lain", 1.0, 1.0)]
+    slots = spark.createDataFrame(rows, "kode_desa string, nama_desa string, ws_kmh double, t_celsius double")
+    got = metrics.alert_entities(slots, {"nama_desa": "desa", "kode_desa": "kode_desa"}, weather.CAUSES).collect()
+    assert [(r.desa, r.kode_desa, r.slot_siaga) for r in got] == [("Purwosari", "2", 2), ("Purwosari", "1", 1)]
+
+
+def test_metric_is_kept_up_to_date(spark, raw, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    weather.load(raw, w, BATCH, BATCH_TS, expectations=[], slice_id="k3")
+    for _ in range(2):
+        kept = weather.refresh_metric(w, BATCH)
+        got = sorted((r.tanggal, r.desa_siaga, r.desa_total) for r in kept.filter("kode_kabkot = '73.71'").collect())
+        assert got == sorted((r.tanggal, r.desa_siaga, r.desa_total) for r in weather.m01(*tables(w)).collect())
+    before = w._newest(weather.METRIC_TABLE).parts
+    assert weather.refresh_metric(w, "another batch").count() == len(got) and w._newest(weather.METRIC_TABLE).parts == before
+
+
+def test_a_manifest_that_states_other_rows_stops_the_load(spark, raw, tmp_path):
+    with pytest.raises(quality.QualityGateError, match="jumlah_baris_manifest"):
+        weather.load(raw, Warehouse(spark, str(tmp_path)), BATCH, BATCH_TS, expectations=[], slice_id="k1")

@@ -12,6 +12,7 @@ phrase, and a part of fewer suffixes than asked for is abandoned whatever it hol
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,11 @@ from stargrain.session import cut
 WORDS, TIMES, TOP = 4, 30, 2000
 #: a phrase goes if a longer one has at least this share of its occurrences, in percent
 INSIDE = 80
-#: suffixes of a bucket, and texts' bytes of the rows made at once
-BUCKET, ROWS = 500_000, 100_000
+#: bytes of texts looked at at once; the words' arrays take some hundred times as much
+SLICE = 1_500_000
+#: suffixes of a bucket, which is sorted at once; buckets of a group, which is read at once, compressed; and
+#: suffixes made to text at once
+BUCKET, BUCKETS, ROWS = 250_000, 16, 50_000
 #: a prefix in this share of all suffixes, and in a quarter of a bucket, is hot
 HOT = 1e-4
 
@@ -110,7 +114,7 @@ def _totals(texts: DataFrame) -> DataFrame:
     """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(it, 1):
+        for b in slices(it, 1, limit=SLICE):
             s = _Slice(b)
             least = max(2, int(HOT * len(s.starts)))
             langs, hashes, depths, n = [], [], [], []
@@ -132,19 +136,21 @@ def _totals(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "lang string, depth int, hash long, n long").groupBy("lang", "depth", "hash").agg(F.sum("n").alias("n"))
 
 
-ROUTED = "bucket long, lang string, size int, suffixes binary, counts binary, phrase string, words int, n long"
+ROUTED = "group long, parts binary, data binary, langs string, phrase string, words int, n long"
 ROUTED_NAMES = [f.split()[0] for f in ROUTED.split(", ")]
 
 
-def _routed(texts: DataFrame, hot: list[np.ndarray], buckets: int) -> DataFrame:
-    """Rows of suffixes by bucket and language (bucket, lang, size, suffixes, counts), and rows of hot phrases with
-    their occurrences in a slice (lang, phrase, words, n; bucket null).
+def _routed(texts: DataFrame, hot: list[np.ndarray], groups: int) -> DataFrame:
+    """One row for each slice and group of buckets (group, parts, data, langs), and rows of hot phrases with their
+    occurrences in a slice (langs, phrase, words, n; group null).
 
-    `suffixes` are lines of words, compressed; `counts` holds 8 times the count, plus the words of the prefix that routed.
+    `data` holds, bucket by bucket, compressed lines of words and a compressed number for each line: its language's
+    place in `langs`, its count, and the words of the prefix that routed it. `parts` says where (bucket, bytes of the lines,
+    then of the compressed lines and numbers).
     """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(it, 1):
+        for b in slices(it, 1, limit=SLICE):
             s = _Slice(b)
             n = len(s.starts)
             if not n:
@@ -166,37 +172,40 @@ def _routed(texts: DataFrame, hot: list[np.ndarray], buckets: int) -> DataFrame:
                     data, bounds = s.texts(first, np.full(len(first), d), 0x20)
                     phrases = [data[x: y - 1].tobytes().decode() for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                     m = len(first)
+                    none = [pa.nulls(m, t) for t in (pa.int64(), pa.binary(), pa.binary())]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(m, pa.int64()), pa.array([langs[k] for k in s.lang[first]], pa.string()), pa.nulls(m, pa.int32()),
-                         pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), pa.array(phrases, pa.string()),
+                        [*none, pa.array([langs[k] for k in s.lang[first]], pa.string()), pa.array(phrases, pa.string()),
                          pa.array(np.full(m, d), pa.int32()), pa.array(counts, pa.int64())], ROUTED_NAMES)
             # equal suffixes of the slice become one
             at = np.flatnonzero(by)
             last = np.stack(codes)[s.room[at] - 1, at] << 3 | s.room[at]
             _, first, counts = np.unique(last, return_index=True, return_counts=True)
             first = at[first]
-            bucket = (route[first] % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((s.lang[first], bucket))
+            bucket = (route[first] % np.uint64(groups * BUCKETS)).astype(np.int64)  # those of a group follow each other
+            order = np.lexsort((last[np.searchsorted(at, first)], bucket))
             first, counts, bucket = first[order], counts[order], bucket[order]
+            parts: dict[int, list[tuple[int, int, bytes, bytes]]] = {}
             for k in range(0, len(first), ROWS):
-                yield _rows(s, langs, first[k: k + ROWS], counts[k: k + ROWS], bucket[k: k + ROWS], by)
+                for part in _parts(s, first[k: k + ROWS], counts[k: k + ROWS], bucket[k: k + ROWS], by):
+                    parts.setdefault(part[0] // BUCKETS, []).append(part)
+            m = len(parts)
+            index = [np.array([(number, size, len(x), len(y)) for number, size, x, y in ps], np.int64).tobytes() for ps in parts.values()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(parts), pa.int64()), pa.array(index, pa.binary()), pa.array([b"".join(z for p in ps for z in p[2:]) for ps in parts.values()], pa.binary()),
+                 pa.array([json.dumps(langs)] * m, pa.string()), pa.nulls(m, pa.string()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64())], ROUTED_NAMES)
 
     return texts.mapInArrow(run, ROUTED)
 
 
-def _rows(s: _Slice, langs: list[str], first: np.ndarray, counts: np.ndarray, bucket: np.ndarray, by: np.ndarray) -> pa.RecordBatch:
+def _parts(s: _Slice, first: np.ndarray, counts: np.ndarray, bucket: np.ndarray, by: np.ndarray) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """(bucket, bytes of the lines, compressed lines, compressed counts) of suffixes in order of their buckets."""
     data, bounds = s.texts(first, s.room[first], 0x0A)
-    lang = s.lang[first]
-    packed = (counts << 3 | by[first]).astype(np.uint32)
-    cuts = np.flatnonzero((bucket[1:] != bucket[:-1]) | (lang[1:] != lang[:-1])) + 1
-    begin, end = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(first)]])
+    packed = (s.lang[first] << 40 | counts << 3 | by[first]).astype(np.uint64)
+    cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
     press = lambda x: pa.compress(x.tobytes(), codec="zstd", asbytes=True)
-    m = len(begin)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[begin]), pa.array([langs[k] for k in lang[begin]], pa.string()),
-         pa.array(bounds[end] - bounds[begin], pa.int32()), pa.array([press(data[bounds[x]: bounds[y]]) for x, y in zip(begin, end)], pa.binary()),
-         pa.array([press(packed[x:y]) for x, y in zip(begin, end)], pa.binary()),
-         pa.nulls(m, pa.string()), pa.nulls(m, pa.int32()), pa.array(end - begin, pa.int64())], ROUTED_NAMES)
+    for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), len(first)]):
+        lines = data[bounds[x]: bounds[y]]
+        yield int(bucket[x]), len(lines), press(lines), press(packed[x:y])
 
 
 def equal_parts(keys: np.ndarray, weights: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,13 +248,17 @@ def equal_parts(keys: np.ndarray, weights: np.ndarray, least: int) -> tuple[np.n
     return tuple(np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in range(3))
 
 
-def _sorted_bucket(rows: list[tuple[str, int, bytes, bytes]], least: int) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
-    """(languages, phrases, words, occurrences) of the frequent phrases of a bucket that no other bucket has."""
-    data = np.concatenate([np.frombuffer(pa.decompress(x, decompressed_size=size, codec="zstd"), np.uint8) for _, size, x, _ in rows])
-    numbers = [int((np.frombuffer(pa.decompress(x, decompressed_size=size, codec="zstd"), np.uint8) == 0x0A).sum()) for _, size, x, _ in rows]
-    packed = np.concatenate([np.frombuffer(pa.decompress(x, decompressed_size=4 * k, codec="zstd"), np.uint32) for k, (_, _, _, x) in zip(numbers, rows)])
-    names = sorted({lang for lang, *_ in rows})
-    lang = np.repeat([names.index(r[0]) + 1 for r in rows], numbers)
+def _sorted_bucket(parts: list[tuple[int, bytes, bytes, list[str]]], least: int) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
+    """(languages, phrases, words, occurrences) of the frequent phrases of a bucket that no other bucket has, from
+    (size, lines, counts, languages) of slices."""
+    names = sorted({x for *_, langs in parts for x in langs})
+    texts, numbers, lang = [], [], []
+    for size, lines, counts, langs in parts:
+        texts.append(np.frombuffer(pa.decompress(lines, decompressed_size=size, codec="zstd"), np.uint8))
+        many = int((texts[-1] == 0x0A).sum())
+        numbers.append(np.frombuffer(pa.decompress(counts, decompressed_size=8 * many, codec="zstd"), np.uint64).astype(np.int64))
+        lang.append(np.array([names.index(x) + 1 for x in langs])[numbers[-1] >> 40])
+    data, packed, lang = np.concatenate(texts), np.concatenate(numbers) & (1 << 40) - 1, np.concatenate(lang)
     line = data == 0x0A
     gap = np.flatnonzero(line | (data == 0x20))
     last = np.flatnonzero(line[gap])
@@ -260,7 +273,7 @@ def _sorted_bucket(rows: list[tuple[str, int, bytes, bytes]], least: int) -> tup
     for d in range(WORDS):
         has = room > d
         keys[d + 1, has] = ids[first[has] + d] + 1
-    at, size, n = equal_parts(keys, (packed >> 3).astype(np.int64), least)
+    at, size, n = equal_parts(keys, packed >> 3, least)
     whole = (packed[at] & 7) <= size  # a shorter prefix of these is hot and stands in other buckets too
     at, size, n = at[whole], size[whole], n[whole]
     begin, end = places[first[at]], places[first[at] + size] - 1
@@ -279,30 +292,37 @@ def phrase_counts(docs: DataFrame, least: int = TIMES) -> tuple[DataFrame, DataF
     # at most 1 / HOT of each depth, since no suffix has two prefixes of one depth
     rows = known.filter("depth > 0").filter(F.col("n") >= max(BUCKET // 4, int(n * HOT))).select("depth", "hash").collect()
     hot = [np.array([r.hash for r in rows if r.depth == d], np.int64).astype(np.uint64) for d in range(1, WORDS + 1)]
-    routed = cut(_routed(texts, hot, max(1, -(-n // BUCKET))))
+    routed = cut(_routed(texts, hot, max(1, -(-n // (BUCKET * BUCKETS)))))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+        now, held = None, {}
 
         def done() -> Iterator[pa.RecordBatch]:
-            if held:
-                langs, phrases, words, counts = _sorted_bucket(held, least)
+            for parts in held.values():
+                langs, phrases, words, counts = _sorted_bucket(parts, least)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(words, pa.int32()), pa.array(counts, pa.int64())],
                     ["lang", "phrase", "words", "n"])
 
         for b in batches(it):
-            for bucket, *row in zip(*(c.to_pylist() for c in b.columns)):
-                if bucket != now:
+            for group, index, data, langs in zip(*(c.to_pylist() for c in b.columns)):
+                if group != now:
                     yield from done()
-                    now, held = bucket, []
-                held.append(tuple(row))
+                    now, held = group, {}
+                at, langs = 0, json.loads(langs)
+                for bucket, size, lines, numbers in np.frombuffer(index, np.int64).reshape(-1, 4).tolist():
+                    held.setdefault(bucket, []).append((size, data[at: at + lines], data[at + lines: at + lines + numbers], langs))
+                    at += lines + numbers
         yield from done()
 
-    whole = (routed.filter("bucket IS NOT NULL").select("bucket", "lang", "size", "suffixes", "counts").repartition("bucket")
-             .sortWithinPartitions("bucket").mapInArrow(run, "lang string, phrase string, words int, n long"))
-    hot_ones = routed.filter("phrase IS NOT NULL").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return totals, cut(whole.unionByName(hot_ones))
+    bounded_batches(docs.sparkSession, 16)  # a row holds up to a slice's suffixes
+    whole = (routed.filter("group IS NOT NULL").select("group", "parts", "data", "langs").repartition("group")
+             .sortWithinPartitions("group").mapInArrow(run, "lang string, phrase string, words int, n long"))
+    hot_ones = (routed.filter("phrase IS NOT NULL").groupBy(F.col("langs").alias("lang"), "phrase", "words").agg(F.sum("n").alias("n"))
+                .filter(F.col("n") >= least))
+    found = cut(whole.unionByName(hot_ones))
+    bounded_batches(docs.sparkSession)
+    return totals, found
 
 
 def collocations(docs: DataFrame, least: int = TIMES, top: int = TOP) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import struct
 from collections.abc import Iterator
 
@@ -14,6 +15,8 @@ from stargrain.session import cut
 
 SLOTS = 4
 MAX_KICKS = 200
+#: digests of an index at which it is given out, or about which a shard holds
+ENTRIES = 400_000
 
 
 class CuckooIndex:
@@ -112,13 +115,17 @@ class CuckooIndex:
 GROUPS = "digest binary, keep_id long, group_size long"
 
 
-def _fold(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fold(it: Iterator[pa.RecordBatch], whole: bool = True) -> Iterator[pa.RecordBatch]:
     """Fold (digest, keep_id, group_size) rows of a partition into one row per digest.
 
-    A group whose size falls to zero or below is deleted from the index.
+    A group whose size falls to zero or below is deleted from the index. Unless the partition is to be folded as
+    a whole, an index of ENTRIES digests is given out and a new one begun, so a digest may come several times.
     """
     index = CuckooIndex()
     for b in batches(it):
+        if not whole and index.live >= ENTRIES:
+            yield from _rows(index)
+            index = CuckooIndex()
         for digest, keep, size in zip(*(c.to_pylist() for c in b.columns)):
             old = index.get(digest)
             if old is not None:
@@ -128,9 +135,16 @@ def _fold(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for digest, (_, size) in list(index.items()):
         if size <= 0:
             index.remove(digest)
-    rows = list(index.items())
-    for k in range(0, len(rows), 10_000):
-        part = rows[k: k + 10_000]
+    yield from _rows(index)
+
+
+def _fold_partly(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _fold(it, whole=False)
+
+
+def _rows(index: CuckooIndex) -> Iterator[pa.RecordBatch]:
+    rows = index.items()
+    while part := list(itertools.islice(rows, 10_000)):
         yield pa.RecordBatch.from_arrays([
             pa.array([d for d, _ in part], pa.binary()),
             pa.array([v[0] for _, v in part], pa.int64()),
@@ -146,18 +160,20 @@ def digests(docs: DataFrame) -> DataFrame:
 def build_index(found: DataFrame) -> DataFrame:
     """Index of (doc_id, digest) rows: (digest, keep_id = smallest doc_id, group_size).
 
-    Every input partition folds its rows into an index of its own first, so a text that a third
-    of all rows share leaves each task as one row; then digests are dealt out by hash and the
-    partial indexes merge, one shard to a partition.
+    Every input partition folds its rows into indexes of its own first, so a text that a third
+    of all rows share leaves each task as few rows; then digests are dealt out by hash and the
+    partial indexes merge, one shard to a partition. There are as many shards as keep one at about ENTRIES digests:
+    `found` is counted, so hand it in written.
     """
     bounded_batches(found.sparkSession, 10_000)
     rows = found.select("digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
-    return merge_index(rows.mapInArrow(_fold, GROUPS))
+    return merge_index(rows.mapInArrow(_fold_partly, GROUPS), found.count())
 
 
-def merge_index(groups: DataFrame) -> DataFrame:
+def merge_index(groups: DataFrame, digests: int = 0) -> DataFrame:
+    """One row per digest of partial indexes that hold at most so many `digests`."""
     bounded_batches(groups.sparkSession, 10_000)
-    shards = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-digests // ENTRIES))
     return groups.repartition(shards, "digest").mapInArrow(_fold, GROUPS)
 
 
@@ -168,7 +184,8 @@ def update_index(index: DataFrame, added: DataFrame, removed: DataFrame) -> Data
     known from the index: it stays as it was while the group lives.
     """
     minus = removed.select("digest", F.lit(None).cast("long").alias("keep_id"), F.lit(-1).cast("long").alias("group_size"))
-    return merge_index(index.select("digest", "keep_id", "group_size").union(build_index(added)).union(minus))
+    known = index.select("digest", "keep_id", "group_size")
+    return merge_index(known.union(build_index(added)).union(minus), known.count() + added.count())
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:

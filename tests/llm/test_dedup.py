@@ -44,6 +44,21 @@ def test_repeats_as_walked(spark):
     assert by_id[801][1] == 4999  # a run of one byte repeats itself from its second byte on
 
 
+def test_partial_indexes_are_given_out_when_full(monkeypatch):
+    monkeypatch.setattr(exact_dedup, "ENTRIES", 50)
+    rng = random.Random(4)
+    rows = [(hashlib.sha256(bytes([rng.randrange(200)])).digest(), n, 1) for n in range(3000)]
+    batch = lambda part: pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], ["digest", "keep_id", "group_size"])
+    parts = list(exact_dedup._fold_partly(batch(rows[k: k + 10]) for k in range(0, 3000, 10)))
+    assert all(b.num_rows < 60 for b in parts) and len(parts) > 4
+    whole = [r for b in exact_dedup._fold(iter(parts)) for r in b.to_pylist()]
+    want = {}
+    for digest, n, _ in rows:
+        keep, size = want.get(digest, (n, 0))
+        want[digest] = (keep, size + 1)
+    assert {r["digest"]: (r["keep_id"], r["group_size"]) for r in whole} == want and len(whole) == len(want)
+
+
 def test_hot_gram_parts_into_single_strings(spark, monkeypatch):
     rng = random.Random(5)
     shared = "".join(rng.choice("abcdefgh") for _ in range(130))

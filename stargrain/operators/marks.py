@@ -44,19 +44,95 @@ def _text(df: DataFrame, column: str) -> Column:
     return value.cast("string")
 
 
+@dataclass(frozen=True)
+class _Layout:
+    """How marks are written while they are counted. Columns whose values are compared with each other are sides of one
+    domain, and a row marks a side once, whatever the number of sets and parents that read it."""
+
+    #: (table, columns) -> (domain, side)
+    places: Mapping[tuple[str, tuple[str, ...]], tuple[int, int]]
+    #: (domain, set, sides whose rows are counted, (bit, side) of parents)
+    views: Sequence[tuple[int, str, Sequence[int], Sequence[tuple[int, int]]]]
+    widths: Mapping[int, int]
+    keys: Sequence[str]
+    counts: Sequence[str]
+
+
+def _layout(plan: Mapping[str, Marks]) -> _Layout:
+    own: dict[str, list] = {}
+    refs: dict[str, list] = {}
+    for t, m in plan.items():
+        for name, columns in m.sets.items():
+            own.setdefault(name, []).append((t, tuple(columns)))
+        for (name, bit), c in m.parents.items():
+            refs.setdefault(name, []).append((bit, (t, (c,))))
+    names = sorted({*own, *refs})
+    nodes = sorted({n for name in names for n in (*own.get(name, ()), *[n for _, n in refs.get(name, ())])})
+    group = {n: k for k, n in enumerate(nodes)}
+    for name in names:
+        met = [*own.get(name, ()), *[n for _, n in refs.get(name, ())]]
+        for n in met:  # keys of different width never match
+            first = next(x for x in met if len(x[1]) == len(n[1]))
+            group = {x: group[first] if g == group[n] else g for x, g in group.items()}
+    sides: dict[int, list] = {}
+    for n in nodes:
+        sides.setdefault(group[n], []).append(n)
+    domains = list(sides.values())
+    places = {n: (d, side) for d, ns in enumerate(domains) for side, n in enumerate(ns)}
+    views = [(d, name, [places[n][1] for n in own.get(name, ()) if places[n][0] == d], [(bit, places[n][1]) for bit, n in refs.get(name, ()) if places[n][0] == d])
+             for name in names for d in sorted({places[n][0] for n in (*own.get(name, ()), *[n for _, n in refs.get(name, ())])})]
+    widths = {d: len(ns[0][1]) for d, ns in enumerate(domains)}
+    width = max([3 if any(m.scalars for m in plan.values()) else 1, *widths.values()])
+    most = max([1, *[len(ns) for ns in domains]])
+    return _Layout(places, views, widths, [f"_k{i}" for i in range(width)], [f"_n{i}" for i in range(most)])
+
+
+#: domain of the marks that stand for rows
+_ROWS = -1
+
+
+def _spread(df: DataFrame, table: str, m: Marks, to: _Layout) -> DataFrame:
+    """The rows, once for each of their marks, with the mark as `_m`: domain, side and key columns. A number and plain texts
+    take less than half of the memory that a set's name and an array do, and there is one such row for each key."""
+    if m.typed:
+        df = df.select("*", *[F.expr(sql).alias(name) for name, sql in m.typed.items()])
+
+    def mark(domain: int, side: int, texts: Sequence[Column]) -> Column:
+        padded = [*texts, *[F.lit(None)] * (len(to.keys) - len(texts))]
+        return F.struct(F.lit(domain).alias("d"), F.lit(side).alias("side"), *[c.cast("string").alias(k) for k, c in zip(to.keys, padded)])
+
+    marks = [mark(_ROWS, 0, [])] if m.scalars else []
+    marks += [mark(d, side, [_text(df, c) for c in columns]) for (t, columns), (d, side) in to.places.items() if t == table]
+    return df.withColumn("_m", F.explode(F.array(*marks)))
+
+
+def _grouped(spread: DataFrame, m: Marks, to: _Layout) -> DataFrame:
+    counts = [F.count_if(F.col("_m.side") == j).alias(n) for j, n in enumerate(to.counts)]
+    return spread.groupBy(F.col("_m.d").alias("_d"), *[F.col(f"_m.{k}").alias(k) for k in to.keys]).agg(
+        *counts, *[F.expr(sql).alias(name) for name, sql in m.scalars.items()])
+
+
+def _views(found: DataFrame, to: _Layout, rows: Column, more: Sequence[str] = ()) -> DataFrame:
+    """(set, key, n, refs) of counted marks: each set as it sees its domain."""
+    long = lambda x: F.lit(x).cast("long")
+    one = lambda name, key, n, refs: F.struct(F.lit(name).alias("set"), key.cast("array<string>").alias("key"), n.alias("n"), refs.alias("refs"))
+    seen = F.when(F.col("_d") == _ROWS, F.array(one(ROWS, rows, F.col(to.counts[0]), long(0))))
+    for d in sorted({v[0] for v in to.views}):
+        key = F.array(*to.keys[:to.widths[d]])
+        of_d = []
+        for _, name, own, parents in [v for v in to.views if v[0] == d]:
+            n = reduce(Column.__add__, [F.col(to.counts[side]) for side in own], long(0))
+            bits = [F.when(F.col(to.counts[side]) > 0, long(1 << bit)).otherwise(long(0)) for bit, side in parents]
+            of_d.append(one(name, key, n, reduce(Column.bitwiseOR, bits, long(0))))
+        seen = seen.when(F.col("_d") == d, F.array(*of_d))
+    return found.select(F.inline(seen), *more).filter((F.col("set") == ROWS) | (F.col("n") > 0) | (F.col("refs") != 0))
+
+
 def counted(df: DataFrame, m: Marks) -> DataFrame:
     """(set, key array<string>, n, refs, scalars...): how many rows mark the key, and for which bits it is a parent.
     Scalars hold on the row of set ROWS only."""
-    if m.typed:
-        df = df.select("*", *[F.expr(sql).alias(name) for name, sql in m.typed.items()])
-    mark = lambda name, key, n, refs: F.struct(
-        F.lit(name).alias("set"), key.cast("array<string>").alias("key"), F.lit(n).cast("long").alias("n"), F.lit(refs).cast("long").alias("refs"))
-    marks = [mark(ROWS, F.array(), 1, 0)] if m.scalars else []
-    marks += [mark(name, F.array(*[_text(df, c) for c in columns]), 1, 0) for name, columns in m.sets.items()]
-    marks += [mark(name, F.array(_text(df, c)), 0, 1 << bit) for (name, bit), c in m.parents.items()]
-    spread = df.withColumn("_m", F.explode(F.array(*marks)))
-    return spread.groupBy(F.col("_m.set").alias("set"), F.col("_m.key").alias("key")).agg(
-        F.sum("_m.n").alias("n"), F.bit_or("_m.refs").alias("refs"), *[F.expr(sql).alias(name) for name, sql in m.scalars.items()])
+    to = _layout({"": m})
+    return _views(_grouped(_spread(df, "", m, to), m, to), to, F.array(), [f"`{name}`" for name in m.scalars])
 
 
 def empty_scalars(df: DataFrame, m: Marks) -> dict[str, object]:
@@ -72,19 +148,24 @@ def empty_scalars(df: DataFrame, m: Marks) -> dict[str, object]:
 def together(tables: Mapping[str, DataFrame], plan: Mapping[str, Marks]) -> DataFrame:
     """(set, key, n, refs) over all tables of `plan`; each table is scanned once. The scalars of a table are rows
     of set ROWS, with (table, name, value) as key."""
+    to = _layout(plan)
     parts = []
     for name, m in plan.items():
-        found = counted(tables[name], m)
-        if m.scalars:
-            pairs = F.array(*[
-                F.struct(F.array(F.lit(name), F.lit(s), F.col(f"`{s}`").cast("string")).alias("key"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("refs"))
-                for s in m.scalars])
-            own = F.array(F.struct("key", "n", "refs"))
-            found = found.select("set", F.inline(F.when(F.col("set") == ROWS, pairs).otherwise(own)))
-        parts.append(found.select("set", "key", "n", "refs"))
-    if len(parts) == 1:
-        return parts[0]
-    return reduce(DataFrame.union, parts).groupBy("set", "key").agg(F.sum("n").alias("n"), F.bit_or("refs").alias("refs"))
+        spread = _spread(tables[name], name, m, to)
+        if not m.scalars:  # counted below, with the other tables
+            parts.append(spread.select(F.col("_m.d").alias("_d"), *[f"_m.{k}" for k in to.keys],
+                                       *[(F.col("_m.side") == j).cast("long").alias(n) for j, n in enumerate(to.counts)]))
+            continue
+        none = [F.lit(0).cast("long").alias(n) for n in to.counts]
+        empty = [F.lit(None).cast("string").alias(k) for k in to.keys[3:]]
+        pairs = F.array(*[
+            F.struct(F.lit(name).alias(to.keys[0]), F.lit(s).alias(to.keys[1]), F.col(f"`{s}`").cast("string").alias(to.keys[2]), *empty, *none) for s in m.scalars])
+        own = F.array(F.struct(*to.keys, *to.counts))
+        parts.append(_grouped(spread, m, to).select("_d", F.inline(F.when(F.col("_d") == _ROWS, pairs).otherwise(own))))
+    found = reduce(DataFrame.union, parts)
+    if len(parts) > 1 or not any(m.scalars for m in plan.values()):
+        found = found.groupBy("_d", *to.keys).agg(*[F.sum(n).alias(n) for n in to.counts])
+    return _views(found, to, F.array(*to.keys[:3]))
 
 
 def present() -> Column:

@@ -3,7 +3,8 @@
 import pytest
 
 from conftest import plan_of
-from stargrain.operators import quality
+from stargrain.operators import marks, quality
+from stargrain.operators.marks import Marks
 from stargrain.operators.profiling import REPORT_ROWS, TableProfile, profile, profile_json, scalar_profile
 from stargrain.operators.quality import Expectation
 from stargrain.operators.rows import duplicate_groups, orphan_rows
@@ -85,3 +86,21 @@ def test_reports_on_the_driver_are_bounded(spark):
     many = spark.range(REPORT_ROWS + 1).selectExpr("'t' AS table", "'c' AS check", "CAST(id AS STRING) AS metric", "'1' AS value")
     with pytest.raises(ValueError, match="write_profile"):
         profile_json(many)
+
+
+def test_columns_that_are_compared_are_marked_once(spark):
+    """Sets that look at one column, and the parents of others, share that column's marks."""
+    child = spark.createDataFrame([("a", "1"), ("a", "1"), ("b", None), (None, None), ("b", "b")], "k string, n string")
+    parent = spark.createDataFrame([("a",), ("z",), ("z",), (None,)], "id string")
+    plan = {
+        "child": Marks(sets={"k": ["k"], "k again": ["k"], "kn": ["k", "n"], "self": ["n"]}, parents={("id", 0): "k", ("self", 1): "k", ("kn", 0): "k"}),
+        "parent": Marks(sets={"id": ["id"]}, parents={("k", 2): "id"}),
+    }
+    layout = marks._layout(plan)
+    assert len(layout.places) == 4 and len(layout.widths) == 2
+    got = {(r.set, *r.key): (r.n, r.refs) for r in marks.together({"child": child, "parent": parent}, plan).collect()}
+    assert {k: v for k, v in got.items() if k[0] == "k"} == {("k", "a"): (2, 4), ("k", "b"): (2, 0), ("k", None): (1, 4), ("k", "z"): (0, 4)}
+    assert {k: v for k, v in got.items() if k[0] == "id"} == {("id", "a"): (1, 1), ("id", "z"): (2, 0), ("id", None): (1, 1), ("id", "b"): (0, 1)}
+    assert {k: v for k, v in got.items() if k[0] == "self"} == {("self", "1"): (2, 0), ("self", None): (2, 2), ("self", "b"): (1, 2), ("self", "a"): (0, 2)}
+    assert got["kn", "b", None] == (1, 0) and got["kn", "b"] == (0, 1)  # a key of one column is no key of two
+    assert {k[1:]: v[0] for k, v in got.items() if k[0] == "k again"} == {("a",): 2, ("b",): 2, (None,): 1}

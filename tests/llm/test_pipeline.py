@@ -11,7 +11,7 @@ from tests.llm.fixtures import awkward, frame
 
 def test_registered():
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

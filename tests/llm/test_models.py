@@ -81,6 +81,32 @@ def test_encoder_equals_the_tokenizer_on_odd_texts():
         assert ids[:-1].tolist() == plain.encode(t, add_special_tokens=False).ids and ids[-1] == 1
 
 
+def test_words_are_encoded_once_whatever_their_case_and_marks():
+    from tokenizers import Tokenizer
+
+    path = tokenizers.path("word_bpe_49k.json")
+    plain, own = Tokenizer.from_file(path), packing.Encoder(path)
+    own([b"word Word (WORD) word, word."])
+    assert set(own.known) == {b"word", b"(", b")", b",", b"."}
+    rng = random.Random(9)
+    parts = ["a", "T", "re", "S", "LL", "'", "'s", ".", ",", "...", "(", "é", "É", "×", "÷", "ß", "h\u0331", "H\u0331", "\u0301", "\u0307", "I", "7", "42", " ",
+             "  ", "\n", "\u00a0", "\u0085", "\x01", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "Σ", "日", "“", "²", "\u200b", "K"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(3000)]
+    for at in range(0, len(texts), 100):
+        some = texts[at: at + 100]
+        for t, ids in zip(some, own([t.encode() for t in some])):
+            assert ids[:-1].tolist() == plain.encode(t, add_special_tokens=False).ids, t
+
+
+def test_frequent_words_stay_when_the_table_is_full(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 8)
+    own = packing.Encoder(tokenizers.path("word_bpe_49k.json"))
+    own([b"a b c"])
+    first = own.known[b"a"]
+    own([b"a d e"])
+    assert own.known[b"a"] is first and set(own.known) == {b"a", b"d", b"e"} and set(own.older) == {b"a", b"b", b"c"}
+
+
 # --- sentence pieces -------------------------------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stargrain.llm.common import batches, bounded_batches, mix, ragged, slices, texts_of, utf8, words_of
 from stargrain.llm.similar import Scheme, group
-from stargrain.session import cut
+from stargrain.session import cut, settled
 
 #: words a paragraph needs to be compared; shorter ones stay
 MIN_WORDS = 10
@@ -55,7 +55,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, pos) of the paragraphs that go: all but the first of each component."""
     units = paragraphs(docs)
-    grouped = cut(group(units.select("id", "text"), SCHEME).select("id", "component"))
+    grouped = settled(docs.sparkSession, lambda: group(units.select("id", "text"), SCHEME).select("id", "component"))
     places = cut(units.select("doc_id", "pos", "id").join(grouped, "id").select("doc_id", "pos", "component"))
     first = cut(places.groupBy("component").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"))
     repeated = cut(places.join(first, "component"))
@@ -124,8 +124,8 @@ def without(docs: DataFrame) -> DataFrame:
     """(__llm_doc, __llm_text, __llm_drop, __llm_spans): for documents that lose something, what is left, the
     positions of their removed paragraphs and the removed byte ranges."""
     plain = texts_of(docs).filter("doc_id IS NOT NULL")
-    lines = cut(repeated_lines(plain))
-    ranges = cut(repeated_windows(plain))
+    lines = settled(docs.sparkSession, lambda: repeated_lines(plain))
+    ranges = settled(docs.sparkSession, lambda: repeated_windows(plain))
     gone = lines.groupBy("doc_id").agg(F.collect_set("pos").alias("drop"))
     spans = ranges.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     lost = cut(gone.join(spans, "doc_id", "full_outer"))
@@ -171,7 +171,7 @@ def without(docs: DataFrame) -> DataFrame:
 
 
 def _joined(docs: DataFrame) -> DataFrame:
-    return docs.join(cut(without(docs)), F.col("doc_id").cast("long") == F.col("__llm_doc"), "left")
+    return docs.join(settled(docs.sparkSession, lambda: without(docs)), F.col("doc_id").cast("long") == F.col("__llm_doc"), "left")
 
 
 def _left() -> Column:

@@ -6,6 +6,8 @@ import numpy as np
 
 from stargrain.llm import exact_dedup, line_dedup, near_dedup, paragraph_dedup, suffix_dedup
 from stargrain.llm.common import shingle_hashes, utf8, word_hashes
+from stargrain.session import CLEANUP, work_folder
+from stargrain.sources.folders import Folders
 from tests.llm.fixtures import awkward, frame, groups, shingles, tokens, words
 
 import pyarrow as pa
@@ -327,3 +329,13 @@ def test_blocks_go_whole(spark):
 def test_copied_blocks_stay(spark):
     copies = [(k, "\n".join(["one line of it", "two lines of it", "three lines of it"]) + "\n" * (k % 9)) for k in range(20)]
     assert {r.n_dropped for r in line_dedup.line_dedup(frame(spark, copies)).collect()} == {0}
+
+
+def test_steps_and_shuffles_go_when_they_are_done(spark):
+    folders = Folders(spark, work_folder(spark))
+    before = set(folders.names())
+    rows = [(k, " ".join(f"w{(k // 2 * 40 + i) % 97}" for i in range(60))) for k in range(8)]
+    left = paragraph_dedup.paragraph_dedup(frame(spark, rows))
+    assert len(set(folders.names()) - before) == 1  # of some twenty
+    assert left.filter("n_removed > 0").count() == 4
+    assert spark.conf.get(CLEANUP) == "false"

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from stargrain.llm import exact_dedup, line_dedup, near_dedup, paragraph_dedup, suffix_dedup
 from stargrain.llm.common import shingle_hashes, utf8, word_hashes
@@ -331,6 +332,15 @@ def test_copied_blocks_stay(spark):
     assert {r.n_dropped for r in line_dedup.line_dedup(frame(spark, copies)).collect()} == {0}
 
 
+def test_lines_are_told_by_their_tokens_alone(spark):
+    rng = random.Random(8)
+    gaps = [" ", " ", " ", "  ", "\t", " \r\x0b", "\x0c "]
+    texts = ["\n".join(rng.choice(["", " ", "\t"]) + "".join(f"w{k}é" + rng.choice(gaps) for k in range(rng.randrange(60))) for _ in range(12)) for _ in range(40)]
+    got = line_dedup._lines(frame(spark, list(enumerate(texts)))).select(F.inline(line_dedup._bodies())).select("body").collect()
+    split = [re.split(r"[\x20\x09-\x0D]+", line.strip(" \t\x0b\x0c\r")) for t in texts for line in t.split("\n")]
+    assert sorted(r.body for r in got) == sorted(" ".join(x) for x in split if x != [""] and len(x) <= line_dedup.MAX_TOKENS)
+
+
 def test_steps_and_shuffles_go_when_they_are_done(spark):
     folders = Folders(spark, work_folder(spark))
     before = set(folders.names())

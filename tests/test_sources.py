@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from stargrain import session
 from stargrain.operators import dimensions, facts, quality
 from stargrain.operators.profiling import TableProfile, profile, profile_json, profile_markdown, scalar_profile, write_profile
 from stargrain.plans.topics import TOPICS, profile_slice
@@ -152,6 +153,30 @@ def test_merge_rewrites_touched_months_only(spark, tmp_path):
         w.merge_months("f", fact(spark), ("k",), ("v",), "3", "tanggal_sk")
 
 
+def test_rows_that_move_are_found_without_further_steps(spark, tmp_path, monkeypatch):
+    """Undated rows keep their date, months are those that rows leave and enter, and only the batch itself is written on the way."""
+    w, steps = Warehouse(spark, str(tmp_path)), []
+    write = session._write
+    monkeypatch.setattr(session, "_write", lambda df, path: steps.append(path) or write(df, path))
+    schema = "k string, tanggal_sk int, v double, batch_id string"
+    load = lambda n, *rows: w.merge_months("f", spark.createDataFrame(rows, schema), ("k",), ("v", "batch_id"), n, "tanggal_sk", moves=True)
+    load("1", ("a", 20240105, 1.0, "1"), ("b", 20240205, 1.0, "1"), ("c", -1, 1.0, "1"), ("d", 20240405, 1.0, "1"))
+    steps.clear()
+    before = w._newest("f").parts
+    load("2", ("a", 20240301, 2.0, "2"), ("b", -1, 2.0, "2"), ("n", 20240303, 2.0, "2"))
+    after = w._newest("f").parts
+    assert len(steps) == 1
+    assert sorted(after) == ["-1", "202402", "202403", "202404"] and {m for m in after if after[m] == before.get(m)} == {"-1", "202404"}
+    load("3", ("c", 20240406, 3.0, "3"), ("u", None, 3.0, "3"))
+    got = sorted((r.k, r.tanggal_sk, r.bulan, r.v) for r in w.read("f").collect())
+    assert got == [("a", 20240301, 202403, 2.0), ("b", 20240205, 202402, 2.0), ("c", 20240406, 202404, 3.0), ("d", 20240405, 202404, 1.0),
+                   ("n", 20240303, 202403, 2.0), ("u", -1, -1, 3.0)]
+    assert sorted(w._newest("f").parts) == ["-1", "202402", "202403", "202404"]
+    for rows, said in (([("x", 20240101, 1.0, "4")] * 2, "up to 2 times"), ([(None, 20240101, 1.0, "4"), ("y", 20240101, 1.0, "4")], "1 merge keys")):
+        with pytest.raises(ValueError, match=said):
+            load("4", *rows)
+
+
 def test_append_is_not_idempotent(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path))
     with pytest.raises(AssertionError, match="not idempotent"):

@@ -76,6 +76,24 @@ def test_each_table_is_scanned_once(spark, tables, tmp_path):
     assert {r.name: r.violations for r in quality.violation_counts(checks, empty).collect()} == {"unik": 0, "induk": 0, "isi": 0}
 
 
+def test_row_rules_cost_no_round_of_their_own(spark, tables, tmp_path):
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+    read = {name: spark.read.parquet(str(tmp_path / name)) for name in tables}
+    keyed = [
+        Expectation("unik", "t", "warning", "pass", "child", count=quality.unique("child", ["k", "n"])),
+        Expectation("induk", "t", "warning", "pass", "child", count=quality.references("child", "k", "parent", "id")),
+    ]
+    rules = [
+        Expectation("isi", "t", "warning", "pass", "child", row_rule="n IS NULL"), Expectation("huruf", "t", "warning", "pass", "child", row_rule="k > 'b'"),
+        Expectation("induk_isi", "t", "warning", "pass", "parent", row_rule="id IS NULL"), Expectation("tak_ada", "t", "warning", "pass", "parent", row_rule="id = '?'"),
+    ]
+    exchanges = lambda checks: plan_of(quality.violation_counts(checks, read)).count("Exchange hashpartitioning(_d")
+    assert exchanges(keyed + rules) == exchanges(keyed) == 1
+    got = {r.name: r.violations for r in quality.violation_counts(keyed + rules, read).collect()}
+    assert got == {"unik": 1, "induk": 5, "isi": 1, "huruf": 2, "induk_isi": 1, "tak_ada": 0}
+
+
 def test_zero_is_one_value(spark):
     df = spark.createDataFrame([(0.0, 1), (-0.0, 2), (None, 2)], "x double, y int")
     row = scalar_profile(df, TableProfile("t", distinct={"x_unik": "x", "y_unik": "y"})).first()

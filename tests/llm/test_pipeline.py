@@ -1,9 +1,12 @@
+import random
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from check_queries import compare
+from stargrain.llm import line_dedup
 from stargrain.llm.queries import ORACLES, QUERIES
 from stargrain.plans.catalogue.base import TABLES
 from tests.llm.fixtures import awkward, frame
@@ -33,6 +36,19 @@ def test_stages_keep_columns_and_clean_documents(spark, sf_dir):
             assert set(range(5, 125, 10)) - {35} <= set(ids), name
 
 
+def test_lines_of_every_length_go(spark, sf_dir):
+    rng = random.Random(4)
+    own = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(30))
+    recurring = ["Share", "Read more", "posted by user number 12", " ".join(["this", "licence", *["words"] * 60]), " ".join(["this", "licence", *["words"] * 59, "2024"])]
+    rows = [(10 * j + k, f"{own()}\n{line}\n{own()}") for j, line in enumerate(recurring) for k in range(5)]
+    rows += [(100 + k, f"{own()}\n{line}") for k, line in enumerate(["Share it", "seen once", "12"])]
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, frame(spark, rows), sf_dir).collect()}
+    for d, t in rows:
+        assert got[d] == (t if d >= 100 else "\n".join(t.split("\n")[::2])), d
+    op8 = {r.doc_id: r.n_dropped for r in line_dedup.line_dedup(frame(spark, rows)).collect()}  # the range of its SQL
+    assert {d for d, n in op8.items() if n} == set(range(20, 25))
+
+
 def test_run_packs_what_the_stages_leave(spark, sf_dir):
     got = corpus_pipeline.run(spark, sf_dir)
     starts = got.filter("start = 0").count()
